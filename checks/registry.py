@@ -15,30 +15,35 @@ from tidelane.operators import star as build
 from tidelane.plans.views import register_views
 from tidelane.schema import SOURCE_POSITION
 from tidelane.sources.raw_orders import read_raw_orders
-from tidelane.sources.store import read_star, read_table, write_result, write_rollups, write_star
+from tidelane.sources.store import attach_rollups, read_star, read_table, write_result, write_rollups, write_star
 from tidelane.sources.tpch import raw_lines, staged_lines, table, tpch_star
 from tidelane.star import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# roots of the stars written by this process, per session and input folder
-_STORED: dict[tuple[str, str], str] = {}
+# stars written by this process, per session and input folder
+_STORED: dict[tuple[str, str], tuple[str, Star, Star]] = {}
 
 
-def stored_root(spark: SparkSession, folder: str) -> str:
+def _stored(spark: SparkSession, folder: str) -> tuple[str, Star, Star]:
     """Write the star of ``folder`` to the shared folder once per session, as a load does
-    before the analyses run, and return where it is."""
+    before the analyses run. Returns its root and the star without and with its rollups."""
     key = (spark.sparkContext.applicationId, os.path.abspath(folder))
     if key not in _STORED:
         root = shared_path(spark, "star")
         write_star(tpch_star(spark, folder), root)
         write_rollups(spark, root)
-        _STORED[key] = root
+        star = read_star(spark, root)
+        _STORED[key] = (root, star, attach_rollups(spark, star, root))
     return _STORED[key]
 
 
+def stored_root(spark: SparkSession, folder: str) -> str:
+    return _stored(spark, folder)[0]
+
+
 def stored_star(spark: SparkSession, folder: str, rollups: bool = False) -> Star:
-    return read_star(spark, stored_root(spark, folder), rollups)
+    return _stored(spark, folder)[2 if rollups else 1]
 
 
 # ---- inputs -------------------------------------------------------------------------------

@@ -29,11 +29,19 @@ def write_rollups(spark: SparkSession, root: str) -> None:
     route_rollup(fact).write.mode("overwrite").parquet(f"{root}/product_routes")
 
 
+def attach_rollups(spark: SparkSession, star: Star, root: str) -> Star:
+    return star.with_rollups(
+        spark.read.parquet(f"{root}/product_daily"), spark.read.parquet(f"{root}/product_routes")
+    )
+
+
 def read_star(
     spark: SparkSession, root: str, rollups: bool = False, since: str | None = None, until: str | None = None
 ) -> Star:
     """The stored star. ``since`` and ``until`` (YYYY-MM, inclusive) prune the months that are
     read; the rollups cover all months, so they go with the whole fact only."""
+    if rollups and (since or until):
+        raise ValueError("the rollups hold no single months; read the star without them")
     fact = spark.read.parquet(f"{root}/fact_orders")
     if since:
         fact = fact.where(F.col(MONTH) >= since)
@@ -44,13 +52,7 @@ def read_star(
         spark.read.parquet(f"{root}/dim_products"),
         spark.read.parquet(f"{root}/dim_customers"),
     )
-    if not rollups:
-        return star
-    if since or until:
-        raise ValueError("the rollups hold no single months; read the star without them")
-    return star.with_rollups(
-        spark.read.parquet(f"{root}/product_daily"), spark.read.parquet(f"{root}/product_routes")
-    )
+    return attach_rollups(spark, star, root) if rollups else star
 
 
 def write_result(df: DataFrame, root: str, name: str) -> None:

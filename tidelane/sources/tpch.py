@@ -6,6 +6,8 @@ them from the columns that are there, the same way for every row.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +33,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed order lines as they come, copies of a line included."""
-    line = table(spark, folder, "lineitem")
+def staged_lines(spark: SparkSession, folder: str, unique: bool = False) -> DataFrame:
+    """Typed order lines as they come, copies of a line included, or unique lines.
+
+    Copies are removed from the narrow line table, before the joins and the derived amounts.
+    Precisions are chosen so that every amount fits the 18 digits that Spark keeps in a long.
+    """
+    line = table(spark, folder, "lineitem").withColumns(
+        {
+            "order_item_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+            SOURCE_POSITION: F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"),
+        }
+    )
+    if unique:
+        line = dedupe_order_items(line)
     joined = (
         line.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -41,19 +54,19 @@ def staged_lines(spark: SparkSession, folder: str) -> DataFrame:
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    rate = F.col("l_discount").cast("decimal(18,2)")
-    returned = F.when(F.col("l_returnflag") == "R", F.lit("0.45")).otherwise(F.lit("0")).cast("decimal(18,2)")
-    margin = (F.lit("0.30").cast("decimal(18,2)") - rate * 2 - returned).cast("decimal(18,2)")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    rate = F.col("l_discount").cast("decimal(3,2)")
+    returned = F.when(F.col("l_returnflag") == "R", F.lit(Decimal("0.45"))).otherwise(F.lit(Decimal("0.00")))
+    margin = (F.lit(Decimal("0.30")) - rate - rate - returned).cast("decimal(5,2)")
     promised = _by_priority(1)
     days = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(7))
     status = (
         F.when(days > promised, "Late delivery").when(days == promised, "Shipping on time").otherwise("Advance shipping")
     )
-    sales = (price * (F.lit(1) - rate)).cast(MONEY)
+    sales = (price * (F.lit(Decimal("1.00")) - rate).cast("decimal(5,2)")).cast(MONEY)
     return joined.select(
-        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias(SOURCE_POSITION),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
+        SOURCE_POSITION,
+        "order_item_id",
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("order_date"),
         F.col("l_shipdate").alias("shipping_date"),
@@ -98,7 +111,7 @@ def staged_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def tpch_star(spark: SparkSession, folder: str) -> Star:
     """Unique lines with a promise of at least one day, and the two dimensions."""
-    unique = dedupe_order_items(staged_lines(spark, folder))
+    unique = staged_lines(spark, folder, unique=True)
     promised = unique.withColumn("days_scheduled", F.greatest(F.lit(1), F.col("days_scheduled")))
     fact = build_fact_orders(promised.withColumn("delay_days", F.col("days_real") - F.col("days_scheduled")))
     products = table(spark, folder, "part").select(
