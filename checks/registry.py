@@ -8,12 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.functions.lineage import shared_path
+from tidelane.functions.lineage import settle, shared_path
 from tidelane.functions.numeric import plain
 from tidelane.operators import classify, cleaning, delivery, inventory, quality, report, revenue
 from tidelane.operators import star as build
 from tidelane.plans.views import register_views
-from tidelane.schema import SOURCE_POSITION
+from tidelane.schema import FACT_REQUIRED, SOURCE_POSITION
 from tidelane.sources.raw_orders import read_raw_orders
 from tidelane.sources.store import attach_rollups, read_star, read_table, write_result, write_rollups, write_star
 from tidelane.sources.tpch import raw_lines, staged_lines, table, tpch_star
@@ -199,7 +199,8 @@ def _dq_orphan_customers(spark, folder):
 
 def _dq_constraints(spark, folder):
     star = stored_star(spark, folder)
-    return quality.dq_constraints(Star(_astray(spark, folder), star.products, star.customers))
+    lines = settle(_astray(spark, folder).select("order_item_id", *FACT_REQUIRED))
+    return quality.dq_constraints(Star(lines, star.products, star.customers))
 
 
 def _dq_quarantine(spark, folder):

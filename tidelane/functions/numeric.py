@@ -53,10 +53,6 @@ def variance(n: Column, total: Column, squares: Column) -> Column:
     return F.try_divide(spread, n.cast("double") * n.cast("double"))
 
 
-def count_if(condition: Column) -> Column:
-    return F.sum(F.when(condition, 1).otherwise(0)).cast("long")
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals to double, for output tables."""
     return df.select(

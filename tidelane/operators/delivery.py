@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelane.functions.dates import month_key, month_start
 from tidelane.functions.lineage import settle
-from tidelane.functions.numeric import count_if, money, percent, ratio, rnd, rounded, variance
+from tidelane.functions.numeric import money, percent, ratio, rnd, rounded, variance
 from tidelane.functions.running import ladder
 from tidelane.star import Star, order_measures
 
@@ -79,7 +79,7 @@ def late_cost_impact(star: Star) -> DataFrame:
     sums = []
     for name, kind in (("on_time", on_time), ("late", ~on_time)):
         sums += [
-            count_if(kind).alias(f"{name}_volume"),
+            F.count_if(kind).alias(f"{name}_volume"),
             F.sum(F.when(kind, F.col("sales_amount"))).alias(f"{name}_sales"),
             F.sum(F.when(kind, F.col("profit_per_order"))).alias(f"{name}_profit"),
         ]

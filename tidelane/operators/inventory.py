@@ -39,6 +39,8 @@ def route_lead_time(star: Star, params: Params = DEFAULTS) -> DataFrame:
 
 
 def _daily_units(star: Star) -> DataFrame:
+    if star.daily is not None:
+        return star.daily.select("product_id", "order_day", F.col("units").alias("daily_units"))
     return star.demand().groupBy("product_id", "order_day").agg(F.sum("units").alias("daily_units"))
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.functions.numeric import count_if, percent, ratio, rnd
+from tidelane.functions.numeric import percent, ratio, rnd
 from tidelane.schema import CUSTOMER_REQUIRED, FACT_REQUIRED, PRODUCT_REQUIRED
 from tidelane.star import Star
 
 
 def dq_null_audit(fact: DataFrame) -> DataFrame:
     def missing(c):
-        return count_if(F.col(c).isNull())
+        return F.count_if(F.col(c).isNull())
 
     return fact.agg(
         F.count("*").alias("total_records"),
@@ -33,12 +33,12 @@ def dq_duplicate_keys(fact: DataFrame) -> DataFrame:
 
 def dq_range_audit(fact: DataFrame) -> DataFrame:
     return fact.agg(
-        count_if(F.col("quantity_ordered") <= 0).alias("non_positive_quantities"),
-        count_if(F.col("product_price") <= 0).alias("non_positive_prices"),
-        count_if((F.col("discount_rate") < 0) | (F.col("discount_rate") > 1)).alias("invalid_discount_rates"),
-        count_if(F.col("days_scheduled") <= 0).alias("non_positive_scheduled_days"),
-        count_if(F.col("days_real") < 0).alias("negative_real_days"),
-        count_if(F.col("sales_amount") < 0).alias("negative_sales"),
+        F.count_if(F.col("quantity_ordered") <= 0).alias("non_positive_quantities"),
+        F.count_if(F.col("product_price") <= 0).alias("non_positive_prices"),
+        F.count_if((F.col("discount_rate") < 0) | (F.col("discount_rate") > 1)).alias("invalid_discount_rates"),
+        F.count_if(F.col("days_scheduled") <= 0).alias("non_positive_scheduled_days"),
+        F.count_if(F.col("days_real") < 0).alias("negative_real_days"),
+        F.count_if(F.col("sales_amount") < 0).alias("negative_sales"),
     ).select(F.lit("Range & Logic Anomalies").alias("audit_type"), "*")
 
 
@@ -105,9 +105,9 @@ def dq_scorecard(star: Star) -> DataFrame:
     """The five checks that follow each load, one row per figure."""
     totals = star.fact.agg(
         F.count("*").alias("records"),
-        count_if(F.col("sales_amount").isNull()).alias("null_sales"),
-        count_if(F.col("quantity_ordered") <= 0).alias("invalid_qty"),
-        count_if(F.col("days_real") <= F.col("days_scheduled")).alias("on_time"),
+        F.count_if(F.col("sales_amount").isNull()).alias("null_sales"),
+        F.count_if(F.col("quantity_ordered") <= 0).alias("invalid_qty"),
+        F.count_if(F.col("days_real") <= F.col("days_scheduled")).alias("on_time"),
     ).withColumn("otif_pct", rnd(percent(F.col("on_time"), F.col("records")), 2))
     figures = _long_form(
         totals,
@@ -156,7 +156,7 @@ def quarantine_lines(fact: DataFrame) -> DataFrame:
 
 
 def _violations(df: DataFrame, table: str, rules: list[tuple[str, str, Column]]) -> DataFrame:
-    counted = df.agg(*[count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(rules)])
+    counted = df.agg(*[F.count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(rules)])
     rows = F.array(
         *[
             F.struct(

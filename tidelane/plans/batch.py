@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelane.functions.numeric import plain
 from tidelane.operators import classify, delivery, inventory, quality, report
-from tidelane.operators.cleaning import clean_lines, rejected_lines, stage_lines
+from tidelane.operators.cleaning import REJECTED, clean_lines, etl_audit, rejected_lines, stage_lines
 from tidelane.operators.star import build_star
 from tidelane.params import DEFAULTS, Params
-from tidelane.schema import PII_COLUMNS
+from tidelane.schema import CUSTOMER_COLUMNS, FACT_COLUMNS, PRODUCT_COLUMNS, SOURCE_POSITION
 from tidelane.sources.store import read_star, read_table, write_result, write_rollups, write_star
 from tidelane.star import Star
 
@@ -21,25 +21,21 @@ def load_star(
     """Clean raw lines and store the star, its rollups, the rejected lines and the audit row.
 
     The unique typed lines are written once; dimensions, fact and rejects read that table, so
-    the shuffle that removes copies runs once.
+    the shuffle that removes copies runs once. Columns that no table of the star holds are
+    dropped before that shuffle. The raw rows are counted by a scan of their own: a count taken
+    on the way would be wrong after a lost executor.
     """
     spark = raw.sparkSession
-    seen = Observation("raw lines")
-    counted = raw.observe(seen, F.count(F.lit(1)).alias("initial_rows"))
-    write_result(stage_lines(counted, order_by), root, "staged_lines")
+    staged = stage_lines(raw, order_by)
+    kept = [c for c in clean_lines(staged, params).columns if not c.startswith("_")]
+    loaded = {*PRODUCT_COLUMNS, *CUSTOMER_COLUMNS, *FACT_COLUMNS, SOURCE_POSITION, REJECTED}
+    write_result(staged.select(*[c for c in staged.columns if c in loaded]), root, "staged_lines")
     staged = read_table(spark, "staged_lines", root=root)
     write_result(rejected_lines(staged), root, "rejected_lines")
-    clean = clean_lines(staged, params)
-    write_star(build_star(clean), root)
+    write_star(build_star(clean_lines(staged, params)), root)
     write_rollups(spark, root)
     star = read_star(spark, root, rollups=True)
-    kept = [c for c in clean.columns if not c.startswith("_")]
-    audit = star.fact.agg(F.count("*").alias("cleaned_rows")).select(
-        F.lit(seen.get["initial_rows"]).alias("initial_rows"),
-        "cleaned_rows",
-        F.lit(len(kept)).alias("columns_retained"),
-        F.lit(len([c for c in PII_COLUMNS if c in raw.columns])).alias("dropped_columns"),
-    )
+    audit = etl_audit(raw, star.fact).withColumn("columns_retained", F.lit(len(kept)))
     write_result(audit, root, "etl_audit")
     return star
 

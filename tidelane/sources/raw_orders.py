@@ -28,9 +28,9 @@ def read_raw_orders(
         .option("multiLine", multiline)
     )
     raw = reader.csv(path)
-    marks = F.col
+    marks = ", ".join(f"'{mark}'" for mark in MISSING_MARKS)
     columns = [
-        F.when(~marks(f"`{name}`").isin(MISSING_MARKS), marks(f"`{name}`")).alias(name) for name in raw.columns
+        F.expr(f"CASE WHEN `{name}` NOT IN ({marks}) THEN `{name}` END").alias(name) for name in raw.columns
     ]
     if position:
         columns.append(

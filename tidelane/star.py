@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.functions.numeric import count_if, square
+from tidelane.functions.numeric import square
 
 
 @dataclass(frozen=True)
@@ -75,8 +75,8 @@ def order_measures(fact: DataFrame, *keys) -> DataFrame:
     late = F.col("days_real") > F.col("days_scheduled")
     return fact.groupBy(*keys).agg(
         F.count("*").alias("lines"),
-        count_if(on_time).alias("on_time"),
-        count_if(late).alias("late"),
+        F.count_if(on_time).alias("on_time"),
+        F.count_if(late).alias("late"),
         F.sum(F.col("days_scheduled").cast("long")).alias("scheduled_days"),
         F.sum(F.col("days_real").cast("long")).alias("real_days"),
         F.sum((F.col("days_real") - F.col("days_scheduled")).cast("long")).alias("delay"),
