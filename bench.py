@@ -20,13 +20,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks import registry  # noqa: E402
 from tidelane.functions.lineage import shared_path  # noqa: E402
+from tidelane.operators import quality  # noqa: E402
 from tidelane.plans.batch import build_results, load_star  # noqa: E402
 from tidelane.schema import SOURCE_POSITION  # noqa: E402
 from tidelane.sources.raw_orders import read_raw_orders  # noqa: E402
 from tidelane.sources.tpch import raw_lines  # noqa: E402
 
 HEADLINES = [
-    "dedupe_order_items", "dq_null_audit", "dq_duplicate_keys", "dq_scorecard", "dq_constraints",
+    "dedupe_order_items", "dq_duplicate_keys", "dq_scorecard",
     "otif_by_route", "monthly_delivery_trends", "segment_fulfillment", "late_cost_impact",
     "lead_time_distribution", "overall_kpis", "category_revenue_ranked", "product_revenue_pareto",
     "product_weekly_demand", "loss_making_products", "abc_classify", "xyz_classify", "segment_strategy",
@@ -67,6 +68,13 @@ def main() -> None:
     timed("full_load", lambda: load_star(read_raw_orders(spark, files, position=True), root))
     timed("full_results", lambda: build_results(spark, root))
     timed("store_star", lambda: registry.stored_root(spark, folder))
+    star = registry.stored_star(spark, folder)
+    for name, audit in (
+        ("dq_null_audit", lambda: quality.dq_null_audit(star.fact)),
+        ("dq_range_audit", lambda: quality.dq_range_audit(star.fact)),
+        ("dq_constraints", lambda: quality.dq_constraints(star)),
+    ):
+        timed(name, lambda: audit().collect())
     queries = registry.queries()
     for name in HEADLINES:
         timed(name, lambda: queries[name](spark, folder).write.format("noop").mode("overwrite").save())

@@ -571,6 +571,16 @@ query("dq_scorecard", ["fact", "products", "customers"], f"""
   union all select 'OTIF Overall Summary', 'total_orders', cast(count(*) as double) from fact
   union all select 'OTIF Overall Summary', 'otif_pct', {out(pct(count_if('days_real <= days_scheduled'), 'count(*)'))} from fact""")
 
+query("scorecard_text", ["fact", "products", "customers"], f"""
+  select 'Null Fact Check' as check_name, '(' || count(*) || ', ' || (count(*) - count(sales_amount)) || ')' as result from fact
+  union all select 'Orphan Products', '(' || count(*) || ',)' from fact f
+    left join products p on f.product_id = p.product_id where p.product_id is null
+  union all select 'Orphan Customers', '(' || count(*) || ',)' from fact f
+    left join customers c on f.customer_id = c.customer_id where c.customer_id is null
+  union all select 'Negative Quantities', '(' || count(*) || ',)' from fact where quantity_ordered <= 0
+  union all select 'OTIF Overall Summary', '(' || count(*) || ', ' || {out(pct(count_if('days_real <= days_scheduled'), 'count(*)'))} || ')'
+    from fact""")
+
 
 def _rule(table: str, source: str, rule: str, column: str, condition: str) -> str:
     return (f"select '{table}' as table_name, '{rule}' as rule, '{column}' as column_name, "

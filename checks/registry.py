@@ -331,6 +331,7 @@ _ALL: dict[str, Query] = {
     "dq_orphan_products": _dq_orphan_products,
     "dq_orphan_customers": _dq_orphan_customers,
     "dq_scorecard": _on_star(quality.dq_scorecard),
+    "scorecard_text": lambda spark, folder: quality.scorecard_text(quality.dq_scorecard(stored_star(spark, folder))),
     "dq_constraints": _dq_constraints,
     "dq_quarantine": _dq_quarantine,
     # delivery

@@ -82,6 +82,12 @@ def test_first_copy_wins_with_very_many_copies(spark):
     assert len(got) == 101 and got[7]["x"] == 0
 
 
+def test_lines_without_a_key_are_all_kept(spark):
+    rows_ = [(None, 1), (None, 2), (None, 3), (5, 4), (5, 5)]
+    df = spark.createDataFrame(rows_, f"order_item_id long, {SOURCE_POSITION} long")
+    assert sorted(r[SOURCE_POSITION] for r in rows(cleaning.dedupe_order_items(df))) == [1, 2, 3, 4]
+
+
 def test_dimension_takes_the_first_line(spark):
     lines = spark.createDataFrame(
         [(3, 2, 1, "late name", Decimal(9)), (1, 1, 1, "first name", Decimal(8)), (2, 5, 2, "other", Decimal(7))],

@@ -58,11 +58,14 @@ def dedupe_order_items(df: DataFrame, order_by: list[Column] | None = None) -> D
     """First copy of each order line, by ``order_by`` (default: position in the source).
 
     The filter on the row number lets Spark keep one row per key and task before the shuffle,
-    so many copies of one line never meet in one task.
+    so many copies of one line never meet in one task. Lines without a key are no copies of
+    each other: each is a group of its own, so all are kept and they spread over the tasks.
     """
     order = order_by or [F.col(SOURCE_POSITION)]
-    w = W.partitionBy("order_item_id").orderBy(*order)
-    return df.withColumn("_copy", F.row_number().over(w)).where("_copy = 1").drop("_copy")
+    alone = F.when(F.col("order_item_id").isNull(), F.monotonically_increasing_id())
+    w = W.partitionBy("order_item_id", "_alone").orderBy(*order)
+    numbered = df.withColumn("_alone", alone).withColumn("_copy", F.row_number().over(w))
+    return numbered.where("_copy = 1").drop("_copy", "_alone")
 
 
 def impute_defaults(df: DataFrame) -> DataFrame:

@@ -128,6 +128,20 @@ def dq_scorecard(star: Star) -> DataFrame:
     return figures.unionByName(products).unionByName(customers)
 
 
+def scorecard_text(scorecard: DataFrame) -> DataFrame:
+    """The scorecard with the figures of a check written as one tuple."""
+    figure = F.when(F.col("metric") == "otif_pct", F.col("value").cast("string")).otherwise(
+        F.col("value").cast("long").cast("string")
+    )
+    # the count that leads a pair sorts first; no check has more than two figures
+    place = F.when(F.col("metric").isin("records", "total_orders"), 0).otherwise(1)
+    figures = F.array_sort(F.collect_list(F.struct(place.alias("place"), figure.alias("figure"))))["figure"]
+    closing = F.when(F.count("*") == 1, ",)").otherwise(")")
+    return scorecard.groupBy("check_name").agg(
+        F.concat(F.lit("("), F.array_join(figures, ", "), closing).alias("result")
+    )
+
+
 def _line_rules() -> list[tuple[str, str, Column]]:
     """(rule, column, condition of a violation) for a single fact line."""
     rules = [("not_null", c, F.col(c).isNull()) for c in FACT_REQUIRED]

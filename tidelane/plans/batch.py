@@ -11,6 +11,7 @@ from tidelane.operators.cleaning import REJECTED, clean_lines, etl_audit, reject
 from tidelane.operators.star import build_star
 from tidelane.params import DEFAULTS, Params
 from tidelane.schema import CUSTOMER_COLUMNS, FACT_COLUMNS, PRODUCT_COLUMNS, SOURCE_POSITION
+from tidelane.sources.raw_orders import read_raw_orders
 from tidelane.sources.store import read_star, read_table, write_result, write_rollups, write_star
 from tidelane.star import Star
 
@@ -75,3 +76,9 @@ def build_report(spark: SparkSession, root: str, star: Star, params: Params = DE
     }
     for name, df in tables.items():
         write_result(plain(df), root, f"report_{name}")
+
+
+def run(spark: SparkSession, raw_path: str, root: str, params: Params = DEFAULTS) -> None:
+    """Raw files to report tables."""
+    load_star(read_raw_orders(spark, raw_path, position=True), root, params)
+    build_results(spark, root, params)
