@@ -12,7 +12,7 @@ from tests.conftest import SMALL
 from tests.frames import line, star
 from tidelane.functions.lineage import shared_path
 from tidelane.operators import classify, cleaning, delivery, inventory, quality, revenue
-from tidelane.sources.store import read_star, write_star
+from tidelane.sources.store import by_month, read_star, write_star
 from tidelane.star import Star
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
@@ -90,6 +90,19 @@ def test_no_registered_query_crosses_tables(spark):
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
 
+def test_months_are_rebalanced_before_the_write(stored):
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(by_month(stored.fact))
+
+
+def test_running_totals_collect_one_row_per_slice_only(large):
+    """The one-task window sits on the slice totals, never on the products."""
+    text = plan(classify.abc_classify(classify.product_revenue(large)))
+    single = text.split("\n\n")[0].split("SinglePartition")
+    assert len(single) <= 2
+    details = [d for d in text.split("\n\n") if "SinglePartition" in d and "Arguments" in d]
+    assert len(details) == 1 and "_slice" in details[0] and "product_id" not in details[0]
+
+
 def test_no_query_runs_python_in_tasks(spark, large):
     text = plan(inventory.inventory_master(Star(large.fact, large.products, large.customers)))
     assert "Python" not in text and "Pandas" not in text

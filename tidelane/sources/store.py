@@ -11,13 +11,15 @@ from tidelane.star import Star, daily_rollup, route_rollup
 MONTH = "order_year_month"
 
 
+def by_month(fact: DataFrame) -> DataFrame:
+    """The fact with its month, laid out for a write by month. The rebalance hint lets AQE
+    split a month that holds many lines and join small pieces, so files have even size."""
+    return fact.withColumn(MONTH, month_key(F.to_date("order_date"))).hint("rebalance", F.col(MONTH))
+
+
 def write_star(star: Star, root: str) -> None:
-    """Replace the three tables. The fact is laid out by order month; the rebalance hint lets
-    AQE split a month that holds many lines and join small pieces, so files have even size."""
-    by_month = star.fact.withColumn(MONTH, month_key(F.to_date("order_date")))
-    by_month.hint("rebalance", F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH).parquet(
-        f"{root}/fact_orders"
-    )
+    """Replace the three tables; the fact is partitioned by order month."""
+    by_month(star.fact).write.mode("overwrite").partitionBy(MONTH).parquet(f"{root}/fact_orders")
     star.products.write.mode("overwrite").parquet(f"{root}/dim_products")
     star.customers.write.mode("overwrite").parquet(f"{root}/dim_customers")
 
