@@ -82,6 +82,17 @@ def test_first_copy_wins_with_very_many_copies(spark):
     assert len(got) == 101 and got[7]["x"] == 0
 
 
+def test_only_vital_numbers_reject_a_line(spark):
+    df = spark.createDataFrame(
+        [("1", "x", "59.99000168", "0.039999999"), ("2", "4.5", "abc", "0.1"), ("3", None, None, None)],
+        "order_item_id string, latitude string, product_price string, discount_rate string",
+    )
+    got = by(cleaning.type_columns(df), "order_item_id")
+    assert got[1][cleaning.REJECTED] == [] and got[1]["latitude"] is None
+    assert got[1]["product_price"] == Decimal("59.99000168") and got[1]["discount_rate"] == Decimal("0.039999999")
+    assert got[2][cleaning.REJECTED] == ["product_price"] and got[3][cleaning.REJECTED] == []
+
+
 def test_lines_without_a_key_are_all_kept(spark):
     rows_ = [(None, 1), (None, 2), (None, 3), (5, 4), (5, 5)]
     df = spark.createDataFrame(rows_, f"order_item_id long, {SOURCE_POSITION} long")

@@ -12,6 +12,11 @@ def money(x: Column, digits: int = 2) -> Column:
     return F.round(x, digits).cast(f"decimal(26,{digits})")
 
 
+def worth(units: Column, price: Column) -> Column:
+    """Whole units times a decimal price, in cents; the product fits 38 digits exactly."""
+    return money(units.cast("decimal(19,0)") * price)
+
+
 def rounded(x: Column, digits: int) -> Column:
     """Round a double half away from zero on its decimal digits; stays decimal."""
     return F.round(x.cast("decimal(38,10)"), digits)

@@ -21,6 +21,7 @@ from tidelane.schema import (
     PII_COLUMNS,
     RATE,
     SOURCE_POSITION,
+    VITAL_NUMBERS,
 )
 
 REJECTED = "_unreadable"
@@ -114,28 +115,22 @@ def normalize_risk_flag(df: DataFrame) -> DataFrame:
 
 
 def type_columns(df: DataFrame) -> DataFrame:
-    """Cast the text columns of standardized lines. Names of columns whose text could not be
-    read are collected in one array column."""
-    casts: dict[str, Column] = {}
+    """Cast the text columns of standardized lines. Names of vital columns whose text could not
+    be read are collected in one array column."""
+    kinds: dict[str, Column] = {}
     for c in LONG_COLUMNS:
-        casts[c] = F.col(c).try_cast("bigint")
+        kinds[c] = F.col(c).try_cast("bigint")
     for c in COUNT_COLUMNS:
-        casts[c] = F.col(c).try_cast("double").try_cast("int")
+        kinds[c] = F.col(c).try_cast("double").try_cast("int")
     for c in MONEY_COLUMNS:
-        casts[c] = F.col(c).try_cast(MONEY)
-    casts["discount_rate"] = F.col("discount_rate").try_cast(RATE)
-    for c in ("profit_ratio", "latitude", "longitude"):
-        casts[c] = F.col(c).try_cast("double")
-    casts = {
-        c: cast for c, cast in casts.items()
-        if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)
-    }
-    if "late_delivery_risk" in df.columns and isinstance(df.schema["late_delivery_risk"].dataType, T.StringType):
-        casts["late_delivery_risk"] = F.col("late_delivery_risk").try_cast("double")
+        kinds[c] = F.col(c).try_cast(MONEY)
+    kinds["discount_rate"] = F.col("discount_rate").try_cast(RATE)
+    for c in ("profit_ratio", "latitude", "longitude", "late_delivery_risk"):
+        kinds[c] = F.col(c).try_cast("double")
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    casts = {c: cast for c, cast in kinds.items() if c in texts}
     unreadable = [
-        F.when(F.col(c).isNotNull() & cast.isNull(), F.lit(c))
-        for c, cast in casts.items()
-        if c != "late_delivery_risk"
+        F.when(F.col(c).isNotNull() & casts[c].isNull(), F.lit(c)) for c in VITAL_NUMBERS if c in casts
     ]
     collected = F.array_compact(F.array(*unreadable)) if unreadable else F.array().cast("array<string>")
     return df.select(

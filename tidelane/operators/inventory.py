@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelane.functions.numeric import deviation, money, ratio, rnd, rounded, square, variance
+from tidelane.functions.numeric import deviation, money, ratio, rnd, rounded, square, variance, worth
 from tidelane.operators.revenue import PRODUCT_LABELS
 from tidelane.params import DEFAULTS, OPTIMAL, OVERSTOCKED, REORDER, Params
 from tidelane.star import Star
@@ -162,7 +162,7 @@ def stock_status(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 
 def inventory_valuation(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    value = money(F.col("current_stock_units") * F.col("product_price"))
+    value = worth(F.col("current_stock_units"), F.col("product_price"))
     rate = F.lit(Decimal(str(params.holding_cost_rate)))
     return df.withColumn("inventory_valuation", value).withColumn(
         "annual_holding_cost", money(F.col("inventory_valuation") * rate)
@@ -175,14 +175,14 @@ def excess_capital(df: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         F.lit(0).cast("long"), F.col("current_stock_units") - F.col("reorder_point_units") * params.excess_multiple
     )
     return df.withColumn("excess_stock_units", units).withColumn(
-        "excess_capital_tied_up", money(F.col("excess_stock_units") * F.col("product_price"))
+        "excess_capital_tied_up", worth(F.col("excess_stock_units"), F.col("product_price"))
     )
 
 
 def stockout_risk(df: DataFrame) -> DataFrame:
     units = F.greatest(F.lit(0).cast("long"), F.col("reorder_point_units") - F.col("current_stock_units"))
     return df.withColumn("stockout_shortage_units", units).withColumn(
-        "stockout_revenue_at_risk", money(F.col("stockout_shortage_units") * F.col("product_price"))
+        "stockout_revenue_at_risk", worth(F.col("stockout_shortage_units"), F.col("product_price"))
     )
 
 

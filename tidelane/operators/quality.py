@@ -9,37 +9,49 @@ from tidelane.functions.numeric import percent, ratio, rnd
 from tidelane.schema import CUSTOMER_REQUIRED, FACT_REQUIRED, PRODUCT_REQUIRED
 from tidelane.star import Star
 
-
-def dq_null_audit(fact: DataFrame) -> DataFrame:
-    def missing(c):
-        return F.count_if(F.col(c).isNull())
-
+_NULL_COUNTS = {
+    "null_order_ids": "order_id",
+    "null_product_ids": "product_id",
+    "null_customer_ids": "customer_id",
+    "null_order_dates": "order_date",
+    "null_sales": "sales_amount",
+    "null_profit": "profit_per_order",
+    "null_scheduled_days": "days_scheduled",
+    "null_real_days": "days_real",
+}
+
+
+def _range_tests() -> dict[str, Column]:
+    return {
+        "non_positive_quantities": F.col("quantity_ordered") <= 0,
+        "non_positive_prices": F.col("product_price") <= 0,
+        "invalid_discount_rates": (F.col("discount_rate") < 0) | (F.col("discount_rate") > 1),
+        "non_positive_scheduled_days": F.col("days_scheduled") <= 0,
+        "negative_real_days": F.col("days_real") < 0,
+        "negative_sales": F.col("sales_amount") < 0,
+    }
+
+
+def line_audit(fact: DataFrame) -> DataFrame:
+    """Null and range counts in one pass, one row. The two audits below select from it, so
+    each of them computes only its own counts."""
     return fact.agg(
         F.count("*").alias("total_records"),
-        missing("order_id").alias("null_order_ids"),
-        missing("product_id").alias("null_product_ids"),
-        missing("customer_id").alias("null_customer_ids"),
-        missing("order_date").alias("null_order_dates"),
-        missing("sales_amount").alias("null_sales"),
-        missing("profit_per_order").alias("null_profit"),
-        missing("days_scheduled").alias("null_scheduled_days"),
-        missing("days_real").alias("null_real_days"),
-    ).select(F.lit("fact_orders").alias("table_name"), "*")
+        *[F.count_if(F.col(c).isNull()).alias(name) for name, c in _NULL_COUNTS.items()],
+        *[F.count_if(test).alias(name) for name, test in _range_tests().items()],
+    )
 
 
-def dq_duplicate_keys(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("order_item_id").agg(F.count("*").alias("occurrence_count")).where("occurrence_count > 1")
+def dq_null_audit(fact: DataFrame) -> DataFrame:
+    return line_audit(fact).select(F.lit("fact_orders").alias("table_name"), "total_records", *_NULL_COUNTS)
 
 
 def dq_range_audit(fact: DataFrame) -> DataFrame:
-    return fact.agg(
-        F.count_if(F.col("quantity_ordered") <= 0).alias("non_positive_quantities"),
-        F.count_if(F.col("product_price") <= 0).alias("non_positive_prices"),
-        F.count_if((F.col("discount_rate") < 0) | (F.col("discount_rate") > 1)).alias("invalid_discount_rates"),
-        F.count_if(F.col("days_scheduled") <= 0).alias("non_positive_scheduled_days"),
-        F.count_if(F.col("days_real") < 0).alias("negative_real_days"),
-        F.count_if(F.col("sales_amount") < 0).alias("negative_sales"),
-    ).select(F.lit("Range & Logic Anomalies").alias("audit_type"), "*")
+    return line_audit(fact).select(F.lit("Range & Logic Anomalies").alias("audit_type"), *_range_tests())
+
+
+def dq_duplicate_keys(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("order_item_id").agg(F.count("*").alias("occurrence_count")).where("occurrence_count > 1")
 
 
 def dq_status_concordance(fact: DataFrame) -> DataFrame:

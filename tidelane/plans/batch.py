@@ -47,6 +47,7 @@ def build_results(
     """Audits, classification and inventory table from a stored star, then the report tables
     from those two. Each table is stored once and read by the tables that follow."""
     star = read_star(spark, root, rollups=True)
+    write_result(quality.line_audit(star.fact), root, "dq_line_audit")
     write_result(quality.dq_scorecard(star), root, "dq_scorecard")
     write_result(quality.dq_constraints(star), root, "dq_constraints")
     write_result(classify.classify_products(star, params), root, "inventory_abc_xyz_analysis")

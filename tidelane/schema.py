@@ -83,8 +83,10 @@ MISSING_MARKS = [
 # Accepted date layouts, tried in this order.
 DATE_LAYOUTS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
 
-MONEY = "decimal(18,4)"
-RATE = "decimal(9,4)"
+# Files of this kind print single-precision amounts with up to nine digits (59.99000168), so
+# the scale is far below a cent; 18 digits in all still fit a long.
+MONEY = "decimal(18,8)"
+RATE = "decimal(14,10)"
 
 LONG_COLUMNS = [
     "order_item_id", "order_id", "order_customer_id", "product_id", "product_card_id",
@@ -95,6 +97,13 @@ MONEY_COLUMNS = [
     "product_price", "discount_amount", "sales_amount", "profit_per_order",
     "order_item_total", "order_profit_per_order", "sales_per_customer",
 ]
+# Numbers that a stored line cannot do without; text in one of them rejects the line, text in
+# another number column only leaves that column empty.
+VITAL_NUMBERS = [
+    "order_item_id", "order_id", "product_id", "customer_id", "quantity_ordered", "days_real",
+    "days_scheduled", "product_price", "sales_amount", "profit_per_order", "discount_amount",
+    "discount_rate",
+]
 DATE_COLUMNS = ["order_date", "shipping_date"]
 
 # Columns of the three tables, in DDL order.

@@ -147,6 +147,9 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     def text(c) -> Column:
         return (F.col(c) if isinstance(c, str) else c).cast("string")
 
+    def amount(c: str) -> Column:
+        return F.col(c).cast("decimal(18,4)").cast("string")
+
     def absent_if(condition: Column, value: Column) -> Column:
         return F.when(~condition, value)
 
@@ -157,8 +160,8 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         text("l_linestatus").alias("Type"),
         F.when(tax == 0.06, "-2").otherwise(text("days_real")).alias("Days for shipping (real)"),
         absent_if(quantity == 7, text("days_scheduled")).alias("Days for shipment (scheduled)"),
-        absent_if(quantity == 4, text("profit_per_order")).alias("Benefit per order"),
-        text("sales_amount").alias("Sales per customer"),
+        absent_if(quantity == 4, amount("profit_per_order")).alias("Benefit per order"),
+        amount("sales_amount").alias("Sales per customer"),
         absent_if(quantity == 1, F.col("delivery_status")).alias("Delivery Status"),
         F.when(quantity == 8, "1.0")
         .when(quantity == 9, "Y")
@@ -185,24 +188,24 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         .alias("order date (DateOrders)"),
         text("order_id").alias("Order Id"),
         text("product_id").alias("Order Item Cardprod Id"),
-        absent_if(tax == 0.03, text("discount_amount")).alias("Order Item Discount"),
-        absent_if(tax == 0.03, text("discount_rate")).alias("Order Item Discount Rate"),
+        absent_if(tax == 0.03, amount("discount_amount")).alias("Order Item Discount"),
+        absent_if(tax == 0.03, amount("discount_rate")).alias("Order Item Discount Rate"),
         text("order_item_id").alias("Order Item Id"),
         nothing.alias("Order Item Profit Ratio"),
         F.when(tax == 0.04, "-1")
         .when(tax == 0.05, F.concat(text("quantity_ordered"), F.lit(".7")))
         .otherwise(text("quantity_ordered"))
         .alias("Order Item Quantity"),
-        F.when(quantity == 5, "-5").when(quantity != 6, text("sales_amount")).alias("Sales"),
-        text("sales_amount").alias("Order Item Total"),
-        text("profit_per_order").alias("Order Profit Per Order"),
+        F.when(quantity == 5, "-5").when(quantity != 6, amount("sales_amount")).alias("Sales"),
+        amount("sales_amount").alias("Order Item Total"),
+        amount("profit_per_order").alias("Order Profit Per Order"),
         absent_if(quantity == 3, F.col("order_region")).alias("Order Region"),
         nothing.alias("Order State"),
         absent_if(quantity == 2, F.col("order_status")).alias("Order Status"),
         text("product_id").alias("Product Card Id"),
         nothing.alias("Product Category Id"),
         F.col("product_name").alias("Product Name"),
-        absent_if(tax == 0.08, text("product_price")).alias("Product Price"),
+        absent_if(tax == 0.08, amount("product_price")).alias("Product Price"),
         F.when((tax == 0.07) & (F.col("l_returnflag") == "A"), "unknown")
         .otherwise(date("shipping_date"))
         .alias("shipping date (DateOrders)"),
