@@ -126,7 +126,7 @@ def _parse_timestamps(spark, folder):
 
 
 def _dedupe_order_items(spark, folder):
-    return build.build_fact_orders(cleaning.dedupe_order_items(staged_lines(spark, folder)))
+    return build.build_fact_orders(staged_lines(spark, folder, unique=True))
 
 
 def _impute_defaults(spark, folder):
@@ -296,7 +296,7 @@ def _on_classified(operator) -> Query:
 
 
 def _on_routes(operator) -> Query:
-    return lambda spark, folder: operator(delivery.otif_by_route(stored_star(spark, folder)))
+    return lambda spark, folder: operator(settle(delivery.otif_by_route(stored_star(spark, folder))))
 
 
 def _on_master(operator) -> Query:
@@ -378,14 +378,14 @@ _ALL: dict[str, Query] = {
         delivery.late_cost_impact(stored_star(spark, folder))
     ),
     "monthly_report": lambda spark, folder: report.monthly_report(
-        delivery.monthly_delivery_trends(stored_star(spark, folder))
+        settle(delivery.monthly_delivery_trends(stored_star(spark, folder)))
     ),
     "heatmap_otif": _on_routes(report.heatmap_otif),
     "heatmap_delay": _on_routes(report.heatmap_delay),
     "heatmap_late_revenue": _on_routes(report.heatmap_late_revenue),
     "heatmap_bands": _on_routes(report.heatmap_bands),
     "classification_roster": _on_classified(report.classification_roster),
-    "reorder_roster": lambda spark, folder: report.reorder_roster(_master(spark, folder)),
+    "reorder_roster": lambda spark, folder: report.reorder_roster(settle(_master(spark, folder))),
     "sku_lookup": _sku_lookup,
     "sku_directive": _on_master(report.sku_directive),
     "days_on_hand": _on_master(report.days_on_hand),

@@ -1,4 +1,7 @@
-"""The tables behind the report sheets: scorecards, heatmaps, rosters and lookups."""
+"""The tables behind the report sheets: scorecards, heatmaps, rosters and lookups.
+
+Tables with a total row read their input twice, so pass a stored or settled table.
+"""
 
 from __future__ import annotations
 
@@ -152,17 +155,30 @@ def heatmap_late_revenue(routes: DataFrame, modes: list[str] | None = None) -> D
 
 
 def heatmap_bands(routes: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """One row per cell of the three heatmaps with the name of its colour band."""
-    small = settle(routes.select("market", "shipping_mode", "otif_rate_pct", "avg_delay_days", "late_revenue_at_risk"))
-    parts = []
-    for metric in ("otif_rate_pct", "avg_delay_days", "late_revenue_at_risk"):
-        grid = heatmap(small, metric)
-        parts.append(
-            grid.unpivot("market", [c for c in grid.columns if c != "market"], "shipping_mode", "value").withColumn(
-                "metric", F.lit(metric)
+    """One row per cell of the three heatmaps with the name of its colour band. One pivot of
+    the small route table gives all cells, missing routes included."""
+    metrics = ("otif_rate_pct", "avg_delay_days", "late_revenue_at_risk")
+    small = settle(routes.select("market", "shipping_mode", *[F.col(m).cast("double").alias(m) for m in metrics]))
+    grid = (
+        small.groupBy("market").pivot("shipping_mode").agg(*[F.first(m).alias(m) for m in metrics]).fillna(0.0)
+    )
+    cells = grid.select(
+        "market",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(metric).alias("metric"),
+                        F.lit(column.removesuffix(f"_{metric}")).alias("shipping_mode"),
+                        F.col(f"`{column}`").alias("value"),
+                    )
+                    for column in grid.columns
+                    for metric in metrics
+                    if column.endswith(f"_{metric}")
+                ]
             )
-        )
-    cells = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        ),
+    )
     value = F.col("value")
     band = (
         F.when((F.col("metric") == "otif_rate_pct") & (value < params.heat_low), "danger")
