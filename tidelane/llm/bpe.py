@@ -16,7 +16,6 @@ import heapq
 import json
 import re
 import struct
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.llm.frames import mapped
+
 # The pattern that byte-level BPE splits a text by before it merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -164,56 +165,42 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _replaced(schema: T.StructType, new: list[T.StructField]) -> T.StructType:
-    names = {f.name.lower() for f in new}
-    return T.StructType([f for f in schema.fields if f.name.lower() not in names] + new)
-
-
-def _mapped(df: DataFrame, new: list[T.StructField], compute) -> DataFrame:
-    """Add columns that ``compute(batch)`` returns as a list of arrays, batch by batch."""
-    schema = _replaced(df.schema, new)
-    kept = [f.name for f in schema.fields[: -len(new)]]
-    names = [f.name for f in schema.fields]
-
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, *compute(batch)], names=names)
-
-    return df.mapInArrow(work, schema)
-
-
 def bpe_encode(docs: DataFrame, path: str, text: str = "text", to: str = "token_ids") -> DataFrame:
     """Add the token ids of a text column, packed as little-endian unsigned 32-bit integers."""
 
-    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+    def start():
         encode = encoder(path).encode
-        return [pa.array([encode(x) for x in batch.column(text).to_pylist()], pa.binary())]
+        return lambda batch: [pa.array([encode(x) for x in batch.column(text).to_pylist()], pa.binary())]
 
-    return _mapped(docs, [T.StructField(to, T.BinaryType())], compute)
+    return mapped(docs, [T.StructField(to, T.BinaryType())], start)
 
 
 def bpe_decode(tokens: DataFrame, path: str, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
     """Add the text of packed token ids; null ids give an empty text."""
 
-    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+    def start():
         decode = encoder(path).decode
-        return [pa.array([decode(x or b"") for x in batch.column(ids).to_pylist()], pa.string())]
+        return lambda batch: [pa.array([decode(x or b"") for x in batch.column(ids).to_pylist()], pa.string())]
 
-    return _mapped(tokens, [T.StructField(to, T.StringType())], compute)
+    return mapped(tokens, [T.StructField(to, T.StringType())], start)
 
 
 def bpe_round_trip(
     docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded"
 ) -> DataFrame:
-    """Encode a text column and decode the ids again in one pass over the rows."""
+    """Encode a text column and decode the ids again in one pass over the rows; the ids and the decoded text replace the text."""
 
-    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+    def start():
         one = encoder(path)
-        packed = [one.encode(x) for x in batch.column(text).to_pylist()]
-        return [pa.array(packed, pa.binary()), pa.array([one.decode(x) for x in packed], pa.string())]
 
-    return _mapped(docs, [T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())], compute)
+        def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+            packed = [one.encode(x) for x in batch.column(text).to_pylist()]
+            return [pa.array(packed, pa.binary()), pa.array([one.decode(x) for x in packed], pa.string())]
+
+        return compute
+
+    new = [T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())]
+    return mapped(docs, new, start, drop=[text])
 
 
 def token_count(ids: str = "token_ids") -> Column:

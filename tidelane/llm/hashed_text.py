@@ -105,16 +105,26 @@ def token_hashes(
     return mix(hashes), np.searchsorted(starts, rows)
 
 
+def _places(rows: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places with ``reach`` more tokens after them in their row, and the rows' offsets among them."""
+    counts = np.maximum(np.diff(rows) - reach, 0)
+    out = np.concatenate(([0], np.cumsum(counts)))
+    return np.arange(out[-1]) + np.repeat(rows[:-1] - out[:-1], counts), out
+
+
+def equal_neighbours(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each pair of ``grams(..., (1,))``, whether its two tokens are equal."""
+    at, _ = _places(rows, 1)
+    return hashes[at] == hashes[at + 1]
+
+
 def grams(hashes: np.ndarray, rows: np.ndarray, gaps: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of word sequences: a token and those ``gaps`` places after it, within one row.
     Returns (hashes, offsets of the rows). ``gaps=(1,)`` gives pairs, ``(2,)`` pairs around one
     skipped word, ``(1, 2, 3, 4)`` five words."""
-    reach = max(gaps)
-    counts = np.maximum(np.diff(rows) - reach, 0)
-    out_rows = np.concatenate(([0], np.cumsum(counts)))
-    if not out_rows[-1]:
+    at, out_rows = _places(rows, max(gaps))
+    if not len(at):
         return np.zeros(0, np.uint64), out_rows
-    at = np.arange(out_rows[-1]) + np.repeat(rows[:-1] - out_rows[:-1], counts)
     h = hashes[at]
     for gap in gaps:
         h = mix(h * np.uint64(_BASE) + hashes[at + gap] + np.uint64(gap))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import bpe
+from tidelane.llm import bpe, quality_classifier, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -29,8 +29,26 @@ def op1_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade, chance of the accepted grade and verdict, per document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    graded = quality_classifier.classify_quality(docs, table(spark, folder, "labels"))
+    return graded.select("doc_id", "expected_grade", "tail", "accepted")
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out mark, score and prediction per document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe_encoding": op1_bpe_encoding}
+    return {
+        "op1_bpe_encoding": op1_bpe_encoding,
+        "op7_quality_classifier": op7_quality_classifier,
+        "op10_toxicity": op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
