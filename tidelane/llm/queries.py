@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import bpe, quality_classifier, toxicity
+from tidelane.llm import bpe, quality_classifier, secret_scan, toxicity
+from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -29,6 +30,19 @@ def op1_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and positions of secrets per document."""
+    scanned = secret_scan.scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    return scanned.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Expected grade, chance of the accepted grade and verdict, per document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -46,10 +60,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
+        "op3_secret_scan": op3_secret_scan,
         "op7_quality_classifier": op7_quality_classifier,
         "op10_toxicity": op10_toxicity,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
