@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelane.llm import secret_scan
+from tidelane.llm import quality_rules, secret_scan
 
 
 def _quoted(text: str) -> str:
@@ -58,7 +58,54 @@ def secrets_sql(select: str = "*") -> str:
     SELECT {select} FROM scanned"""
 
 
+def quality_rules_sql() -> str:
+    rates = quality_rules.RATES
+    rate = {r.name: f"CASE WHEN n_words > 0 THEN (1000 * {r.numerator}) // ({r.denominator}) END" for r in rates}
+    bucket = "CASE WHEN v < 32 THEN v ELSE (length(bin(v)) - 6) * 32 + (v >> (length(bin(v)) - 6)::BIGINT) END"
+    top = lambda q: f"CASE WHEN {q} < 64 THEN {q} ELSE (({q} - ({q} // 32 - 1) * 32 + 1) << ({q} // 32 - 1)::BIGINT) - 1 END"
+    high = lambda r: f"max(q3 + 3 * greatest(q3 - q1, {r.floor})) FILTER (rate = '{r.name}') AS {r.name}_high"
+    low = lambda r: f"max(q1 - 3 * greatest(q3 - q1, {r.floor})) FILTER (rate = '{r.name}') AS {r.name}_low"
+    names = [f"{r.name}_high" for r in rates] + [f"{r.name}_low" for r in rates if r.both_sides]
+    pick = ", ".join(
+        f"CASE WHEN o.documents >= 200 THEN o.{n} WHEN u.documents >= 200 THEN u.{n} ELSE t.{n} END AS {n}" for n in names
+    )
+    inside = " AND ".join(
+        f"({rate[r.name]}) <= {r.name}_high" + (f" AND ({rate[r.name]}) >= {r.name}_low" if r.both_sides else "") for r in rates
+    )
+    return f"""
+    WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+    words AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
+        SELECT rid, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM numbered)),
+    windows AS (SELECT rid, i, w || ' ' || lead(w) OVER p || ' ' || lead(w, 2) OVER p AS g FROM words WINDOW p AS (PARTITION BY rid ORDER BY i)),
+    twice AS (SELECT rid, i FROM windows WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+    repeats AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY rid),
+    line AS (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM numbered),
+    lines AS (SELECT rid, count(*) AS n, count(DISTINCT l) AS d FROM line WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY rid),
+    measured AS (SELECT a.rid, doc_id, lang, source, len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_words,
+        length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(l.n, 0)::BIGINT AS n_lines, coalesce(l.n - l.d, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+        FROM numbered a LEFT JOIN lines l USING (rid) LEFT JOIN repeats r USING (rid)),
+    rated AS ({" UNION ALL ".join(f"SELECT lang, source, '{r.name}' AS rate, ({rate[r.name]})::BIGINT AS v FROM measured WHERE n_words > 0" for r in rates)}),
+    leveled AS (SELECT 0 AS level, lang, source, rate, v FROM rated UNION ALL SELECT 1, lang, NULL, rate, v FROM rated
+        UNION ALL SELECT 2, NULL, NULL, rate, v FROM rated),
+    sketch AS (SELECT level, lang, source, rate, {bucket} AS b, count(*) AS n FROM leveled GROUP BY ALL),
+    climbed AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY b) AS upto,
+        sum(n) OVER (PARTITION BY level, lang, source, rate) AS total FROM sketch),
+    quartile AS (SELECT level, lang, source, rate, max(total) AS documents, min(b) FILTER (upto * 4 >= total)::BIGINT AS b1,
+        min(b) FILTER (upto * 4 >= total * 3)::BIGINT AS b3 FROM climbed GROUP BY ALL),
+    quartiles AS (SELECT *, {top("b1")} AS q1, {top("b3")} AS q3 FROM quartile),
+    wide AS (SELECT level, lang, source, max(documents) AS documents, {", ".join([high(r) for r in rates] + [low(r) for r in rates if r.both_sides])}
+        FROM quartiles GROUP BY level, lang, source),
+    bounds AS (SELECT o.lang, o.source, {pick} FROM wide o LEFT JOIN wide u ON u.level = 1 AND u.lang IS NOT DISTINCT FROM o.lang
+        LEFT JOIN wide t ON t.level = 2 WHERE o.level = 0),
+    judged AS (SELECT m.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce({inside}, false) AS inside
+        FROM measured m LEFT JOIN bounds b ON m.lang IS NOT DISTINCT FROM b.lang AND m.source IS NOT DISTINCT FROM b.source)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept FROM judged"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_quality_rules": quality_rules_sql(),
         "op3_secret_scan": secrets_sql("doc_id, n_assign, n_access, n_hex, sha256(base_spans) AS base_sha256, spans"),
     }

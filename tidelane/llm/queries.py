@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import bpe, quality_classifier, secret_scan, toxicity
+from tidelane.llm import bpe, quality_classifier, quality_rules, secret_scan, toxicity
 from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -43,6 +43,14 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, base verdict and adaptive verdict per document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return quality_rules.quality_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Expected grade, chance of the accepted grade and verdict, per document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -61,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
         "op3_secret_scan": op3_secret_scan,
+        "op6_quality_rules": op6_quality_rules,
         "op7_quality_classifier": op7_quality_classifier,
         "op10_toxicity": op10_toxicity,
     }
