@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelane.llm import quality_rules, secret_scan
+from tidelane.llm import quality_rules, secret_scan, sharding
 
 
 def _quoted(text: str) -> str:
@@ -104,8 +104,39 @@ def quality_rules_sql() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept FROM judged"""
 
 
+def sharding_sql(shards: int = 16) -> str:
+    first, second = sharding.MULTIPLIERS
+    low = sharding.LOW
+    levels = ["SELECT rid, n, half, x >> half AS l0, x & ((1::BIGINT << half) - 1) AS r0 FROM walk"]
+    keys = sharding.Permutation.keys
+    for i, key in enumerate(keys):
+        f = f"((r{i} * {first} + {key}) & {low})"
+        g = f"((xor({f}, {f} >> 15) * {second}) & {low})"
+        levels.append(
+            f"SELECT rid, n, half, r{i} AS l{i + 1}, xor(l{i}, xor({g}, {g} >> 13) & ((1::BIGINT << half) - 1)) AS r{i + 1} FROM ({levels[-1]})"
+        )
+    k = len(keys)
+    steps = "list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)"
+    return f"""
+    WITH RECURSIVE crc AS (SELECT list({steps} ORDER BY n) AS tab FROM (SELECT unnest(range(256)) AS n)),
+    texts AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents),
+    digests AS (SELECT t, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(regexp_replace(lower(hex(encode(t))), '(..)', '\\1,', 'g'), ',')[:-2],
+            lambda h: (16 * (strpos('0123456789abcdef', h[1]) - 1) + strpos('0123456789abcdef', h[2]) - 1)::BIGINT)),
+        lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1]))) AS crc FROM texts, crc),
+    sized AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size, crc::BIGINT AS text_crc32
+        FROM documents JOIN digests ON t = coalesce(text, '')),
+    numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS rid, count(*) OVER () AS n FROM sized),
+    walk AS (SELECT rid, n, greatest(1, (length(bin(greatest(n, 2) - 1)) + 1) // 2)::BIGINT AS half, rid::BIGINT AS x, 0 AS step FROM numbered
+        UNION ALL
+        SELECT rid, n, half, (l{k} << half) | r{k} AS x, 1 AS step FROM ({levels[-1].replace("FROM walk", "FROM walk WHERE step = 0 OR x >= n")}))
+    SELECT doc_id, size, text_crc32, 'rows' AS law, (x % {shards})::INT AS shard, x // {shards} AS slot, NULL::INT AS grown_shard
+    FROM numbered JOIN walk USING (rid) WHERE step = 1 AND x < walk.n"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_sharding": sharding_sql(),
         "op6_quality_rules": quality_rules_sql(),
         "op3_secret_scan": secrets_sql("doc_id, n_assign, n_access, n_hex, sha256(base_spans) AS base_sha256, spans"),
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import bpe, quality_classifier, quality_rules, secret_scan, toxicity
+from tidelane.llm import bpe, quality_classifier, quality_rules, secret_scan, sharding, toxicity
 from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -58,6 +58,20 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return graded.select("doc_id", "expected_grade", "tail", "accepted")
 
 
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot per document; shards differ by one row at most."""
+    placed = sharding.feistel_shards(table(spark, folder, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out mark, score and prediction per document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -71,5 +85,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secret_scan": op3_secret_scan,
         "op6_quality_rules": op6_quality_rules,
         "op7_quality_classifier": op7_quality_classifier,
+        "op8_sharding": op8_sharding,
         "op10_toxicity": op10_toxicity,
     }
