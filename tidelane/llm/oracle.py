@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelane.llm import quality_rules, secret_scan, sharding
+from tidelane.llm import mixing, quality_rules, secret_scan, sharding
 
 
 def _quoted(text: str) -> str:
@@ -134,8 +134,31 @@ def sharding_sql(shards: int = 16) -> str:
     FROM numbered JOIN walk USING (rid) WHERE step = 1 AND x < walk.n"""
 
 
+def mixing_ctes(documents: str = "documents") -> str:
+    """Targets by filling sources in order, and words taken as whole laps and a rest of each stream."""
+    seed = mixing.Settings().seed
+    return f"""
+    sized AS (SELECT * EXCLUDE (source), source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+        md5('{seed}:' || coalesce(doc_id::VARCHAR, '')) AS mix_key FROM {documents}),
+    sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+    weighed AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT]::BIGINT AS weight FROM sources),
+    climbed AS (SELECT *, sum(source_size) OVER () AS total, coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS mosts,
+        sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM weighed
+        WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
+    marked AS (SELECT *, 3 * source_size::HUGEINT * weights <= weight * (total - mosts) AS is_full FROM climbed),
+    rest AS (SELECT max(total) - coalesce(sum(3 * source_size) FILTER (is_full), 0) AS words, sum(weight) FILTER (NOT is_full) AS weight FROM marked),
+    targets AS (SELECT source, source_size, CASE WHEN is_full THEN (3 * source_size)::DOUBLE ELSE (m.weight * words)::DOUBLE / rest.weight::DOUBLE END AS target
+        FROM marked m, rest),
+    streamed AS (SELECT s.*, source_size, target, floor(target)::BIGINT AS quota,
+        sum(size) OVER (PARTITION BY s.source ORDER BY mix_key, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT - size AS begins
+        FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+    mixed AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE quota // source_size * size
+        + greatest(0, least(begins + size, quota % source_size) - begins) END::BIGINT AS taken FROM streamed)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op9_mixing": f"WITH {mixing_ctes()} SELECT doc_id, size, source_size, target, taken FROM mixed",
         "op8_sharding": sharding_sql(),
         "op6_quality_rules": quality_rules_sql(),
         "op3_secret_scan": secrets_sql("doc_id, n_assign, n_access, n_hex, sha256(base_spans) AS base_sha256, spans"),

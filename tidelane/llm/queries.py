@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import bpe, quality_classifier, quality_rules, secret_scan, sharding, toxicity
+from tidelane.llm import bpe, mixing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
 from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -72,6 +72,12 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of each document, with the target of its source."""
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out mark, score and prediction per document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -86,5 +92,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_sharding": op8_sharding,
+        "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
     }
