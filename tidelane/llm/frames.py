@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,3 +44,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, text: str = "
     chosen = one.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(most)
     found = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     return found.groupBy("_order", "doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def runs(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows with equal keys of a task whose rows are sorted by them."""
+    held: pa.Table | None = None
+    for batch in parts:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        columns = [held.column(k).to_numpy() for k in keys]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1 if len(held) else []
+        first = 0
+        for at in change:
+            yield held.slice(first, at - first)
+            first = at
+        held = held.slice(first)
+    if held is not None and len(held):
+        yield held

@@ -201,3 +201,17 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
         "target",
         F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
     )
+
+
+def mixed_documents(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows as often as the mix takes them, columns as they came. Where the quota cuts a document, it stays if half
+    of it or more is taken. Equal rows share one count."""
+    key = F.xxhash64(F.col(id), F.col("source"), F.col(text))
+    mixed = mix(docs.select(F.col(id).alias("_id"), "source", F.col(text).alias("_text"), key.alias("_at")), settings, "_id", "_text")
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    counts = mixed.filter("taken > 0").groupBy("_at", "_id").agg(F.sum(copies).cast("int").alias("_copies"))
+    keyed = docs.withColumn("_at", key).alias("d")
+    wanted = counts.filter("_copies > 0").alias("c")
+    same = (F.col("d._at") == F.col("c._at")) & F.col(f"d.{id}").eqNullSafe(F.col("c._id"))
+    one = keyed.join(wanted, same).select("d.*", "c._copies").dropDuplicates(["_at", id])
+    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

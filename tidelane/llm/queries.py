@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import ann, bpe, mixing, quality_classifier, quality_rules, secret_scan, sharding, toxicity
+from tidelane.llm import ann, bpe, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, toxicity
 from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -49,6 +49,11 @@ def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, folder, "embeddings"), is_query)
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near copies and number of links of each document."""
+    return ngram_join.ngram_join(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, base verdict and adaptive verdict per document."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe_encoding": op1_bpe_encoding,
         "op3_secret_scan": op3_secret_scan,
         "op4_nearest_neighbours": op4_nearest_neighbours,
+        "op5_ngram_join": op5_ngram_join,
         "op6_quality_rules": op6_quality_rules,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_sharding": op8_sharding,
