@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import ann, bpe, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, toxicity
+from tidelane.llm import ann, bpe, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, token_count, toxicity
 from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +31,12 @@ def op1_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of unigram tokens of each document, by the pieces and scores of a vocabulary file."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_count.token_counts(docs, public_tokenizers.path(PIECES))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and positions of secrets per document."""
     scanned = secret_scan.scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
@@ -99,6 +106,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
+        "op2_token_counts": op2_token_counts,
         "op3_secret_scan": op3_secret_scan,
         "op4_nearest_neighbours": op4_nearest_neighbours,
         "op5_ngram_join": op5_ngram_join,
