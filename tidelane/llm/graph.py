@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from tidelane.functions.lineage import settle
 
+#: Parts that the neighbours of a node are dealt in; larger parts are split at run time like those of any skewed join.
+SALTS = 16
+
 
 def _towards_least(edges: DataFrame) -> DataFrame:
-    """Point the neighbours of each node, and itself, at the least of them. ``edges`` has ``u`` and ``v``; the least is found by
-    partial minima, and joined back, so a node with many neighbours is no single group."""
+    """Point the neighbours of each node, and itself, at the least of them. ``edges`` has ``u`` and ``v``. The least is
+    found by partial minima and joined back to edges dealt by node and salt, so a node with many neighbours is no single group."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"])
 
 
 def _state(edges: DataFrame) -> tuple:
