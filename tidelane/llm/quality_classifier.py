@@ -138,7 +138,9 @@ def fit(sample: DataFrame, settings: Settings = Settings(), text: str = "text",
 
     one = sample.select("_order", F.col(text), F.col(label).cast("double").alias(label))
     ordered = one.repartition(1).sortWithinPartitions("_order")
-    row = ordered.mapInArrow(work, "weights binary, thresholds array<double>").collect()[0]
+    row = ordered.mapInArrow(work, "weights binary, thresholds array<double>").first()
+    if row is None:  # Spark runs no task where it knows that there are no rows
+        return fit_rows([], settings)
     weights = np.frombuffer(bytes(row["weights"]), "<f4")
     return Model(settings.bits, settings.scale, weights, np.array(row["thresholds"]))
 

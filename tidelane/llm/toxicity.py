@@ -36,11 +36,13 @@ class Settings:
     epochs: int = 3
     alpha: float = 1.0
     beta: float = 1.0
-    #: strength of L1 at 6,000 rows and beyond; below, it falls with the root of their number, to ``least_l1``
+    #: strength of L1 for 12,000 rows; for fewer it falls with the root of their number, to ``least_l1``
     l1: float = 10.0
-    least_l1: float = 3.0
+    least_l1: float = 2.0
     l2: float = 1.0
     threshold: float = 0.3
+    #: value of a pair, where a word's is 1: single words are learned first
+    pair: float = 0.5
 
 
 @dataclass(frozen=True)
@@ -49,16 +51,23 @@ class Model:
 
     bits: int
     skips: tuple[int, ...]
+    pair: float
     intercept: float
     index: np.ndarray
     weight: np.ndarray
 
 
 def features(column: pa.Array, bits: int, skips: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Feature indexes with row offsets: words, pairs, and pairs with ``skip - 1`` words between."""
+    """Feature indexes with row offsets: words, pairs, and pairs with ``skip - 1`` words between.
+    Words have the lower half of the indexes, pairs the upper one."""
     words, rows = H.token_hashes(column, H.SPLIT, lower=True)
     parts = [(words, rows), *(H.grams(words, rows, (gap,)) for gap in (1, *skips))]
-    return [((h >> np.uint64(64 - bits)).astype(np.uint32), at) for h, at in parts]
+    half = np.uint32(1 << (bits - 1))
+    return [((h >> np.uint64(65 - bits)).astype(np.uint32) + half * (k > 0), at) for k, (h, at) in enumerate(parts)]
+
+
+def values(index: np.ndarray, bits: int, pair: float) -> np.ndarray:
+    return np.where(index >> (bits - 1), pair, 1.0)
 
 
 def fit_rows(examples: list[tuple[np.ndarray, float]], settings: Settings) -> Model:
@@ -69,19 +78,21 @@ def fit_rows(examples: list[tuple[np.ndarray, float]], settings: Settings) -> Mo
     b0 = float(np.log((positive + 1) / (len(examples) - positive + 9)))
     bias, bias_n = b0, 0.0
     a, b, l2 = settings.alpha, settings.beta, settings.l2
-    l1 = min(settings.l1, max(settings.least_l1, settings.l1 * (len(examples) / 6_000) ** 0.5))
+    l1 = min(settings.l1, max(settings.least_l1, settings.l1 * (len(examples) / 12_000) ** 0.5))
     for _ in range(settings.epochs):
         for index, y in examples:
             zi, root = z[index], np.sqrt(n[index])
             w = np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((b + root) / a + l2))
-            g = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -35, 35))) - y
+            x = values(index, settings.bits, settings.pair)
+            error = 1 / (1 + np.exp(-np.clip(bias + (w * x).sum(), -35, 35))) - y
+            g = error * x
             n[index] += g * g
             z[index] = zi + g - (np.sqrt(n[index]) - root) / a * w
-            bias_n += g * g
-            bias -= a * g / (b + bias_n**0.5)
+            bias_n += error * error
+            bias -= a * error / (b + bias_n**0.5)
     w = np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((b + np.sqrt(n)) / a + l2))
     index = np.flatnonzero(w)
-    return Model(settings.bits, settings.skips, float(bias), index.astype(np.uint32), w[index])
+    return Model(settings.bits, settings.skips, settings.pair, float(bias), index.astype(np.uint32), w[index])
 
 
 def score_column(column: pa.Array, model: Model, table: np.ndarray) -> np.ndarray:
@@ -95,7 +106,8 @@ def score_column(column: pa.Array, model: Model, table: np.ndarray) -> np.ndarra
             row = np.searchsorted(rows, hit, "right") - 1
             keys.append((row.astype(np.int64) << model.bits) | index[hit])
         found = np.unique(np.concatenate(keys))
-        weights = table[found & ((1 << model.bits) - 1)]
+        index = found & ((1 << model.bits) - 1)
+        weights = table[index] * values(index, model.bits, model.pair)
         out[first:last] = model.intercept + np.bincount(found >> model.bits, weights, last - first)
     return 1 / (1 + np.exp(-np.clip(out, -35, 35)))
 
@@ -128,10 +140,13 @@ def fit(sample: DataFrame, settings: Settings = Settings(), text: str = "text",
 
     one = sample.select("_order", F.col(text), F.col(label).cast("double").alias(label))
     ordered = one.repartition(1).sortWithinPartitions("_order")
-    row = ordered.mapInArrow(work, "intercept double, index binary, weight binary").collect()[0]
+    row = ordered.mapInArrow(work, "intercept double, index binary, weight binary").first()
+    if row is None:  # Spark runs no task where it knows that there are no rows
+        return fit_rows([], settings)
     return Model(
         settings.bits,
         settings.skips,
+        settings.pair,
         row["intercept"],
         np.frombuffer(bytes(row["index"]), np.uint32),
         np.frombuffer(bytes(row["weight"]), np.float64),
