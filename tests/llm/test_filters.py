@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+import os
+import random
+import string
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL
+from tests.llm import brute, edges
+from tidelane.llm import quality_classifier, quality_rules, secret_scan, toxicity
+
+needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
+
+
+def secret_texts(n: int) -> list[str]:
+    rng = random.Random(3)
+    base64 = string.ascii_letters + string.digits + "+/_=-"
+
+    def piece() -> str:
+        kind = rng.random()
+        if kind < 0.2:
+            return "".join(rng.choices("abcdef0123456789", k=rng.randint(1, 60)))
+        if kind < 0.3:
+            return "AKIA" + "".join(rng.choices(string.ascii_uppercase + string.digits, k=rng.randint(1, 20)))
+        if kind < 0.5:
+            name = rng.choice(["password", "PassWd", "secret", "Token", "api_key", "APIKEY"])
+            return name + rng.choice([":", "=", " : ", '" =  ', '= "']) + "".join(rng.choices(base64 + ".", k=rng.randint(1, 30)))
+        if kind < 0.6:
+            return "".join(rng.choices(base64, k=rng.randint(10, 90)))
+        return rng.choice(["é漢😀", "hello", " ", "\n", "x EXAMPLE", "ſecret=abcdefabcdefabcdef", "a" * 30, "token=password: abcdefghijkl1"])
+
+    return ["".join(piece() + rng.choice([" ", ""]) for _ in range(rng.randint(0, 20))) for _ in range(n)]
+
+
+def test_spans_as_plain_python_finds_them(spark):
+    many = " ".join("%032x" % random.Random(1).getrandbits(128) for _ in range(400))
+    texts = [*secret_texts(200), None, "", many]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.base_spans, r.spans) for r in secret_scan.scan_secrets(docs).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == brute.secrets(text), repr(text)[:300]
+
+
+def test_secret_scan_on_awkward_rows(spark):
+    docs = edges.documents(spark)
+    found = {r.doc_id: r.spans for r in secret_scan.scan_secrets(docs).collect()}
+    assert found[7].startswith("assign:300000:") and found[4] == found[5] == ""
+    clean = secret_scan.without_secrets(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count() - 1
+    assert secret_scan.scan_secrets(edges.empty(spark)).count() == 0
+
+
+def test_repeated_words_and_lines(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(0, 12))) for _ in range(150)]
+    texts += ["x y\nx y\n\n \nx y", "a b c a b c", "a a a a", "\n\n", "a" * 10 + "\n" + "a" * 10, "a b c " * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules.measure(docs).collect():
+        words = (r.text or "").split()
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        twice = {w for w in windows if windows.count(w) > 1} if len(words) < 100 else set(windows)
+        places = {p for i, w in enumerate(windows) if w in twice for p in (i, i + 1, i + 2)}
+        lines = [x for x in (r.text or "").split("\n") if x.strip()]
+        assert (r.n_words, r.n_repeat_words) == (len(words), len(places)), r.text[:80]
+        assert (r.n_lines, r.n_dup_lines) == (len(lines), len(lines) - len(set(lines)))
+
+
+def test_sketches_merge_to_the_quartiles(spark):
+    values = [*range(0, 3000, 7), 64, 65, 100_000]
+    frame = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality_rules.bucket(F.col("v")).alias("b"))
+    rows = frame.withColumn("top", quality_rules.bucket_top(F.col("b"))).orderBy("v").collect()
+    assert all(r.v <= r.top <= r.v + max(0, r.v / 32) for r in rows)
+    assert [r.b for r in rows] == sorted(r.b for r in rows)
+
+
+def test_quality_rules_on_awkward_rows(spark):
+    docs = edges.documents(spark)
+    judged = quality_rules.quality_rules(docs)
+    assert judged.count() == docs.count()
+    by_id = {r.doc_id: r for r in judged.collect()}
+    assert by_id[4].n_words == 0 and by_id[4].base_failed and not by_id[4].kept
+    assert by_id[7].base_failed  # one line of one repeated word
+    assert quality_rules.quality_rules(edges.empty(spark)).count() == 0
+
+
+@needs_tables
+def test_classifiers_hold_out(spark):
+    folder = SMALL.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.xxhash64("doc_id") % 4 == 0
+    graded = quality_classifier.classify_quality(docs, labels.filter(~fold)).join(labels.filter(fold), "doc_id")
+    good, bad = graded.filter("quality = 1"), graded.filter("quality = 0")
+    assert good.filter("accepted").count() >= 0.98 * good.count()
+    assert bad.filter("accepted").count() <= 0.1 * bad.count()
+    scored = toxicity.toxicity(docs, labels).filter("held_out").join(labels, "doc_id")
+    right = scored.filter("toxic = predicted").count()
+    hit, marked = scored.filter("toxic = 1 and predicted = 1").count(), scored.filter("predicted = 1").count()
+    assert right >= 0.96 * scored.count() and hit >= 0.85 * marked
+    assert hit >= 0.75 * scored.filter("toxic = 1").count()
+
+
+def test_classifiers_on_awkward_rows(spark):
+    docs, labels = edges.documents(spark), edges.labels(spark)
+    for rows, marks in ((docs, labels), (docs, labels.limit(0)), (edges.empty(spark), labels)):
+        graded = quality_classifier.classify_quality(rows, marks)
+        assert graded.filter("tail between 0 and 1 and expected_grade >= tail").count() == rows.count()
+        scored = toxicity.toxicity(rows, marks)
+        assert scored.filter("score between 0 and 1").count() == rows.count()
+    unlabelled = quality_classifier.classify_quality(docs, labels.limit(0))
+    assert unlabelled.filter("not accepted").count() == 0
+    assert toxicity.toxicity(docs, labels.limit(0)).filter("predicted = 1").count() == 0
+
+
+def test_labels_of_held_out_rows_change_nothing(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 7} idiot" if i % 3 else f"text {i}") for i in range(60)], "doc_id long, text string")
+    marks = docs.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("toxic"), F.lit(1).alias("quality"))
+    flipped = marks.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    scores = [
+        sorted((r.doc_id, r.score) for r in toxicity.toxicity(docs, x).collect()) for x in (marks, flipped)
+    ]
+    assert scores[0] == scores[1]
