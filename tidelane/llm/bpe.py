@@ -31,8 +31,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 _CUT = re.compile(r" (?=\S)")
 _UNEVEN = re.compile(r" (?!\S)")
-#: Most units and pieces that a worker keeps, and the longest of them, in characters.
-KEPT, KEPT_LENGTH = 400_000, 48
+#: Most units after a space, pieces and other units that a worker keeps, and the longest of them, in characters.
+KEPT_SPACED, KEPT_PIECES, KEPT_UNITS, KEPT_LENGTH = 250_000, 100_000, 20_000, 48
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -101,13 +101,13 @@ def merge(piece: bytes, vocabulary: Vocabulary) -> list[int]:
 class _Kept(dict):
     """A table that computes what it lacks, keeps short entries and starts anew when full."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, most: int, make):
+        self.most, self.make = most, make
 
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
         if len(key) <= KEPT_LENGTH:
-            if len(self) >= KEPT:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = value
         return value
@@ -124,9 +124,9 @@ class Encoder:
             if self.vocabulary.special
             else None
         )
-        self.pieces = _Kept(lambda piece: self.pack(merge(piece.encode(), self.vocabulary)))
-        self.units = _Kept(lambda unit: b"".join([self.pieces[p] for p in self.pattern.findall(unit)]))
-        self.spaced = _Kept(lambda rest: b"".join([self.pieces[p] for p in self.pattern.findall(" " + rest)]))
+        self.pieces = _Kept(KEPT_PIECES, lambda piece: self.pack(merge(piece.encode(), self.vocabulary)))
+        self.units = _Kept(KEPT_UNITS, lambda unit: b"".join([self.pieces[p] for p in self.pattern.findall(unit)]))
+        self.spaced = _Kept(KEPT_SPACED, lambda rest: b"".join([self.pieces[p] for p in self.pattern.findall(" " + rest)]))
 
     @staticmethod
     def pack(ids: list[int]) -> bytes:
@@ -172,7 +172,7 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text", to: str = "token_
         encode = encoder(path).encode
         return lambda batch: [pa.array([encode(x) for x in batch.column(text).to_pylist()], pa.binary())]
 
-    return mapped(docs, [T.StructField(to, T.BinaryType())], start)
+    return mapped(docs, [T.StructField(to, T.BinaryType())], start, text=text)
 
 
 def bpe_decode(tokens: DataFrame, path: str, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
@@ -200,7 +200,7 @@ def bpe_round_trip(
         return compute
 
     new = [T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())]
-    return mapped(docs, new, start, drop=[text])
+    return mapped(docs, new, start, drop=[text], text=text)
 
 
 def token_count(ids: str = "token_ids") -> Column:

@@ -10,26 +10,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.llm.hashed_text import batches
+
 
 def mapped(
     df: DataFrame,
     new: list[T.StructField],
     start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
     drop: Iterable[str] = (),
+    text: str | None = None,
 ) -> DataFrame:
     """Add columns batch by batch. ``start()`` runs once per task and returns the function that
     gives the new columns of a batch. Columns in ``drop``, and those named like a new one, are
-    not handed on."""
+    not handed on. With ``text``, batches are cut in pieces of some megabytes of that column, so a task's
+    memory depends on the longest text and not on the number of rows in a batch."""
     out = {name.lower() for name in drop} | {field.name.lower() for field in new}
     fields = [f for f in df.schema.fields if f.name.lower() not in out]
     kept, names = [f.name for f in fields], [f.name for f in [*fields, *new]]
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = None
-        for batch in parts:
+        for whole in parts:
             compute = compute or start()
-            columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, *compute(batch)], names=names)
+            for first, last in batches(whole.column(text)) if text else [(0, whole.num_rows)]:
+                batch = whole.slice(first, last - first)
+                columns = [batch.column(name) for name in kept]
+                yield pa.RecordBatch.from_arrays([*columns, *compute(batch)], names=names)
 
     return df.mapInArrow(work, T.StructType([*fields, *new]))
 

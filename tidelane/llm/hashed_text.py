@@ -131,7 +131,7 @@ def grams(hashes: np.ndarray, rows: np.ndarray, gaps: tuple[int, ...]) -> tuple[
     return h, out_rows
 
 
-def batches(column: pa.Array, size: int = 1 << 22):
+def batches(column: pa.Array, size: int = 1 << 21):
     """Cut a text column in slices of about ``size`` bytes (one row at least): (from, to)."""
     _, rows = utf8(column)
     first, n = 0, len(rows) - 1

@@ -123,7 +123,7 @@ def signed(docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame
 
     new = [T.StructField("_sig", T.BinaryType()), T.StructField("_grams", T.LongType())]
     whole = docs.withColumn("_fp", digest(F.col(text)))
-    return mapped(whole, new, start, drop=[text])
+    return mapped(whole, new, start, drop=[text], text=text)
 
 
 def forest(a: np.ndarray, b: np.ndarray, close: np.ndarray) -> list[tuple[int, int]]:
@@ -247,7 +247,7 @@ def linked(texts: DataFrame, settings: Settings) -> DataFrame:
 
         return compute
 
-    sets = mapped(texts, [T.StructField("_set", T.BinaryType())], start, drop=["text"])
+    sets = mapped(texts, [T.StructField("_set", T.BinaryType())], start, drop=["text"], text="text")
     keys = ["_group", "_i", "_j"]
     dealt = block_pairs(sets, ["_group"], "_blocks", "_rep").select("_rep", "_own", "_set", *keys)
     schema = pa.schema([("_rep", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])

@@ -117,7 +117,7 @@ def shares(column: pa.Array, settings: Settings) -> list[tuple[np.ndarray, np.nd
         for i in range(last - first):
             found = np.concatenate([index[rows[i] : rows[i + 1]] for index, rows in parts])
             index, count = np.unique(found, return_counts=True)
-            out.append((index, count / max(len(found), 1)))
+            out.append((index, (count / max(len(found), 1)).astype(np.float32)))
     return out
 
 
@@ -157,7 +157,7 @@ def quality_grades(docs: DataFrame, model: Model, settings: Settings = Settings(
         return compute
 
     new = [T.StructField("expected_grade", T.DoubleType()), T.StructField("tail", T.DoubleType())]
-    return mapped(docs, [*new, T.StructField("accepted", T.BooleanType())], start)
+    return mapped(docs, [*new, T.StructField("accepted", T.BooleanType())], start, text=text)
 
 
 def grade(quality: Column, toxic: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidelane.llm.frames import mapped
 
 SPACE = "▁"
-KEPT, KEPT_LENGTH = 400_000, 48
+KEPT, KEPT_LENGTH = 300_000, 48
 #: What the unknown piece scores below the least piece.
 UNKNOWN = 10
 
@@ -123,4 +123,4 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", to: str = "n_to
         count = counter(path).count
         return lambda batch: [pa.array([count(x) for x in batch.column(text).to_pylist()], pa.int64())]
 
-    return mapped(docs, [T.StructField(to, T.LongType())], start, drop=[text])
+    return mapped(docs, [T.StructField(to, T.LongType())], start, drop=[text], text=text)

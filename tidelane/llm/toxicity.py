@@ -161,7 +161,7 @@ def toxicity_scores(docs: DataFrame, model: Model, text: str = "text", to: str =
         table[model.index] = model.weight
         return lambda batch: [pa.array(score_column(batch.column(text), model, table), pa.float64())]
 
-    return mapped(docs, [T.StructField(to, T.DoubleType())], start, drop=[text])
+    return mapped(docs, [T.StructField(to, T.DoubleType())], start, drop=[text], text=text)
 
 
 def held_out(doc_id: Column) -> Column:
