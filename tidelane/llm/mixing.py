@@ -71,16 +71,14 @@ def source_targets(sized: DataFrame, settings: Settings = Settings()) -> DataFra
     left = total - (F.col("_mosts") - F.col("_most"))
     weight_left = F.col("_weights_total") - (F.col("_weights") - F.col("weight"))
     full = exact(F.col("_most")) * exact(weight_left) <= exact(F.col("weight")) * exact(left)
-    marked = filled.select(*weighed.columns, full.alias("_full"), total.alias("_total"), F.lit(0).alias("_all"))
-    rest = marked.groupBy("_all").agg(
-        (F.max("_total") - F.sum(F.when(F.col("_full"), F.col("_most")).otherwise(0))).alias("_words"),
-        F.sum(F.when(~F.col("_full"), F.col("weight"))).alias("_weight"),
-    )
-    share = (F.col("weight") * F.col("_words")).cast("double") / F.col("_weight").cast("double")
+    marked = filled.select(*weighed.columns, full.alias("_full"), total.alias("_total"))
+    words = F.max("_total") - F.sum(F.when(F.col("_full"), F.col("_most")).otherwise(0))
+    rest = marked.agg(F.struct(words.alias("words"), F.sum(F.when(~F.col("_full"), F.col("weight"))).alias("weight")))
+    left_over = rest.scalar()
+    share = (F.col("weight") * left_over["words"]).cast("double") / left_over["weight"].cast("double")
     target = F.when(F.col("_full"), F.col("_most").cast("double")).otherwise(share)
     return (
-        marked.join(F.broadcast(rest), "_all")  # one row
-        .withColumn("target", target)
+        marked.withColumn("target", target)
         .select("source", "source_size", "number", "start", "weight", "target", F.floor("target").alias("quota"))
     )
 
@@ -190,8 +188,9 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
             F.least(F.col("_from") + F.col("size"), (F.col("block") + 1) * wide).alias("_b"),
         )
     )
-    # a block is taken once per lap, so few slots meet in one
-    slots = schedule(ranges, settings)
+    # a block is taken once per lap, so few slots meet in one; they are dealt before the join, which otherwise would
+    # judge their size by the few rows that they are made from
+    slots = schedule(ranges, settings).repartition("number", "block")
     overlap = F.greatest(F.least(F.col("_b"), F.col("until")) - F.col("_a"), F.lit(0).cast("long"))
     taken = pieces.join(slots, ["number", "block"]).groupBy("_row").agg(F.sum(overlap).alias("taken"))
     return placed.join(taken, "_row", "left").select(
