@@ -134,7 +134,7 @@ cte("typed", ["staged"], """
     case when qty = 7 then null else days_scheduled end as days_scheduled,
     case when tax = 0.06 then -2 else days_real end as days_real,
     case when qty = 1 then null else delivery_status end as delivery_status,
-    cast(case when qty = 8 then 1 when qty in (9, 10) then null else late_delivery_risk end as double)
+    cast(case when qty = 8 then 1 when qty in (9, 10) then 0 else late_delivery_risk end as integer)
       as late_delivery_risk,
     case when c_acctbal < 0 then null else lpad(cast(c_nationkey as varchar), 5, '0') end as customer_zipcode,
     customer_segment, customer_country, product_name, category_name, department_name,
@@ -326,7 +326,7 @@ STAND_IN = f"""greatest(1, {big(rnd('''cast(reorder_point_units as double) * (0.
 cte("stocked", ["levels"], f"""
   select *, case when current_stock_units < reorder_point_units then 'REORDER IMMEDIATELY'
     when cast(current_stock_units as double) > 2.2e0 * reorder_point_units then 'OVERSTOCKED' else 'OPTIMAL' end as stock_status
-  from (select *, {STAND_IN} as current_stock_units from levels)""")
+  from (select *, {STAND_IN} as current_stock_units, 'stand-in' as stock_source from levels)""")
 
 cte("valued", ["stocked"], """
   select *, round(inventory_valuation * 0.20, 2) as annual_holding_cost,
@@ -501,10 +501,11 @@ query("add_delay_days", ["typed"],
       f"select *, days_real - days_scheduled as delay_days from (select order_item_id, {BOUNDED_DAYS} from typed)")
 query("normalize_risk_flag", ["staged"], """
   select cast(order_item_id as varchar) as order_item_id,
-    cast(case when qty in (8, 9, 10) then 0 else late_delivery_risk end as integer) as late_delivery_risk
+    cast(case when qty = 8 then 1 when qty in (9, 10) then 0 else late_delivery_risk end as integer) as late_delivery_risk
   from staged""")
 query("etl_audit", ["staged", "clean"], f"""
   select (select count(*) from staged) as initial_rows, (select count(*) from clean) as cleaned_rows,
+    (select count(distinct order_item_id) from staged) - (select count(*) from clean) as rejected_rows,
     cast({len(RAW_COLUMNS) + 1} as integer) as columns_retained, cast({len(PERSONAL)} as integer) as dropped_columns""")
 query("rejected_lines", ["typed"],
       "select order_item_id, order_id, product_id, shipping_date from typed where copy_no = 1 and order_date is null")
@@ -684,7 +685,8 @@ query("reorder_point", ["levels"],
       "select product_id, safety_stock_units, lead_time_demand_units, reorder_point_units from levels")
 query("on_hand_stock", ["levels"], f"""
   select product_id, reorder_point_units,
-    case when p_size > 25 then cast(p_size * 3 as bigint) else {STAND_IN} end as current_stock_units
+    case when p_size > 25 then cast(p_size * 3 as bigint) else {STAND_IN} end as current_stock_units,
+    case when p_size > 25 then 'counted' else 'stand-in' end as stock_source
   from levels join part on p_partkey = product_id""")
 query("stock_status", ["stocked"], "select product_id, reorder_point_units, current_stock_units, stock_status from stocked")
 query("inventory_valuation", ["valued"], pick(

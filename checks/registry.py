@@ -13,7 +13,7 @@ from tidelane.functions.numeric import plain
 from tidelane.operators import classify, cleaning, delivery, inventory, quality, report, revenue
 from tidelane.operators import star as build
 from tidelane.plans.views import register_views
-from tidelane.schema import FACT_REQUIRED, SOURCE_POSITION
+from tidelane.schema import FACT_REQUIRED, MALFORMED, SOURCE_POSITION
 from tidelane.sources.raw_orders import read_raw_orders
 from tidelane.sources.store import attach_rollups, read_star, read_table, write_result, write_rollups, write_star
 from tidelane.sources.tpch import raw_lines, staged_lines, table, tpch_star
@@ -59,7 +59,7 @@ def _named(spark, folder):
 
 def _typed(spark, folder):
     """Typed lines with their faults, copies included."""
-    return cleaning.type_columns(cleaning.parse_timestamps(_named(spark, folder)))
+    return cleaning.normalize_risk_flag(cleaning.type_columns(cleaning.parse_timestamps(_named(spark, folder))))
 
 
 def _clean(spark, folder):
@@ -110,7 +110,7 @@ def _read_raw_orders(spark, folder):
     path = shared_path(spark, "raw")
     raw = _raw(spark, folder).drop(SOURCE_POSITION)
     raw.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
-    return read_raw_orders(spark, path)
+    return read_raw_orders(spark, path).drop(MALFORMED)
 
 
 def _drop_pii(spark, folder):
@@ -153,7 +153,8 @@ def _normalize_risk_flag(spark, folder):
 
 
 def _etl_audit(spark, folder):
-    return cleaning.etl_audit(_raw(spark, folder), _clean(spark, folder))
+    staged = cleaning.stage_lines(_raw(spark, folder))
+    return cleaning.etl_audit(_raw(spark, folder), cleaning.clean_lines(staged), cleaning.rejected_lines(staged))
 
 
 def _rejected_lines(spark, folder):
@@ -237,12 +238,13 @@ def _reorder_point(spark, folder):
 
 
 def _on_hand_stock(spark, folder):
-    """Stock counted for the larger products, stand-in for the rest."""
+    """Stock counted in two warehouses for the larger products, stand-in for the rest."""
+    places = F.explode(F.array(F.col("p_size"), F.col("p_size") * 2))
     counted = table(spark, folder, "part").where("p_size > 25").select(
-        F.col("p_partkey").alias("product_id"), (F.col("p_size") * 3).alias("current_stock_units")
+        F.col("p_partkey").alias("product_id"), places.alias("current_stock_units")
     )
     return inventory.on_hand_stock(_levels(spark, folder), counted).select(
-        "product_id", "reorder_point_units", "current_stock_units"
+        "product_id", "reorder_point_units", "current_stock_units", "stock_source"
     )
 
 

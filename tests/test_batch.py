@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tests.frames import by, rows
 from tidelane.operators import classify, delivery, quality
+from tidelane.plans import batch
 from tidelane.plans.batch import build_results, load_star
-from tidelane.plans.views import register_views
+from tidelane.plans.views import register_stored_views, register_views
 from tidelane.sources.raw_orders import read_raw_orders
-from tidelane.sources.store import read_star, read_table
+from tidelane.sources.store import read_star, read_table, write_star
 from tidelane.sources.tpch import raw_lines
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
@@ -36,6 +38,7 @@ def test_audit_row_and_rejects_add_up(spark, root):
     rejected = read_table(spark, "rejected_lines", root=root).count()
     staged = read_table(spark, "staged_lines", root=root)
     assert audit["initial_rows"] == 6000
+    assert audit["rejected_rows"] == rejected
     assert audit["cleaned_rows"] + rejected == staged.count() == staged.select("order_item_id").distinct().count()
     assert audit["dropped_columns"] == 8
 
@@ -56,10 +59,13 @@ def test_result_tables(spark, root):
     assert lowest["A"] >= highest["B"] and lowest["B"] >= highest["C"]
     grid = read_table(spark, "report_nine_box_grid", root=root)
     assert grid.agg(F.sum("sku_count")).first()[0] == classified.count()
-    names = set(os.listdir(root))
     for name in ("kpi_cards", "route_scorecard", "profit_erosion_report", "monthly_report", "heatmap_bands",
                  "classification_roster", "reorder_roster", "sku_directive", "days_on_hand"):
-        assert f"report_{name}" in names
+        assert read_table(spark, f"report_{name}", root=root).count() > 0
+    # audits of what came in see the faults that cleaning takes away
+    assert rows(read_table(spark, "dq_raw_line_audit", root=root))[0]["non_positive_quantities"] > 0
+    assert read_table(spark, "dq_raw_duplicate_keys", root=root).count() > 0
+    assert read_table(spark, "dq_raw_status_concordance", root=root).count() > 3
 
 
 def test_rollups_give_what_the_lines_give(spark, root):
@@ -85,7 +91,39 @@ def test_views_answer_sql(spark, root):
     assert read_table(spark, "v_late_delivery_cost_impact", ["market"]).columns == ["market"]
 
 
-def test_a_second_load_replaces_the_first(spark, root):
+def test_a_later_session_finds_the_views(spark, root):
+    names = register_stored_views(spark, root)
+    assert len(names) == 9 and all(spark.table(name).count() > 0 for name in names)
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_writing_again_replaces_all_months(spark, root, tmp_path, mode):
+    star = read_star(spark, root)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        write_star(star, str(tmp_path))
+        few = star.fact.where("order_date < '1996-01-01'")
+        write_star(replace(star, fact=few), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert read_star(spark, str(tmp_path)).fact.count() == few.count() < star.fact.count()
+
+
+def test_a_failed_load_leaves_the_one_before(spark, root, monkeypatch):
     before = read_star(spark, root).fact.count()
-    load_star(read_raw_orders(spark, f"{root}/raw", position=True), root)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(batch, "write_rollups", broken)
+    few = read_raw_orders(spark, f"{root}/raw", position=True).limit(10)
+    with pytest.raises(RuntimeError):
+        load_star(few, root)
     assert read_star(spark, root).fact.count() == before
+    assert read_table(spark, "etl_audit", root=root).first()["initial_rows"] == 6000
+
+
+def test_a_second_load_replaces_the_first(spark, root):
+    load_star(read_raw_orders(spark, f"{root}/raw", position=True).where("`Order Item Id` < 1000"), root)
+    star = read_star(spark, root)
+    assert 0 < star.fact.count() < 1000 and star.fact.where("order_item_id >= 1000").count() == 0

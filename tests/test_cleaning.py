@@ -38,7 +38,7 @@ def test_dates(spark):
 @pytest.mark.parametrize(
     "kind, values, expected",
     [
-        ("string", ["1", "1.0", "Y", None, "0"], [1, 0, 0, 0, 0]),
+        ("string", ["1", "1.0", "True", "Y", None, "0", " 1 ", ""], [1, 1, 1, 0, 0, 0, 1, 0]),
         ("double", [1.0, 2.0, None, 0.0], [1, 0, 0, 0]),
         ("int", [1, 2, None], [1, 0, 0]),
         ("boolean", [True, False, None], [1, 0, 0]),
@@ -126,7 +126,7 @@ def test_raw_file_to_clean_lines(spark, tmp_path):
         "4,13,6,8,2/1/2018 0:01,,NA,no market,x,,,,,,\n",
     ])
     raw = read_raw_orders(spark, path, position=True)
-    assert raw.columns[:2] == ["Order Item Id", "Order Id"] and len(raw.columns) == 16
+    assert raw.columns[:2] == ["Order Item Id", "Order Id"] and len(raw.columns) == 17
     staged = cleaning.stage_lines(raw)
     clean = by(cleaning.clean_lines(staged), "order_item_id")
     assert sorted(clean) == [1, 4]
@@ -137,7 +137,7 @@ def test_raw_file_to_clean_lines(spark, tmp_path):
     rejected = by(cleaning.rejected_lines(staged), "order_item_id")
     assert sorted(rejected) == [2, 3]
     assert rejected[3][cleaning.REJECTED] == ["quantity_ordered"]
-    audit = rows(cleaning.etl_audit(raw, cleaning.clean_lines(staged)))[0]
+    audit = rows(cleaning.etl_audit(raw, cleaning.clean_lines(staged), cleaning.rejected_lines(staged)))[0]
     assert audit["initial_rows"] == 5 and audit["cleaned_rows"] == 2 and audit["dropped_columns"] == 1
 
 

@@ -54,10 +54,11 @@ def test_primary_route_ties(spark):
 
 def test_snapshot_takes_precedence_and_stand_in_is_stable(spark):
     levels = spark.createDataFrame([(1, 100), (2, 100), (99999999999, 0)], "product_id long, reorder_point_units long")
-    snapshot = spark.createDataFrame([(2, 7)], "product_id long, current_stock_units long")
+    snapshot = spark.createDataFrame([(2, 3), (2, 4)], "product_id long, current_stock_units long")
     got = by(inventory.on_hand_stock(levels, snapshot), "product_id")
     again = by(inventory.on_hand_stock(levels.repartition(3)), "product_id")
-    assert got[2]["current_stock_units"] == 7
+    assert (got[2]["current_stock_units"], got[2]["stock_source"]) == (7, "counted")
+    assert got[1]["stock_source"] == "stand-in"
     assert got[1]["current_stock_units"] == again[1]["current_stock_units"] and 40 <= got[1]["current_stock_units"] <= 250
     assert got[99999999999]["current_stock_units"] == 1
 

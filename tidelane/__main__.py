@@ -12,9 +12,14 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="order-line files to star schema, results and report tables")
     parser.add_argument("raw", help="CSV file or folder of order lines")
     parser.add_argument("root", help="folder for the tables")
+    parser.add_argument("--snapshot", help="Parquet folder of counted stock: product_id, current_stock_units")
+    parser.add_argument(
+        "--multiline", action="store_true", help="allow line breaks inside quotes; each file is then read by one task"
+    )
     args = parser.parse_args()
     spark = session()
-    run(spark, args.raw, args.root)
+    snapshot = spark.read.parquet(args.snapshot) if args.snapshot else None
+    run(spark, args.raw, args.root, inventory_snapshot=snapshot, multiline=args.multiline)
     spark.stop()
 
 

@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 
 def money(x: Column, digits: int = 2) -> Column:
     """Exact decimal rounding, half away from zero; stays decimal so sums stay exact."""
-    return F.round(x, digits).cast(f"decimal(26,{digits})")
+    return F.round(x, digits).cast(f"decimal(38,{digits})")
 
 
 def worth(units: Column, price: Column) -> Column:
-    """Whole units times a decimal price, in cents; the product fits 38 digits exactly."""
-    return money(units.cast("decimal(19,0)") * price)
+    """Whole units (13 digits at most) times an amount, in cents; the product fits 38 digits exactly."""
+    return money(units.cast("decimal(13,0)") * price)
 
 
 def rounded(x: Column, digits: int) -> Column:

@@ -15,16 +15,19 @@ from tidelane.schema import (
     DATE_LAYOUTS,
     DEFAULT_TEXT,
     DEFAULT_ZERO,
+    MALFORMED,
     LONG_COLUMNS,
     MONEY,
     MONEY_COLUMNS,
     PII_COLUMNS,
     RATE,
+    SET_FLAGS,
     SOURCE_POSITION,
     VITAL_NUMBERS,
 )
 
 REJECTED = "_unreadable"
+REASONS = "_reasons"
 
 
 def drop_pii(df: DataFrame) -> DataFrame:
@@ -41,7 +44,7 @@ def standardize_columns(df: DataFrame) -> DataFrame:
 
 
 def _timestamp(c: Column) -> Column:
-    tried = [F.try_to_timestamp(c, F.lit(layout)) for layout in DATE_LAYOUTS]
+    tried = [F.try_to_timestamp(F.trim(c), F.lit(layout)) for layout in DATE_LAYOUTS]
     return F.coalesce(*tried).cast("timestamp_ntz")
 
 
@@ -102,11 +105,11 @@ def add_delay_days(df: DataFrame) -> DataFrame:
 
 
 def normalize_risk_flag(df: DataFrame) -> DataFrame:
-    """1 for a value of one (number, text '1' or true), else 0."""
+    """1 for a value of one (number, true, or a text that says so), else 0."""
     c = F.col("late_delivery_risk")
     kind = df.schema["late_delivery_risk"].dataType
     if isinstance(kind, T.StringType):
-        one = c == "1"
+        one = F.lower(F.trim(c)).isin(SET_FLAGS)
     elif isinstance(kind, T.BooleanType):
         one = c
     else:
@@ -114,35 +117,60 @@ def normalize_risk_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("late_delivery_risk", F.when(one, 1).otherwise(0))
 
 
+def _whole(c: Column) -> Column:
+    """A whole number written with a fraction of zero; not by way of double, which would lose digits."""
+    exact = c.try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def type_columns(df: DataFrame) -> DataFrame:
-    """Cast the text columns of standardized lines. Names of vital columns whose text could not
-    be read are collected in one array column."""
+    """Cast the text columns of standardized lines; the risk flag stays text. Names of vital columns whose text
+    could not be read, and of amounts that are too large, are collected in one array column, and in another
+    what is wrong with which text. A malformed record's key is not to be trusted, so it has none."""
     kinds: dict[str, Column] = {}
     for c in LONG_COLUMNS:
-        kinds[c] = F.col(c).try_cast("bigint")
+        kinds[c] = F.coalesce(F.col(c).try_cast("bigint"), _whole(F.col(c)))
     for c in COUNT_COLUMNS:
         kinds[c] = F.col(c).try_cast("double").try_cast("int")
     for c in MONEY_COLUMNS:
         kinds[c] = F.col(c).try_cast(MONEY)
     kinds["discount_rate"] = F.col("discount_rate").try_cast(RATE)
-    for c in ("profit_ratio", "latitude", "longitude", "late_delivery_risk"):
+    for c in ("profit_ratio", "latitude", "longitude"):
         kinds[c] = F.col(c).try_cast("double")
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     casts = {c: cast for c, cast in kinds.items() if c in texts}
-    unreadable = [
-        F.when(F.col(c).isNotNull() & casts[c].isNull(), F.lit(c)) for c in VITAL_NUMBERS if c in casts
-    ]
-    collected = F.array_compact(F.array(*unreadable)) if unreadable else F.array().cast("array<string>")
+    number = lambda c: F.col(c).try_cast("double")
+    large = lambda c: F.coalesce(~F.isnan(number(c)) & (F.abs(number(c)) != float("inf")), F.lit(False))
+    names, reasons = [], []
+    for c, cast in casts.items():
+        failed = F.col(c).isNotNull() & cast.isNull()
+        if c not in VITAL_NUMBERS:
+            failed = failed & large(c) if c in MONEY_COLUMNS else F.lit(False)
+        fault = "not a whole number of 64 bits" if c in LONG_COLUMNS else "too large"
+        said = F.concat_ws(": ", F.lit(c), F.when(large(c), fault).otherwise("not a number"), F.col(c))
+        names.append(F.when(failed, F.lit(c)))
+        reasons.append(F.when(failed, said))
+    if MALFORMED in df.columns:
+        broken = F.col(MALFORMED).isNotNull()
+        names.append(F.when(broken, F.lit(MALFORMED)))
+        reasons.append(F.when(broken, F.lit("malformed record")))
+        casts["order_item_id"] = F.when(~broken, casts.get("order_item_id", F.col("order_item_id")))
+    collect = lambda xs: F.array_compact(F.array(*xs)) if xs else F.array().cast("array<string>")
     return df.select(
         *[casts[c].alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns],
-        collected.alias(REJECTED),
+        collect(names).alias(REJECTED),
+        collect(reasons).alias(REASONS),
     )
 
 
+def typed_lines(raw: DataFrame) -> DataFrame:
+    """Raw lines to typed lines, copies included."""
+    return type_columns(parse_timestamps(standardize_columns(drop_pii(raw))))
+
+
 def stage_lines(raw: DataFrame, order_by: list[Column] | None = None) -> DataFrame:
     """Raw lines to typed unique lines, before defaults and bounds."""
-    named = standardize_columns(drop_pii(raw))
-    return dedupe_order_items(type_columns(parse_timestamps(named)), order_by)
+    return dedupe_order_items(typed_lines(raw), order_by)
 
 
 def _usable() -> Column:
@@ -154,23 +182,28 @@ def _usable() -> Column:
 
 
 def rejected_lines(staged: DataFrame) -> DataFrame:
-    """Lines without a key or an order date, or with text that is not a number."""
+    """Malformed records, lines without a key or an order date, or with a number that cannot be read or held. Texts that
+    were not read are in ``_reasons``, the text of a malformed record in ``_corrupt_record``."""
     return staged.where(~_usable())
 
 
 def clean_lines(staged: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Defaults, bounds, delay and flag for the usable lines."""
-    usable = staged.where(_usable()).drop(REJECTED)
+    usable = staged.where(_usable()).drop(REJECTED, REASONS, MALFORMED)
     return normalize_risk_flag(add_delay_days(clamp_domains(impute_defaults(usable), params)))
 
 
-def etl_audit(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """One row: rows before and after, columns kept, columns dropped."""
+def etl_audit(
+    raw: DataFrame, clean: DataFrame, rejected: DataFrame, raw_columns: list[str] | None = None
+) -> DataFrame:
+    """One row: rows before and after, rejected rows, columns kept, columns dropped. ``raw_columns`` names the columns
+    of the raw lines if ``raw`` is a stored form of them."""
     spark = raw.sparkSession
     kept = [c for c in clean.columns if not c.startswith("_")]
     return spark.range(1).select(
         raw.agg(F.count("*")).scalar().alias("initial_rows"),
         clean.agg(F.count("*")).scalar().alias("cleaned_rows"),
+        rejected.agg(F.count("*")).scalar().alias("rejected_rows"),
         F.lit(len(kept)).alias("columns_retained"),
-        F.lit(len([c for c in PII_COLUMNS if c in raw.columns])).alias("dropped_columns"),
+        F.lit(len([c for c in PII_COLUMNS if c in (raw_columns or raw.columns)])).alias("dropped_columns"),
     )

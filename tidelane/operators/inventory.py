@@ -134,17 +134,20 @@ def _stock_multiplier(product_id: Column, params: Params) -> Column:
 
 
 def on_hand_stock(df: DataFrame, inventory: DataFrame | None = None, params: Params = DEFAULTS) -> DataFrame:
-    """Stock from an inventory snapshot (product_id, current_stock_units) where it has the
-    product, else a stand-in around the reorder point, at least one unit."""
+    """Stock from an inventory snapshot (product_id, current_stock_units; rows of one product, say one per
+    warehouse, add up) where it has the product, else a stand-in around the reorder point, at least one
+    unit. ``stock_source`` tells which."""
     scaled = F.col("reorder_point_units").cast("double") * _stock_multiplier(F.col("product_id"), params)
     stand_in = F.greatest(F.lit(1).cast("long"), rounded(scaled, 0).cast("long"))
     if inventory is None:
-        return df.withColumn("current_stock_units", stand_in)
-    counted = inventory.select("product_id", F.col("current_stock_units").cast("long").alias("_counted"))
+        return df.withColumn("current_stock_units", stand_in).withColumn("stock_source", F.lit("stand-in"))
+    units = F.sum(F.col("current_stock_units").cast("long"))
+    counted = inventory.groupBy("product_id").agg(units.alias("_counted"))
     return (
         df.join(counted, "product_id", "left")
         .withColumn("current_stock_units", F.coalesce("_counted", stand_in))
-        .select(*df.columns, "current_stock_units")
+        .withColumn("stock_source", F.when(F.col("_counted").isNull(), "stand-in").otherwise("counted"))
+        .select(*df.columns, "current_stock_units", "stock_source")
     )
 
 

@@ -6,38 +6,65 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelane.functions.numeric import plain
-from tidelane.operators import classify, delivery, inventory, quality, report
-from tidelane.operators.cleaning import REJECTED, clean_lines, etl_audit, rejected_lines, stage_lines
+from tidelane.operators import classify, delivery, inventory, quality, report, revenue
+from tidelane.operators.cleaning import (
+    REASONS,
+    REJECTED,
+    clean_lines,
+    dedupe_order_items,
+    etl_audit,
+    normalize_risk_flag,
+    rejected_lines,
+    typed_lines,
+)
 from tidelane.operators.star import build_star
 from tidelane.params import DEFAULTS, Params
-from tidelane.schema import CUSTOMER_COLUMNS, FACT_COLUMNS, PRODUCT_COLUMNS, SOURCE_POSITION
+from tidelane.plans.views import register_stored_views
+from tidelane.schema import CUSTOMER_COLUMNS, FACT_COLUMNS, MALFORMED, PRODUCT_COLUMNS, SOURCE_POSITION
 from tidelane.sources.raw_orders import read_raw_orders
-from tidelane.sources.store import read_star, read_table, write_result, write_rollups, write_star
+from tidelane.sources.store import (
+    current,
+    new_version,
+    publish,
+    read_star,
+    read_table,
+    write_result,
+    write_rollups,
+    write_star,
+)
 from tidelane.star import Star
 
 
 def load_star(
     raw: DataFrame, root: str, params: Params = DEFAULTS, order_by: list[Column] | None = None
 ) -> Star:
-    """Clean raw lines and store the star, its rollups, the rejected lines and the audit row.
+    """Clean raw lines and store the star, its rollups, the rejected lines and the audits of what came in.
 
-    The unique typed lines are written once; dimensions, fact and rejects read that table, so
-    the shuffle that removes copies runs once. Columns that no table of the star holds are
-    dropped before that shuffle. The raw rows are counted by a scan of their own: a count taken
-    on the way would be wrong after a lost executor.
+    The raw text is parsed once: typed lines are written with their copies, and counts, audits and the removal of
+    copies read that table. The unique lines are written once as well; dimensions, fact and rejects read
+    them, so the shuffle that removes copies runs once. Columns that no table of the star holds are dropped before.
+    All tables go to a new version of the root, which is published at the end.
     """
-    spark = raw.sparkSession
-    staged = stage_lines(raw, order_by)
-    kept = [c for c in clean_lines(staged, params).columns if not c.startswith("_")]
-    loaded = {*PRODUCT_COLUMNS, *CUSTOMER_COLUMNS, *FACT_COLUMNS, SOURCE_POSITION, REJECTED}
-    write_result(staged.select(*[c for c in staged.columns if c in loaded]), root, "staged_lines")
-    staged = read_table(spark, "staged_lines", root=root)
-    write_result(rejected_lines(staged), root, "rejected_lines")
-    write_star(build_star(clean_lines(staged, params)), root)
-    write_rollups(spark, root)
-    star = read_star(spark, root, rollups=True)
-    audit = etl_audit(raw, star.fact).withColumn("columns_retained", F.lit(len(kept)))
-    write_result(audit, root, "etl_audit")
+    spark, version = raw.sparkSession, new_version(root)
+    typed = typed_lines(raw)
+    kept = [c for c in clean_lines(typed, params).columns if not c.startswith("_")]
+    loaded = {*PRODUCT_COLUMNS, *CUSTOMER_COLUMNS, *FACT_COLUMNS, SOURCE_POSITION, REJECTED, REASONS, MALFORMED}
+    write_result(typed.select(*[c for c in typed.columns if c in loaded]), version, "typed_lines")
+    typed = read_table(spark, "typed_lines", root=version)
+    write_result(dedupe_order_items(typed, order_by), version, "staged_lines")
+    staged = read_table(spark, "staged_lines", root=version)
+    write_result(rejected_lines(staged), version, "rejected_lines")
+    write_star(build_star(clean_lines(staged, params)), version)
+    write_rollups(spark, version)
+    star = read_star(spark, version, rollups=True)
+    rejected = read_table(spark, "rejected_lines", root=version)
+    audit = etl_audit(typed, star.fact, rejected, raw.columns).withColumn("columns_retained", F.lit(len(kept)))
+    write_result(audit, version, "etl_audit")
+    flagged = normalize_risk_flag(typed)
+    write_result(quality.line_audit(typed), version, "dq_raw_line_audit")
+    write_result(quality.dq_duplicate_keys(typed), version, "dq_raw_duplicate_keys")
+    write_result(quality.dq_status_concordance(flagged), version, "dq_raw_status_concordance")
+    publish(spark, root, version)
     return star
 
 
@@ -46,6 +73,7 @@ def build_results(
 ) -> None:
     """Audits, classification and inventory table from a stored star, then the report tables
     from those two. Each table is stored once and read by the tables that follow."""
+    root = current(spark, root)
     star = read_star(spark, root, rollups=True)
     write_result(quality.line_audit(star.fact), root, "dq_line_audit")
     write_result(quality.dq_scorecard(star), root, "dq_scorecard")
@@ -56,6 +84,13 @@ def build_results(
     write_result(master, root, "inventory_safety_stock_rop")
     write_result(delivery.otif_by_route(star), root, "otif_by_route")
     write_result(delivery.monthly_delivery_trends(star), root, "monthly_delivery_trends")
+    write_result(delivery.segment_fulfillment(star), root, "segment_fulfillment")
+    write_result(delivery.lead_time_distribution(star), root, "lead_time_distribution")
+    write_result(delivery.late_cost_impact(star), root, "late_cost_impact")
+    write_result(revenue.category_revenue_ranked(star), root, "category_revenue_ranked")
+    write_result(revenue.product_revenue_pareto(star), root, "product_revenue_pareto")
+    write_result(revenue.product_weekly_demand(star), root, "product_weekly_demand")
+    write_result(revenue.loss_making_products(star), root, "loss_making_products")
     build_report(spark, root, star, params)
 
 
@@ -66,7 +101,7 @@ def build_report(spark: SparkSession, root: str, star: Star, params: Params = DE
     tables = {
         "kpi_cards": report.kpi_cards(delivery.overall_kpis(star), classify.az_sku_count(classified), params),
         "route_scorecard": report.route_scorecard(routes, params),
-        "profit_erosion_report": report.profit_erosion_report(delivery.late_cost_impact(star)),
+        "profit_erosion_report": report.profit_erosion_report(read_table(spark, "late_cost_impact", root=root)),
         "monthly_report": report.monthly_report(read_table(spark, "monthly_delivery_trends", root=root), params),
         "heatmap_bands": report.heatmap_bands(routes, params),
         "nine_box_grid": classify.nine_box_grid(classified),
@@ -79,7 +114,15 @@ def build_report(spark: SparkSession, root: str, star: Star, params: Params = DE
         write_result(plain(df), root, f"report_{name}")
 
 
-def run(spark: SparkSession, raw_path: str, root: str, params: Params = DEFAULTS) -> None:
-    """Raw files to report tables."""
-    load_star(read_raw_orders(spark, raw_path, position=True), root, params)
-    build_results(spark, root, params)
+def run(
+    spark: SparkSession,
+    raw_path: str,
+    root: str,
+    params: Params = DEFAULTS,
+    inventory_snapshot: DataFrame | None = None,
+    multiline: bool = False,
+) -> None:
+    """Raw files to report tables, and the named views over the stored tables."""
+    load_star(read_raw_orders(spark, raw_path, position=True, multiline=multiline), root, params)
+    build_results(spark, root, params, inventory_snapshot)
+    register_stored_views(spark, root)

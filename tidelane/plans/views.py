@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from tidelane.functions.numeric import plain
 from tidelane.operators import delivery, revenue
+from tidelane.sources.store import read_table
 from tidelane.star import Star
 
 VIEWS = {
@@ -28,3 +29,11 @@ def register_views(spark: SparkSession, star: Star, names: list[str] | None = No
     for name in names or list(VIEWS):
         plain(VIEWS[name](star)).createOrReplaceTempView(name)
     return names or list(VIEWS)
+
+
+def register_stored_views(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
+    """Register the views over the tables that a run has stored under ``root``; for a session that comes
+    later, without computing anything anew."""
+    for name in names or list(VIEWS):
+        plain(read_table(spark, VIEWS[name].__name__, root=root)).createOrReplaceTempView(name)
+    return names or list(VIEWS)

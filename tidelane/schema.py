@@ -81,13 +81,21 @@ MISSING_MARKS = [
 ]
 
 # Accepted date layouts, tried in this order.
-DATE_LAYOUTS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
+DATE_LAYOUTS = [
+    "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
+    "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd[' ']['T']HH:mm:ss.[SSSSSS][SSS]",
+]
+
+# Texts of a set flag, in lower case.
+SET_FLAGS = ["1", "1.0", "true"]
 
 # Files of this kind print single-precision amounts with up to nine digits (59.99000168), so
-# the scale is far below a cent; 18 digits in all still fit a long.
-MONEY = "decimal(18,8)"
+# the scale is far below a cent. 16 digits before the point hold any currency's amounts; a sum of 10 billion such
+# amounts still fits, and so does one times 13 digits of units.
+MONEY = "decimal(24,8)"
 RATE = "decimal(14,10)"
 
+# Names by kind of number.
 LONG_COLUMNS = [
     "order_item_id", "order_id", "order_customer_id", "product_id", "product_card_id",
     "customer_id", "category_id", "department_id", "product_category_id",
@@ -106,7 +114,7 @@ VITAL_NUMBERS = [
 ]
 DATE_COLUMNS = ["order_date", "shipping_date"]
 
-# Columns of the three tables, in DDL order.
+# Columns of the three tables, in DDL order.
 PRODUCT_COLUMNS = [
     "product_id", "product_name", "category_id", "category_name",
     "department_id", "department_name", "product_price",
@@ -123,7 +131,7 @@ FACT_COLUMNS = [
     "delivery_status", "late_delivery_risk",
 ]
 
-# NOT NULL columns of the DDL, besides the keys.
+# NOT NULL columns of the DDL, besides the keys.
 PRODUCT_REQUIRED = ["product_name", "category_name", "department_name", "product_price"]
 CUSTOMER_REQUIRED = ["customer_segment"]
 FACT_REQUIRED = [
@@ -135,3 +143,6 @@ FACT_REQUIRED = [
 
 # Where a line stood in its source; orders copies of one line ("first wins").
 SOURCE_POSITION = "_source_position"
+
+# Raw text of a record that does not have the header's number of fields.
+MALFORMED = "_corrupt_record"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidelane.schema import MISSING_MARKS, SOURCE_POSITION
+from tidelane.schema import MALFORMED, MISSING_MARKS, SOURCE_POSITION
 
 
 def read_raw_orders(
@@ -17,7 +18,8 @@ def read_raw_orders(
     from the first one fails instead of shifting columns. With ``position`` a struct column
     says where a line stood (file, offset of its block, row), which lets a later step keep the
     first copy of a line. ``multiline`` allows line breaks inside quotes, at the price that
-    a file is read by one task.
+    a file is read by one task; without it such a record is two malformed ones. A record with more or fewer
+    fields than the header has its text in ``_corrupt_record``.
     """
     reader = (
         spark.read.option("header", True)
@@ -27,11 +29,15 @@ def read_raw_orders(
         .option("enforceSchema", False)
         .option("multiLine", multiline)
     )
-    raw = reader.csv(path)
+    header = reader.csv(path).columns  # reads the first line
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in [*header, MALFORMED]])
+    # a pruned read would not see all fields of a record, and so not that some are missing
+    raw = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).schema(fields).csv(path)
     marks = ", ".join(f"'{mark}'" for mark in MISSING_MARKS)
     columns = [
-        F.expr(f"CASE WHEN `{name}` NOT IN ({marks}) THEN `{name}` END").alias(name) for name in raw.columns
+        F.expr(f"CASE WHEN `{name}` NOT IN ({marks}) THEN `{name}` END").alias(name) for name in header
     ]
+    columns.append(F.col(MALFORMED))
     if position:
         columns.append(
             F.struct(

@@ -1,7 +1,15 @@
-"""The star schema and the result tables as Parquet folders under one root."""
+"""The star schema and the result tables as Parquet folders under one root.
+
+A load writes a version folder of its own and publishes it when all its tables are there, so readers of the root see the
+load before it until then. A root without published loads is itself the folder of the tables.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +17,36 @@ from tidelane.functions.dates import month_key
 from tidelane.star import Star, daily_rollup, route_rollup
 
 MONTH = "order_year_month"
+LOADS = "loads"
+
+
+def new_version(root: str) -> str:
+    """Folder of a new load; not read by anyone until it is published."""
+    return f"{root.rstrip('/')}/versions/{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make a version the current one: one more row in the list of loads."""
+    name = version.removeprefix(f"{root.rstrip('/')}/")
+    listed = spark.createDataFrame([(time.time_ns(), name)], "load long, folder string")
+    listed.coalesce(1).write.mode("append").parquet(f"{root}/{LOADS}")
+
+
+def current(spark: SparkSession, root: str) -> str:
+    """Folder of the tables: the version published last, else the root."""
+    try:
+        loads = spark.read.schema("load long, folder string").parquet(f"{root}/{LOADS}")
+        last = loads.orderBy(F.col("load").desc()).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    return f"{root.rstrip('/')}/{last['folder']}" if last else root
+
+
+def _replace(df: DataFrame, path: str, *partitions: str) -> None:
+    """Replace a table whole, whatever the session says about partitions."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(path)
 
 
 def by_month(fact: DataFrame) -> DataFrame:
@@ -19,16 +57,16 @@ def by_month(fact: DataFrame) -> DataFrame:
 
 def write_star(star: Star, root: str) -> None:
     """Replace the three tables; the fact is partitioned by order month."""
-    by_month(star.fact).write.mode("overwrite").partitionBy(MONTH).parquet(f"{root}/fact_orders")
-    star.products.write.mode("overwrite").parquet(f"{root}/dim_products")
-    star.customers.write.mode("overwrite").parquet(f"{root}/dim_customers")
+    _replace(by_month(star.fact), f"{root}/fact_orders", MONTH)
+    _replace(star.products, f"{root}/dim_products")
+    _replace(star.customers, f"{root}/dim_customers")
 
 
 def write_rollups(spark: SparkSession, root: str) -> None:
     """Replace the daily and the route rollup, computed from the stored fact."""
     fact = read_star(spark, root).fact
-    daily_rollup(fact).write.mode("overwrite").parquet(f"{root}/product_daily")
-    route_rollup(fact).write.mode("overwrite").parquet(f"{root}/product_routes")
+    _replace(daily_rollup(fact), f"{root}/product_daily")
+    _replace(route_rollup(fact), f"{root}/product_routes")
 
 
 def attach_rollups(spark: SparkSession, star: Star, root: str) -> Star:
@@ -44,6 +82,7 @@ def read_star(
     read; the rollups cover all months, so they go with the whole fact only."""
     if rollups and (since or until):
         raise ValueError("the rollups hold no single months; read the star without them")
+    root = current(spark, root)
     fact = spark.read.parquet(f"{root}/fact_orders")
     if since:
         fact = fact.where(F.col(MONTH) >= since)
@@ -59,12 +98,12 @@ def read_star(
 
 def write_result(df: DataFrame, root: str, name: str) -> None:
     """Replace one derived table."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
+    _replace(df, f"{root}/{name}")
 
 
 def read_table(
     spark: SparkSession, name: str, columns: list[str] | None = None, root: str | None = None
 ) -> DataFrame:
     """A table stored under ``root`` or, without it, a registered view; only the wanted columns."""
-    df = spark.read.parquet(f"{root}/{name}") if root else spark.table(name)
+    df = spark.read.parquet(f"{current(spark, root)}/{name}") if root else spark.table(name)
     return df.select(*columns) if columns else df
