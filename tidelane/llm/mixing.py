@@ -167,7 +167,8 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
     )
     ranges = settle(slot_ranges(source_targets(sized, settings), settings))
     order = [F.col("source").asc_nulls_last(), F.col("_key").asc(), F.col(id).asc(), F.col("size").asc()]
-    streamed = running_sums(sized, {"_upto": "size", "_row": "_one"}, order).alias("d")
+    slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    streamed = running_sums(sized, {"_upto": "size", "_row": "_one"}, order, slices).alias("d")
     placed = streamed.join(ranges.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
         "d.*",
         "s.source_size",

@@ -84,7 +84,8 @@ def text_digest(text: Column) -> Column:
 def number_rows(rows: DataFrame, order: list[Column]) -> DataFrame:
     """Add ``row_number`` from 0 and ``n_rows``. Rows are dealt by ranges of ``order``, counted per range, and
     each range starts where the ones before it end."""
-    counted = running_sums(rows.withColumn("_one", F.lit(1).cast("long")), {"_upto": "_one"}, order)
+    slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = running_sums(rows.withColumn("_one", F.lit(1).cast("long")), {"_upto": "_one"}, order, slices)
     return counted.select(
         *rows.columns, (F.col("_upto") - 1).alias("row_number"), F.col("_upto_total").alias("n_rows")
     )
