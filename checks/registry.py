@@ -46,6 +46,23 @@ def stored_star(spark: SparkSession, folder: str, rollups: bool = False) -> Star
     return _stored(spark, folder)[2 if rollups else 1]
 
 
+# classification, inventory table and routes that this process has stored
+_MODELS: dict[str, tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
+def _stored_models(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables that reports read, stored once per session as a whole run does."""
+    root, _, star = _stored(spark, folder)
+    if root not in _MODELS:
+        write_result(classify.classify_products(star), root, "inventory_abc_xyz_analysis")
+        classified = read_table(spark, "inventory_abc_xyz_analysis", root=root)
+        write_result(inventory.inventory_master(star, classified), root, "inventory_safety_stock_rop")
+        write_result(delivery.otif_by_route(star), root, "otif_by_route")
+        master = read_table(spark, "inventory_safety_stock_rop", root=root)
+        _MODELS[root] = (classified, master, read_table(spark, "otif_by_route", root=root))
+    return _MODELS[root]
+
+
 # ---- inputs -------------------------------------------------------------------------------
 
 
@@ -176,7 +193,7 @@ def _write_result(spark, folder):
 
 def _register_views(spark, folder):
     """Rows per registered view, counted through SQL."""
-    names = register_views(spark, stored_star(spark, folder))
+    names = register_views(spark, stored_star(spark, folder, rollups=True))
     return spark.sql(
         " UNION ALL ".join(f"SELECT '{n}' AS view_name, count(*) AS row_count FROM {n}" for n in names)
     )
@@ -272,7 +289,8 @@ def _stockout_risk(spark, folder):
 
 def _kpi_cards(spark, folder):
     return report.kpi_cards(
-        delivery.overall_kpis(stored_star(spark, folder)), classify.az_sku_count(_classified(spark, folder))
+        delivery.overall_kpis(stored_star(spark, folder, rollups=True)),
+        classify.az_sku_count(_stored_models(spark, folder)[0]),
     )
 
 
@@ -282,11 +300,11 @@ def _sku_lookup(spark, folder):
     requested = parts.select(F.col("p_partkey").alias("product_id")).union(
         parts.select((F.col("p_partkey") * 2 + 1).alias("product_id"))
     )
-    return report.sku_lookup(requested, _master(spark, folder))
+    return report.sku_lookup(requested, _stored_models(spark, folder)[1])
 
 
 def _on_star(operator) -> Query:
-    return lambda spark, folder: operator(stored_star(spark, folder))
+    return lambda spark, folder: operator(stored_star(spark, folder, rollups=True))
 
 
 def _on_lines(operator) -> Query:
@@ -294,11 +312,19 @@ def _on_lines(operator) -> Query:
 
 
 def _on_classified(operator) -> Query:
-    return lambda spark, folder: operator(_classified(spark, folder))
+    return lambda spark, folder: operator(_stored_models(spark, folder)[0])
 
 
 def _on_routes(operator) -> Query:
-    return lambda spark, folder: operator(settle(delivery.otif_by_route(stored_star(spark, folder))))
+    return lambda spark, folder: operator(_stored_models(spark, folder)[2])
+
+
+def _on_heat(operator) -> Query:
+    def query(spark, folder):
+        routes = _stored_models(spark, folder)[2]
+        return operator(routes, report.shipping_modes(routes))
+
+    return query
 
 
 def _on_master(operator) -> Query:
@@ -377,17 +403,17 @@ _ALL: dict[str, Query] = {
     "kpi_cards": _kpi_cards,
     "route_scorecard": _on_routes(report.route_scorecard),
     "profit_erosion_report": lambda spark, folder: report.profit_erosion_report(
-        delivery.late_cost_impact(stored_star(spark, folder))
+        delivery.late_cost_impact(stored_star(spark, folder, rollups=True))
     ),
     "monthly_report": lambda spark, folder: report.monthly_report(
-        settle(delivery.monthly_delivery_trends(stored_star(spark, folder)))
+        settle(delivery.monthly_delivery_trends(stored_star(spark, folder, rollups=True)))
     ),
-    "heatmap_otif": _on_routes(report.heatmap_otif),
-    "heatmap_delay": _on_routes(report.heatmap_delay),
-    "heatmap_late_revenue": _on_routes(report.heatmap_late_revenue),
-    "heatmap_bands": _on_routes(report.heatmap_bands),
+    "heatmap_otif": _on_heat(report.heatmap_otif),
+    "heatmap_delay": _on_heat(report.heatmap_delay),
+    "heatmap_late_revenue": _on_heat(report.heatmap_late_revenue),
+    "heatmap_bands": _on_heat(report.heatmap_bands),
     "classification_roster": _on_classified(report.classification_roster),
-    "reorder_roster": lambda spark, folder: report.reorder_roster(settle(_master(spark, folder))),
+    "reorder_roster": lambda spark, folder: report.reorder_roster(_stored_models(spark, folder)[1]),
     "sku_lookup": _sku_lookup,
     "sku_directive": _on_master(report.sku_directive),
     "days_on_hand": _on_master(report.days_on_hand),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import replace
 
 import pytest
@@ -15,7 +16,7 @@ from tidelane.plans import batch
 from tidelane.plans.batch import build_results, load_star
 from tidelane.plans.views import register_stored_views, register_views
 from tidelane.sources.raw_orders import read_raw_orders
-from tidelane.sources.store import read_star, read_table, write_star
+from tidelane.sources.store import current, read_star, read_table, write_star
 from tidelane.sources.tpch import raw_lines
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
@@ -71,11 +72,31 @@ def test_result_tables(spark, root):
 def test_rollups_give_what_the_lines_give(spark, root):
     lines, rolled = read_star(spark, root), read_star(spark, root, rollups=True)
     assert by(classify.product_revenue(lines), "product_id") == by(classify.product_revenue(rolled), "product_id")
+    for operator, key in (
+        (delivery.otif_by_route, ("market", "shipping_mode")), (delivery.monthly_delivery_trends, ("order_year_month",)),
+        (delivery.segment_fulfillment, ("customer_segment",)), (delivery.late_cost_impact, ("market",)),
+        (delivery.lead_time_distribution, ("market", "shipping_mode")), (delivery.overall_kpis, ("total_orders",)),
+        (quality.dq_scorecard, ("check_name", "metric")),
+    ):
+        assert by(operator(lines), *key) == by(operator(rolled), *key)
     assert by(classify.weekly_quantity(lines), "product_id", "order_year_week") == by(
         classify.weekly_quantity(rolled), "product_id", "order_year_week"
     )
 
 
+def test_results_read_the_fact_twice(spark, root, monkeypatch):
+    """Once for all counts and once for the uniqueness of its key."""
+    folder, scans = current(spark, root), []
+
+    def counted(df, *_):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        scans.append(len(re.findall(r"Relation \[order_item_id", plan)))
+
+    monkeypatch.setattr(batch, "write_result", counted)
+    build_results(spark, folder)
+    assert sum(scans) == 2
+
+
 def test_months_are_pruned(spark, root):
     months = [r["order_year_month"] for r in rows(delivery.monthly_delivery_trends(read_star(spark, root, since="1996-03", until="1996-05")))]
     assert months == ["1996-03", "1996-04", "1996-05"]

@@ -102,3 +102,29 @@ def test_one_product_with_most_lines(spark):
     assert got[1]["total_orders"] == sum(1 for i in range(1, 600) if i % 3)
     shares = rows(classify.abc_classify(classify.product_revenue(s)))
     assert sum(r["revenue_share_pct"] for r in shares) == pytest.approx(100.0)
+
+
+def test_labels_of_all_segments_and_totals():
+    """Stated here on their own, so a changed label is noticed."""
+    from tidelane import params
+
+    short = {row[0]: (row[1], row[2], row[3]) for row in params.SEGMENT_STRATEGY}
+    assert short == {
+        "AX": ("HIGH", "LOW", "Automate Replenishment (JIT)"),
+        "AY": ("HIGH", "MEDIUM", "Close Monitoring & Seasonal Buffer"),
+        "AZ": ("CRITICAL RISK", "HIGH", "Active Management / Make-to-Order"),
+        "BX": ("MEDIUM", "LOW", "Standard Periodic Replenishment"),
+        "BY": ("MEDIUM", "MEDIUM", "Periodic S&OP Review"),
+        "BZ": ("MEDIUM-HIGH RISK", "HIGH", "Inventory Rationalization"),
+        "CX": ("LOW", "LOW", "Bulk Order / High MOQ"),
+        "CY": ("LOW", "LOW-MEDIUM", "Standard Reorder Tolerances"),
+        "CZ": ("PURGE / MONITOR", "HIGH (OBSOLESCENCE)", "Obsolescence Review / Rationalize"),
+    }
+    assert [row[5] for row in params.SEGMENT_STRATEGY] == [
+        "AX: JIT Replenish", "AY: Seasonal Buffer", "AZ: CRITICAL RISK BUFFER", "BX: Automated Reorder", "BY: Periodic Review",
+        "BZ: Rationalize MOQ", "CX: Bulk Order", "CY: Standard Tol.", "CZ: PURGE CANDIDATE",
+    ]
+    assert (params.ROUTE_TOTAL, params.MONTH_TOTAL, params.ROSTER_TOTAL) == (
+        "TOTAL / ENTERPRISE AVERAGE", "FULL PERIOD TOTAL / AVG", "TOTAL PORTFOLIO ALLOCATION"
+    )
+    assert (params.REORDER, params.OVERSTOCKED, params.OPTIMAL) == ("REORDER IMMEDIATELY", "OVERSTOCKED", "OPTIMAL")

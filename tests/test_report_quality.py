@@ -15,14 +15,14 @@ def _routes(spark):
 
 
 def test_missing_route_is_zero_in_a_heatmap(spark):
-    got = rows(report.heatmap_otif(_routes(spark)))
+    got = rows(report.heatmap_otif(_routes(spark), report.shipping_modes(_routes(spark))))
     assert got == [{"market": "A", "S": 50.0, "T": 100.0}, {"market": "B", "S": 100.0, "T": 0.0}]
     known = rows(report.heatmap_delay(_routes(spark), ["S", "T"]))
     assert [r["market"] for r in known] == ["A", "B"] and known[0]["T"] == -1.0
 
 
 def test_bands(spark):
-    got = by(report.heatmap_bands(_routes(spark)), "metric", "market", "shipping_mode")
+    got = by(report.heatmap_bands(_routes(spark), ["S", "T"]), "metric", "market", "shipping_mode")
     assert len(got) == 12
     assert got[("otif_rate_pct", "A", "S")]["band"] == "warning" and got[("otif_rate_pct", "B", "T")]["band"] == "danger"
     assert got[("avg_delay_days", "A", "S")]["band"] == "none"

@@ -1,7 +1,8 @@
 """On-time delivery by route, month, segment and market.
 
 "On time" compares days only; a line counts as on time when the real days do not exceed the
-scheduled days. Every operator scans the fact once and combines before its shuffle.
+scheduled days. The measures come from the rollup that a load stores, or from one scan of the fact; sums
+combine before the shuffle either way.
 """
 
 from __future__ import annotations
@@ -9,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.functions.dates import month_key, month_start
-from tidelane.functions.lineage import settle
+from tidelane.functions.dates import month_key
 from tidelane.functions.numeric import money, percent, ratio, rnd, rounded, variance
 from tidelane.functions.running import ladder
-from tidelane.star import Star, order_measures
+from tidelane.star import Star
 
 
 def otif_by_route(star: Star) -> DataFrame:
-    m = order_measures(star.fact, "market", "shipping_mode")
+    m = star.order_measures("market", "shipping_mode")
     return m.select(
         "market",
         "shipping_mode",
@@ -35,7 +35,7 @@ def otif_by_route(star: Star) -> DataFrame:
 
 
 def monthly_delivery_trends(star: Star) -> DataFrame:
-    m = order_measures(star.fact, month_start(F.col("order_date")).alias("month"))
+    m = star.order_measures("month")
     return m.select(
         month_key(F.col("month")).alias("order_year_month"),
         F.col("lines").alias("total_orders"),
@@ -51,7 +51,7 @@ def monthly_delivery_trends(star: Star) -> DataFrame:
 
 def segment_fulfillment(star: Star) -> DataFrame:
     """Per customer first, so the join sees one row per customer however many lines one has."""
-    per_customer = order_measures(star.fact, "customer_id")
+    per_customer = star.customer_measures()
     additive = ("lines", "sales", "profit", "on_time", "late", "delay")
     per_segment = (
         per_customer.join(star.customers.select("customer_id", "customer_segment"), "customer_id")
@@ -68,22 +68,21 @@ def segment_fulfillment(star: Star) -> DataFrame:
             rnd(ratio(F.col("delay"), F.col("lines")), 2).alias("avg_delay_days"),
         )
     )
-    ranked = ladder(settle(per_segment), "otif_rate_pct", descending=False)
+    ranked = ladder(per_segment, "otif_rate_pct", descending=False)
     return ranked.drop("cumulative", "grand_total").withColumnRenamed("dense_rank", "worst_fulfillment_rank")
 
 
 def late_cost_impact(star: Star) -> DataFrame:
-    """On-time against late lines per market, from one conditional aggregation. Markets that
-    have only one kind are left out."""
-    on_time = F.coalesce(F.col("days_real") <= F.col("days_scheduled"), F.lit(False))
-    sums = []
-    for name, kind in (("on_time", on_time), ("late", ~on_time)):
-        sums += [
-            F.count_if(kind).alias(f"{name}_volume"),
-            F.sum(F.when(kind, F.col("sales_amount"))).alias(f"{name}_sales"),
-            F.sum(F.when(kind, F.col("profit_per_order"))).alias(f"{name}_profit"),
-        ]
-    both = star.fact.groupBy("market").agg(*sums).where("on_time_volume > 0 and late_volume > 0")
+    """On-time against late lines per market, from sums by kind. Markets that have only one kind are left out."""
+    both = star.order_measures("market").select(
+        "market",
+        F.col("on_time").alias("on_time_volume"),
+        (F.col("lines") - F.col("on_time")).alias("late_volume"),
+        "on_time_sales",
+        "on_time_profit",
+        F.col("other_sales").alias("late_sales"),
+        F.col("other_profit").alias("late_profit"),
+    ).where("on_time_volume > 0 and late_volume > 0")
 
     def average(name):
         return rounded(ratio(F.col(f"{name}_profit"), F.col(f"{name}_volume")), 2)
@@ -108,31 +107,20 @@ def late_cost_impact(star: Star) -> DataFrame:
 
 def lead_time_distribution(star: Star) -> DataFrame:
     """Mean, range and population variance of the real days, without a second pass for the mean."""
-    days = F.col("days_real").cast("long")
-    n, total, squares = F.col("sample_size"), F.col("days"), F.col("squares")
-    return (
-        star.fact.groupBy("market", "shipping_mode")
-        .agg(
-            F.count("*").alias("sample_size"),
-            F.sum(days).alias("days"),
-            F.sum(days * days).alias("squares"),
-            F.min("days_real").alias("min_lead_time_days"),
-            F.max("days_real").alias("max_lead_time_days"),
-        )
-        .select(
-            "market",
-            "shipping_mode",
-            "sample_size",
-            rnd(ratio(total, n), 2).alias("avg_lead_time_days"),
-            "min_lead_time_days",
-            "max_lead_time_days",
-            rnd(variance(n, total, squares), 3).alias("lead_time_variance"),
-        )
+    n, total, squares = F.col("lines"), F.col("real_days"), F.col("squared_days")
+    return star.order_measures("market", "shipping_mode").select(
+        "market",
+        "shipping_mode",
+        n.alias("sample_size"),
+        rnd(ratio(total, n), 2).alias("avg_lead_time_days"),
+        F.col("min_days").alias("min_lead_time_days"),
+        F.col("max_days").alias("max_lead_time_days"),
+        rnd(variance(n, total, squares), 3).alias("lead_time_variance"),
     )
 
 
 def overall_kpis(star: Star) -> DataFrame:
-    m = order_measures(star.fact)
+    m = star.order_measures()
     return m.select(
         F.col("lines").alias("total_orders"),
         F.col("sales").alias("total_sales"),

@@ -9,6 +9,7 @@ from tidelane.functions.numeric import percent, ratio, rnd
 from tidelane.schema import CUSTOMER_REQUIRED, FACT_REQUIRED, PRODUCT_REQUIRED
 from tidelane.star import Star
 
+# Names of the audits' counts.
 _NULL_COUNTS = {
     "null_order_ids": "order_id",
     "null_product_ids": "product_id",
@@ -32,14 +33,23 @@ def _range_tests() -> dict[str, Column]:
     }
 
 
-def line_audit(fact: DataFrame) -> DataFrame:
-    """Null and range counts in one pass, one row. The two audits below select from it, so
-    each of them computes only its own counts."""
-    return fact.agg(
+def _audit_counts() -> list[Column]:
+    return [
         F.count("*").alias("total_records"),
         *[F.count_if(F.col(c).isNull()).alias(name) for name, c in _NULL_COUNTS.items()],
         *[F.count_if(test).alias(name) for name, test in _range_tests().items()],
-    )
+    ]
+
+
+def line_audit(fact: DataFrame) -> DataFrame:
+    """Null and range counts in one pass, one row. The two audits below select from it, so
+    each of them computes only its own counts."""
+    return fact.agg(*_audit_counts())
+
+
+def line_audit_of(counts: DataFrame) -> DataFrame:
+    """The columns of ``line_audit`` from stored ``fact_counts``."""
+    return counts.select("total_records", *_NULL_COUNTS, *_range_tests())
 
 
 def dq_null_audit(fact: DataFrame) -> DataFrame:
@@ -77,15 +87,18 @@ def dq_status_concordance(fact: DataFrame) -> DataFrame:
     )
 
 
-def orphan_lines(fact: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """One row ``orphans``: fact lines whose key has no parent. The lines are counted per key
-    before the anti-join, so the join sees one row per key."""
-    per_key = fact.groupBy(key).agg(F.count("*").alias("n"))
+def _orphans(per_key: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return per_key.join(parent.select(key), key, "left_anti").agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphans")
     )
 
 
+def orphan_lines(fact: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """One row ``orphans``: fact lines whose key has no parent. The lines are counted per key
+    before the anti-join, so the join sees one row per key."""
+    return _orphans(fact.groupBy(key).agg(F.count("*").alias("n")), parent, key)
+
+
 def dq_orphan_products(fact: DataFrame, products: DataFrame) -> DataFrame:
     return orphan_lines(fact, products, "product_id").select(
         F.lit("Orphaned Fact Records").alias("check_name"), F.col("orphans").alias("orphan_count")
@@ -113,13 +126,21 @@ def _long_form(one_row: DataFrame, cells: list[tuple[str, str, str]]) -> DataFra
     return one_row.select(F.inline(rows))
 
 
-def dq_scorecard(star: Star) -> DataFrame:
-    """The five checks that follow each load, one row per figure."""
-    totals = star.fact.agg(
-        F.count("*").alias("records"),
-        F.count_if(F.col("sales_amount").isNull()).alias("null_sales"),
-        F.count_if(F.col("quantity_ordered") <= 0).alias("invalid_qty"),
-        F.count_if(F.col("days_real") <= F.col("days_scheduled")).alias("on_time"),
+def fact_counts(fact: DataFrame) -> DataFrame:
+    """All counts of lines that audits, scorecard and constraints need, one row from one scan."""
+    rules = [F.count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(_line_rules())]
+    on_time = F.count_if(F.col("days_real") <= F.col("days_scheduled")).alias("on_time")
+    return fact.agg(*_audit_counts(), on_time, *rules)
+
+
+def dq_scorecard(star: Star, counts: DataFrame | None = None) -> DataFrame:
+    """The five checks that follow each load, one row per figure. ``counts`` are stored ``fact_counts``."""
+    counted = fact_counts(star.fact) if counts is None else counts
+    totals = counted.select(
+        F.col("total_records").alias("records"),
+        "null_sales",
+        F.col("non_positive_quantities").alias("invalid_qty"),
+        "on_time",
     ).withColumn("otif_pct", rnd(percent(F.col("on_time"), F.col("records")), 2))
     figures = _long_form(
         totals,
@@ -132,10 +153,10 @@ def dq_scorecard(star: Star) -> DataFrame:
         ],
     )
     products = _long_form(
-        orphan_lines(star.fact, star.products, "product_id"), [("Orphan Products", "orphans", "orphans")]
+        _orphans(star.lines_per("product_id"), star.products, "product_id"), [("Orphan Products", "orphans", "orphans")]
     )
     customers = _long_form(
-        orphan_lines(star.fact, star.customers, "customer_id"), [("Orphan Customers", "orphans", "orphans")]
+        _orphans(star.lines_per("customer_id"), star.customers, "customer_id"), [("Orphan Customers", "orphans", "orphans")]
     )
     return figures.unionByName(products).unionByName(customers)
 
@@ -181,8 +202,11 @@ def quarantine_lines(fact: DataFrame) -> DataFrame:
     return fact.where(_broken(_line_rules()))
 
 
-def _violations(df: DataFrame, table: str, rules: list[tuple[str, str, Column]]) -> DataFrame:
-    counted = df.agg(*[F.count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(rules)])
+def _violations(
+    df: DataFrame, table: str, rules: list[tuple[str, str, Column]], counted: DataFrame | None = None
+) -> DataFrame:
+    if counted is None:
+        counted = df.agg(*[F.count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(rules)])
     rows = F.array(
         *[
             F.struct(
@@ -207,8 +231,8 @@ def _repeated_keys(df: DataFrame, table: str, key: str) -> DataFrame:
     )
 
 
-def _unmatched(fact: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    return orphan_lines(fact.where(F.col(key).isNotNull()), parent, key).select(
+def _unmatched(star: Star, parent: DataFrame, key: str) -> DataFrame:
+    return _orphans(star.lines_per(key).where(F.col(key).isNotNull()), parent, key).select(
         F.lit("fact_orders").alias("table_name"),
         F.lit("foreign_key").alias("rule"),
         F.lit(key).alias("column_name"),
@@ -216,20 +240,21 @@ def _unmatched(fact: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     )
 
 
-def dq_constraints(star: Star) -> DataFrame:
-    """Violations of every declared rule: keys, references, NOT NULL and CHECK."""
+def dq_constraints(star: Star, counts: DataFrame | None = None) -> DataFrame:
+    """Violations of every declared rule: keys, references, NOT NULL and CHECK. ``counts`` are stored
+    ``fact_counts``."""
     product_rules = [("not_null", c, F.col(c).isNull()) for c in ["product_id", *PRODUCT_REQUIRED]]
     product_rules.append(("check", "product_price", F.col("product_price") < 0))
     customer_rules = [("not_null", c, F.col(c).isNull()) for c in ["customer_id", *CUSTOMER_REQUIRED]]
     parts = [
-        _violations(star.fact, "fact_orders", _line_rules()),
+        _violations(star.fact, "fact_orders", _line_rules(), counts),
         _violations(star.products, "dim_products", product_rules),
         _violations(star.customers, "dim_customers", customer_rules),
         _repeated_keys(star.fact, "fact_orders", "order_item_id"),
         _repeated_keys(star.products, "dim_products", "product_id"),
         _repeated_keys(star.customers, "dim_customers", "customer_id"),
-        _unmatched(star.fact, star.products, "product_id"),
-        _unmatched(star.fact, star.customers, "customer_id"),
+        _unmatched(star, star.products, "product_id"),
+        _unmatched(star, star.customers, "customer_id"),
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.functions.lineage import settle
 from tidelane.functions.numeric import money, percent, ratio, rnd, rounded
 from tidelane.operators.inventory import overstocked
 from tidelane.params import (
@@ -131,36 +130,46 @@ def monthly_report(months: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     return detail.unionByName(total).orderBy("is_total", "order_year_month")
 
 
-def heatmap(routes: DataFrame, metric: str, modes: list[str] | None = None) -> DataFrame:
-    """Market by shipping mode. Missing routes are 0. Without ``modes`` the modes are looked
-    up first, for which the small route table is materialised."""
+#: Columns of a heatmap at most.
+MOST_MODES = 200
+
+
+def shipping_modes(routes: DataFrame) -> list[str]:
+    """The modes of a stored route table, for the heatmaps' columns. A few names; more than ``MOST_MODES`` are an
+    error, as no table should get that many columns."""
+    found = [r[0] for r in routes.select("shipping_mode").distinct().limit(MOST_MODES + 1).collect()]
+    if len(found) > MOST_MODES:
+        raise ValueError(f"more than {MOST_MODES} shipping modes")
+    return sorted(m for m in found if m is not None)
+
+
+def heatmap(routes: DataFrame, metric: str, modes: list[str]) -> DataFrame:
+    """Market by shipping mode. Missing routes are 0."""
     cells = routes.select("market", "shipping_mode", F.col(metric).cast("double").alias("cell"))
-    if modes is None:
-        cells = settle(cells)
     return (
         cells.groupBy("market").pivot("shipping_mode", modes).agg(F.first("cell")).fillna(0.0).orderBy("market")
     )
 
 
-def heatmap_otif(routes: DataFrame, modes: list[str] | None = None) -> DataFrame:
+def heatmap_otif(routes: DataFrame, modes: list[str]) -> DataFrame:
     return heatmap(routes, "otif_rate_pct", modes)
 
 
-def heatmap_delay(routes: DataFrame, modes: list[str] | None = None) -> DataFrame:
+def heatmap_delay(routes: DataFrame, modes: list[str]) -> DataFrame:
     return heatmap(routes, "avg_delay_days", modes)
 
 
-def heatmap_late_revenue(routes: DataFrame, modes: list[str] | None = None) -> DataFrame:
+def heatmap_late_revenue(routes: DataFrame, modes: list[str]) -> DataFrame:
     return heatmap(routes, "late_revenue_at_risk", modes)
 
 
-def heatmap_bands(routes: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def heatmap_bands(routes: DataFrame, modes: list[str], params: Params = DEFAULTS) -> DataFrame:
     """One row per cell of the three heatmaps with the name of its colour band. One pivot of
     the small route table gives all cells, missing routes included."""
     metrics = ("otif_rate_pct", "avg_delay_days", "late_revenue_at_risk")
-    small = settle(routes.select("market", "shipping_mode", *[F.col(m).cast("double").alias(m) for m in metrics]))
+    small = routes.select("market", "shipping_mode", *[F.col(m).cast("double").alias(m) for m in metrics])
     grid = (
-        small.groupBy("market").pivot("shipping_mode").agg(*[F.first(m).alias(m) for m in metrics]).fillna(0.0)
+        small.groupBy("market").pivot("shipping_mode", modes).agg(*[F.first(m).alias(m) for m in metrics]).fillna(0.0)
     )
     cells = grid.select(
         "market",

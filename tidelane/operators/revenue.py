@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelane.functions.dates import week_key, week_of_year
-from tidelane.functions.lineage import settle
 from tidelane.functions.numeric import money, percent, ratio, rnd
 from tidelane.functions.running import ladder
 from tidelane.params import DEFAULTS, Params
@@ -47,7 +46,7 @@ def category_revenue_ranked(star: Star) -> DataFrame:
             average_discount_pct().alias("avg_discount_pct"),
         )
     )
-    ranked = ladder(settle(categories), "category_revenue")
+    ranked = ladder(categories, "category_revenue")
     return ranked.select(
         *categories.columns,
         rnd(percent(F.col("category_revenue"), F.col("grand_total")), 2).alias("revenue_share_pct"),
@@ -70,7 +69,7 @@ def product_revenue_pareto(star: Star, params: Params = DEFAULTS) -> DataFrame:
             money(F.col("profit")).alias("total_profit"),
         )
     )
-    ranked = ladder(settle(totals), "total_revenue")
+    ranked = ladder(totals, "total_revenue")
     within_a = F.col("cumulative") <= F.col("grand_total") * F.lit(params.abc_a)
     within_b = F.col("cumulative") <= F.col("grand_total") * F.lit(params.abc_b)
     known = F.col("grand_total") != 0

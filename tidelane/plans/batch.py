@@ -75,9 +75,11 @@ def build_results(
     from those two. Each table is stored once and read by the tables that follow."""
     root = current(spark, root)
     star = read_star(spark, root, rollups=True)
-    write_result(quality.line_audit(star.fact), root, "dq_line_audit")
-    write_result(quality.dq_scorecard(star), root, "dq_scorecard")
-    write_result(quality.dq_constraints(star), root, "dq_constraints")
+    write_result(quality.fact_counts(star.fact), root, "dq_fact_counts")
+    counts = read_table(spark, "dq_fact_counts", root=root)
+    write_result(quality.line_audit_of(counts), root, "dq_line_audit")
+    write_result(quality.dq_scorecard(star, counts), root, "dq_scorecard")
+    write_result(quality.dq_constraints(star, counts), root, "dq_constraints")
     write_result(classify.classify_products(star, params), root, "inventory_abc_xyz_analysis")
     classified = read_table(spark, "inventory_abc_xyz_analysis", root=root)
     master = inventory.inventory_master(star, classified, inventory_snapshot, params)
@@ -103,7 +105,7 @@ def build_report(spark: SparkSession, root: str, star: Star, params: Params = DE
         "route_scorecard": report.route_scorecard(routes, params),
         "profit_erosion_report": report.profit_erosion_report(read_table(spark, "late_cost_impact", root=root)),
         "monthly_report": report.monthly_report(read_table(spark, "monthly_delivery_trends", root=root), params),
-        "heatmap_bands": report.heatmap_bands(routes, params),
+        "heatmap_bands": report.heatmap_bands(routes, report.shipping_modes(routes), params),
         "nine_box_grid": classify.nine_box_grid(classified),
         "classification_roster": report.classification_roster(classified),
         "reorder_roster": report.reorder_roster(master),

@@ -23,9 +23,7 @@ VIEWS = {
 
 
 def register_views(spark: SparkSession, star: Star, names: list[str] | None = None) -> list[str]:
-    """Register the views as temporary views and return their names. The three ranked views
-    (segments, categories, products) sum the fact when they are registered, the others on
-    each read."""
+    """Register the views as temporary views and return their names. Nothing is computed before a view is read."""
     for name in names or list(VIEWS):
         plain(VIEWS[name](star)).createOrReplaceTempView(name)
     return names or list(VIEWS)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelane.functions.dates import month_key
-from tidelane.star import Star, daily_rollup, route_rollup
+from tidelane.star import Star, customer_rollup, daily_rollup, delivery_rollup, route_rollup
 
 MONTH = "order_year_month"
 LOADS = "loads"
@@ -63,16 +63,17 @@ def write_star(star: Star, root: str) -> None:
 
 
 def write_rollups(spark: SparkSession, root: str) -> None:
-    """Replace the daily and the route rollup, computed from the stored fact."""
+    """Replace the rollups, computed from the stored fact."""
     fact = read_star(spark, root).fact
     _replace(daily_rollup(fact), f"{root}/product_daily")
     _replace(route_rollup(fact), f"{root}/product_routes")
+    _replace(delivery_rollup(fact), f"{root}/delivery_months")
+    _replace(customer_rollup(fact), f"{root}/customer_orders")
 
 
 def attach_rollups(spark: SparkSession, star: Star, root: str) -> Star:
-    return star.with_rollups(
-        spark.read.parquet(f"{root}/product_daily"), spark.read.parquet(f"{root}/product_routes")
-    )
+    names = ("product_daily", "product_routes", "delivery_months", "customer_orders")
+    return star.with_rollups(*[spark.read.parquet(f"{root}/{name}") for name in names])
 
 
 def read_star(

@@ -1,13 +1,14 @@
 """The star schema as one value: two dimensions, the order-line fact and, once they have
-been written, the two rollups that the product analytics read instead of the fact."""
+been written, the rollups that the analytics read instead of the fact."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelane.functions.dates import month_start
 from tidelane.functions.numeric import square
 
 
@@ -18,6 +19,8 @@ class Star:
     customers: DataFrame
     daily: DataFrame | None = None
     routes: DataFrame | None = None
+    deliveries: DataFrame | None = None
+    by_customer: DataFrame | None = None
 
     def demand(self) -> DataFrame:
         """Additive demand measures: the daily rollup if there is one, else one row per line."""
@@ -27,8 +30,26 @@ class Star:
         """Additive lead-time measures per product and route, from the rollup if there is one."""
         return self.routes if self.routes is not None else route_rollup(self.fact)
 
-    def with_rollups(self, daily: DataFrame, routes: DataFrame) -> Star:
-        return replace(self, daily=daily, routes=routes)
+    def order_measures(self, *keys: str) -> DataFrame:
+        """Additive delivery measures per market, shipping mode, month (its first day) or any of them, from the
+        rollup if there is one."""
+        if self.deliveries is not None:
+            return _resummed(self.deliveries, *keys)
+        return _delivery_sums(self.fact.withColumn("month", month_start(F.col("order_date"))), *keys)
+
+    def customer_measures(self) -> DataFrame:
+        return self.by_customer if self.by_customer is not None else customer_rollup(self.fact)
+
+    def lines_per(self, key: str) -> DataFrame:
+        """Number of lines ``n`` per product or customer, those without one included."""
+        if key == "product_id":
+            return self.demand().groupBy(key).agg(F.sum("lines").alias("n"))
+        return self.customer_measures().select(key, F.col("lines").alias("n"))
+
+    def with_rollups(
+        self, daily: DataFrame, routes: DataFrame, deliveries: DataFrame | None = None, by_customer: DataFrame | None = None
+    ) -> Star:
+        return replace(self, daily=daily, routes=routes, deliveries=deliveries, by_customer=by_customer)
 
 
 def line_demand(fact: DataFrame) -> DataFrame:
@@ -68,19 +89,54 @@ def route_rollup(fact: DataFrame) -> DataFrame:
     )
 
 
-def order_measures(fact: DataFrame, *keys) -> DataFrame:
-    """Counts and sums of the delivery metrics per key; all additive, so they can be
-    aggregated again after a join."""
+def _delivery_lines(fact: DataFrame) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Additive delivery measures of lines, and the extremes of their days. ``other`` are the lines that are not
+    known to be on time."""
     on_time = F.col("days_real") <= F.col("days_scheduled")
     late = F.col("days_real") > F.col("days_scheduled")
-    return fact.groupBy(*keys).agg(
-        F.count("*").alias("lines"),
-        F.count_if(on_time).alias("on_time"),
-        F.count_if(late).alias("late"),
-        F.sum(F.col("days_scheduled").cast("long")).alias("scheduled_days"),
-        F.sum(F.col("days_real").cast("long")).alias("real_days"),
-        F.sum((F.col("days_real") - F.col("days_scheduled")).cast("long")).alias("delay"),
-        F.sum("sales_amount").alias("sales"),
-        F.sum(F.when(late, F.col("sales_amount")).otherwise(0)).alias("late_sales"),
-        F.sum("profit_per_order").alias("profit"),
+    known = F.coalesce(on_time, F.lit(False))
+    real = F.col("days_real").cast("long")
+    sums = {
+        "lines": F.lit(1).cast("long"),
+        "on_time": on_time.cast("long"),
+        "late": late.cast("long"),
+        "scheduled_days": F.col("days_scheduled").cast("long"),
+        "real_days": real,
+        "squared_days": square(real),
+        "delay": (F.col("days_real") - F.col("days_scheduled")).cast("long"),
+        "sales": F.col("sales_amount"),
+        "late_sales": F.when(late, F.col("sales_amount")).otherwise(0),
+        "profit": F.col("profit_per_order"),
+        "on_time_sales": F.when(known, F.col("sales_amount")),
+        "on_time_profit": F.when(known, F.col("profit_per_order")),
+        "other_sales": F.when(~known, F.col("sales_amount")),
+        "other_profit": F.when(~known, F.col("profit_per_order")),
+    }
+    return sums, {"min_days": F.min("days_real"), "max_days": F.max("days_real")}
+
+
+def _delivery_sums(fact: DataFrame, *keys) -> DataFrame:
+    sums, extremes = _delivery_lines(fact)
+    summed = [F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(n) if n in ("lines", "on_time", "late") else F.sum(c).alias(n)
+              for n, c in sums.items()]
+    return fact.groupBy(*keys).agg(*summed, *[c.alias(n) for n, c in extremes.items()])
+
+
+def _resummed(rollup: DataFrame, *keys) -> DataFrame:
+    how = {"min_days": F.min, "max_days": F.max}
+    measures = [c for c in rollup.columns if c not in ("market", "shipping_mode", "month", "customer_id")]
+    totals = [how.get(c, F.sum)(c).alias(c) for c in measures]
+    counts = ("lines", "on_time", "late")
+    return rollup.groupBy(*keys).agg(*totals).withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in counts}
     )
+
+
+def delivery_rollup(fact: DataFrame) -> DataFrame:
+    """Delivery measures per market, shipping mode and month."""
+    return _delivery_sums(fact, "market", "shipping_mode", month_start(F.col("order_date")).alias("month"))
+
+
+def customer_rollup(fact: DataFrame) -> DataFrame:
+    """Delivery measures per customer."""
+    return _delivery_sums(fact, "customer_id")
