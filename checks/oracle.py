@@ -528,8 +528,18 @@ _views = {
     "v_category_revenue_ranked": "category_totals", "v_product_revenue_pareto": "pareto",
     "v_product_weekly_demand": "weekly", "v_loss_making_products_audit": "losses",
 }
+# a column of each view whose sum shows that the view holds the right rows
+VIEW_MEASURES = {
+    "v_otif_by_route": "total_route_sales", "v_monthly_delivery_trends": "monthly_late_revenue",
+    "v_customer_segment_fulfillment": "total_revenue", "v_late_delivery_cost_impact": "late_sales_at_risk",
+    "v_lead_time_route_distribution": "lead_time_variance", "v_category_revenue_ranked": "category_revenue",
+    "v_product_revenue_pareto": "cumulative_revenue_pct", "v_product_weekly_demand": "weekly_sales",
+    "v_loss_making_products_audit": "net_profit",
+}
 query("register_views", list(_views.values()),
-      " union all ".join(f"select '{v}' as view_name, count(*) as row_count from {c}" for v, c in _views.items()))
+      " union all ".join(
+          f"select '{v}' as view_name, count(*) as row_count, cast(round(sum(cast({VIEW_MEASURES[v]} as decimal(38,6))), 2) as double) as measure from {c}"
+          for v, c in _views.items()))
 query("read_table", ["products"], pick("product_id, product_name, category_name, product_price", "products", ["product_price"]))
 
 # ---- audits ---------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.oracle import VIEW_MEASURES
 from tidelane.functions.lineage import settle, shared_path
 from tidelane.functions.numeric import plain
 from tidelane.operators import classify, cleaning, delivery, inventory, quality, report, revenue
@@ -192,10 +193,14 @@ def _write_result(spark, folder):
 
 
 def _register_views(spark, folder):
-    """Rows per registered view, counted through SQL."""
+    """Rows per registered view and the sum of one of its columns, through SQL."""
     names = register_views(spark, stored_star(spark, folder, rollups=True))
     return spark.sql(
-        " UNION ALL ".join(f"SELECT '{n}' AS view_name, count(*) AS row_count FROM {n}" for n in names)
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS view_name, count(*) AS row_count, "
+            f"cast(round(sum(cast({VIEW_MEASURES[n]} AS decimal(28,6))), 2) AS double) AS measure FROM {n}"
+            for n in names
+        )
     )
 
 
