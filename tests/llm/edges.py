@@ -4,7 +4,7 @@ from __future__ import annotations
 
 CLASH = (
     "size long, score double, spans string, n_words long, kept boolean, shard int, target double, n_links long, "
-    "class_id long, tail double, token_ids string, n_tokens string, Label int, rank int, `_n` int"
+    "class_id long, tail double, token_ids string, n_tokens string, Label int, rank int, number int, block int, `_n` int"
 )
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASH}"
 LONG = "word " * 60_000 + "password=abcdefghijkl0123 end"
@@ -29,7 +29,7 @@ def documents(spark):
         (9, "one two", "en", "a"),
         (10, "one\ntwo", "en", "a"),
     ]
-    full = [(i, t, a, s, len(t or ""), *([None] * 15)) for i, t, a, s in rows]
+    full = [(i, t, a, s, len(t or ""), *([None] * 17)) for i, t, a, s in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 

@@ -6,13 +6,25 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.llm.hashed_text import batches
 
 
+#: Rows of an Arrow batch at most. A batch is held whole on both sides, and rows hold texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``BATCH_ROWS`` if they are more."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name, "10000"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def mapped(
     df: DataFrame,
     new: list[T.StructField],
@@ -24,6 +36,7 @@ def mapped(
     gives the new columns of a batch. Columns in ``drop``, and those named like a new one, are
     not handed on. With ``text``, batches are cut in pieces of some megabytes of that column, so a task's
     memory depends on the longest text and not on the number of rows in a batch."""
+    small_batches(df.sparkSession)
     out = {name.lower() for name in drop} | {field.name.lower() for field in new}
     fields = [f for f in df.schema.fields if f.name.lower() not in out]
     kept, names = [f.name for f in fields], [f.name for f in [*fields, *new]]

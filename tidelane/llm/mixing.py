@@ -173,14 +173,20 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
         "d.*",
         "s.source_size",
         "s.target",
-        "s.number",
+        F.col("s.number").alias("_source_number"),
         (F.col("d._upto") - F.col("d.size") - F.col("s.start")).alias("_from"),
     )
     wide = settings.block
     first, last = F.expr(f"_from DIV {wide}"), F.expr(f"(_from + size - 1) DIV {wide}")
     pieces = (
         placed.filter("size > 0")
-        .select("_row", "number", "_from", "size", F.explode(F.sequence(first, last)).alias("block"))
+        .select(
+            "_row",
+            F.col("_source_number").alias("number"),
+            "_from",
+            "size",
+            F.explode(F.sequence(first, last)).alias("block"),
+        )
         .select(
             "_row",
             "number",

@@ -33,7 +33,7 @@ class Settings:
     grades: int = 3
     bits: int = 18
     #: most rated rows that the fit takes
-    sample: int = 12_000
+    sample: int = 8_000
     epochs: int = 6
     batch: int = 32
     rate: float = 1.0
