@@ -123,6 +123,12 @@ def _whole(c: Column) -> Column:
     return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
 
 
+def _number(text: Column) -> Column:
+    """Whether a text is a finite number, whatever its size."""
+    x = text.try_cast("double")
+    return F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False))
+
+
 def type_columns(df: DataFrame) -> DataFrame:
     """Cast the text columns of standardized lines; the risk flag stays text. Names of vital columns whose text
     could not be read, and of amounts that are too large, are collected in one array column, and in another
@@ -139,27 +145,39 @@ def type_columns(df: DataFrame) -> DataFrame:
         kinds[c] = F.col(c).try_cast("double")
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     casts = {c: cast for c, cast in kinds.items() if c in texts}
-    number = lambda c: F.col(c).try_cast("double")
-    large = lambda c: F.coalesce(~F.isnan(number(c)) & (F.abs(number(c)) != float("inf")), F.lit(False))
-    names, reasons = [], []
-    for c, cast in casts.items():
-        failed = F.col(c).isNotNull() & cast.isNull()
-        if c not in VITAL_NUMBERS:
-            failed = failed & large(c) if c in MONEY_COLUMNS else F.lit(False)
-        fault = "not a whole number of 64 bits" if c in LONG_COLUMNS else "too large"
-        said = F.concat_ws(": ", F.lit(c), F.when(large(c), fault).otherwise("not a number"), F.col(c))
-        names.append(F.when(failed, F.lit(c)))
-        reasons.append(F.when(failed, said))
+    broken = F.col(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
+    failed = {c: F.col(c).isNotNull() & casts[c].isNull() for c in casts if c in VITAL_NUMBERS}
+    failed |= {
+        c: F.col(c).isNotNull() & casts[c].isNull() & _number(F.col(c))
+        for c in casts
+        if c in MONEY_COLUMNS and c not in failed
+    }
+    named = [F.when(condition, F.lit(c)) for c, condition in failed.items()]
+    names = F.array_compact(F.array(*named, F.when(broken, F.lit(MALFORMED))))
+    # the texts are put together for rejected lines only
+    texts_by_name = [
+        F.struct(F.lit(c).alias("name"), F.when(condition, F.col(c)).alias("text")) for c, condition in failed.items()
+    ]
+
+    def said(x: Column) -> Column:
+        fault = (
+            F.when(~_number(x["text"]), "not a number")
+            .when(x["name"].isin(LONG_COLUMNS), "not a whole number of 64 bits")
+            .otherwise("too large")
+        )
+        return F.concat_ws(": ", x["name"], fault, x["text"])
+
+    none = F.array().cast("array<string>")
+    numbers = F.transform(F.filter(F.array(*texts_by_name), lambda x: x["text"].isNotNull()), said) if failed else none
+    reasons = F.when(
+        F.size(names) > 0, F.concat(numbers, F.when(broken, F.array(F.lit("malformed record"))).otherwise(none))
+    ).otherwise(none)
     if MALFORMED in df.columns:
-        broken = F.col(MALFORMED).isNotNull()
-        names.append(F.when(broken, F.lit(MALFORMED)))
-        reasons.append(F.when(broken, F.lit("malformed record")))
         casts["order_item_id"] = F.when(~broken, casts.get("order_item_id", F.col("order_item_id")))
-    collect = lambda xs: F.array_compact(F.array(*xs)) if xs else F.array().cast("array<string>")
     return df.select(
         *[casts[c].alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns],
-        collect(names).alias(REJECTED),
-        collect(reasons).alias(REASONS),
+        names.alias(REJECTED),
+        reasons.alias(REASONS),
     )
 
 
