@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidelane.functions.lineage import settle
 
-#: Parts that the neighbours of a node are dealt in.
+#: Parts that the neighbours of a node are dealt in. Where Spark broadcasts the minima, by their size before they are copied,
+#: it sends this many times that size at most.
 SALTS = 16
 
 
@@ -16,8 +17,6 @@ def _towards_least(edges: DataFrame) -> DataFrame:
     found by partial minima and joined back to edges dealt by node and salt, so a node with many neighbours is no single group."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # dealt before the join, which otherwise would judge the size by the rows before they are copied
-    salted = salted.repartition("u", "salt")
     return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"])
 
 
