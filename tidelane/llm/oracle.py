@@ -156,8 +156,89 @@ def mixing_ctes(documents: str = "documents") -> str:
         + greatest(0, least(begins + size, quota % source_size) - begins) END::BIGINT AS taken FROM streamed)"""
 
 
+def collocations_sql() -> str:
+    """All n-grams of one to four words, unpacked and counted."""
+    grams = "\n    UNION ALL ".join(
+        f"SELECT lang, array_to_string(list_slice(w, i, i + {k - 1}), ' ') AS phrase, {k} AS words FROM pieces, unnest(range(1, len(w) - {k - 2})) AS u(i)"
+        for k in (1, 2, 3, 4)
+    )
+    return f"""
+    WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+        FROM documents WHERE text IS NOT NULL),
+    grams AS ({grams}),
+    counted AS (SELECT lang, phrase, words, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+    candidates AS (SELECT lang, phrase, string_split(phrase, ' ') AS w, words, f AS a FROM counted WHERE words > 1),
+    cuts AS (SELECT *, unnest(range(1, words)) AS k FROM candidates),
+    parts AS (SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a // (l.f::HUGEINT + r.f))::BIGINT AS score
+        FROM cuts c JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ')
+        JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, c.k + 1, c.words), ' ')),
+    best AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_phrases AS (SELECT lang, a, unnest(flatten(list_transform(range(2, words), lambda m: list_transform(range(1, words - m + 2),
+        lambda i: array_to_string(list_slice(w, i, i + m - 1), ' '))))) AS phrase FROM candidates WHERE words > 2),
+    covered AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+    kept AS (SELECT b.* FROM best b LEFT JOIN covered c USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l,
+        r::BIGINT AS r, n, score FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
+def conversations_sql() -> str:
+    """The programme as a recursion over the turns; a state is (cost, audit, repaired text), compared in this order."""
+    steps = "n"
+    for _ in range(8):
+        steps = f"CASE WHEN {steps} % 2 = 1 THEN xor(3988292384, {steps} // 2) ELSE {steps} // 2 END"
+    text = "(conv_key || ':' || turn_key)"
+
+    def move(place: str, cost: str, letter: str, written: str, when: str = "TRUE") -> str:
+        return f"CASE WHEN {place} IS NOT NULL AND {when} THEN {{'c': {place}.c + {cost}, 'e': {place}.e || '{letter}', 't': {place}.t || {written}}} END"
+
+    keep = lambda place, initial: move(
+        place, "extra", "K", "chr(10) || role || ':' || text", f"NOT faulty AND initial = '{initial}'"
+    )
+    anew = lambda place, role: move(place, "(3 + extra)", "R", f"chr(10) || '{role}:' || text", "NOT faulty")
+    put = lambda place, role: move(place, "3", "I", f"chr(10) || '{role}:'")
+    gone = lambda place: move(place, "4", "D", "''")
+    least = lambda *options: f"list_min([{', '.join(options)}])"
+    before_user = ("p", "s", "a")
+    user = least(gone("u"), *[keep(x, "u") for x in before_user], *[anew(x, "user") for x in before_user])
+    helper = least(gone("a"), keep("u", "a"), anew("u", "assistant"))
+    with_user = least("u", *[put(x, "user") for x in before_user])
+    return f"""
+    WITH RECURSIVE crc AS (SELECT list({steps} ORDER BY n) AS tab FROM (SELECT unnest(range(256)) AS n)),
+    keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') AS conv_key,
+        coalesce(turn::VARCHAR, ' ') AS turn_key FROM conversations),
+    hit AS (SELECT *, (xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1]))) % 20)::INT AS h FROM keyed, crc),
+    turns AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM hit, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) WHERE h <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM turns),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS copy,
+        left(role, 1) AS initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM placed),
+    faults AS (SELECT *, said = '' AS is_blank, said <> '' AND copy > 1 AS is_copy, said <> '' AND copy = 1 AND right(said, 1) NOT IN ('.', '!', '?') AS is_cut,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM numbered),
+    costed AS (SELECT *, is_blank OR is_copy AS faulty, CASE WHEN is_cut THEN 3 ELSE 0 END AS extra FROM faults),
+    named AS (SELECT conv_id FROM conversations GROUP BY conv_id),
+    raw AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'e': '', 't': ''}} AS p, NULL::STRUCT(c INT, e VARCHAR, t VARCHAR) AS s,
+            {{'c': 3, 'e': 'I', 't': chr(10) || 'user:'}} AS u, {{'c': 6, 'e': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS a FROM named
+        UNION ALL
+        SELECT conv_id, i, p, s, u, {least("a", put("u", "assistant"))} AS a FROM (
+            SELECT conv_id, i, p, s, {with_user} AS u, a FROM (
+                SELECT r.conv_id, c.i, {gone("p")} AS p, {least(gone("s"), keep("p", "s"))} AS s, {user} AS u, {helper} AS a
+                FROM raw r JOIN costed c ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND c.i = r.i + 1))),
+    ended AS (SELECT conv_id, list_min([p, a]) AS best FROM raw QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+    counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(is_blank) AS blank, count_if(is_copy) AS duplicate,
+        count_if(is_cut) AS truncated, count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM costed GROUP BY conv_id)
+    SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+        coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.e AS audit,
+        sha256(substr(best.t, 2)) AS repaired_sha256 FROM ended e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_phrase_collocations": collocations_sql(),
+        "op13_conversation_repair": conversations_sql(),
         "op9_mixing": f"WITH {mixing_ctes()} SELECT doc_id, size, source_size, target, taken FROM mixed",
         "op8_sharding": sharding_sql(),
         "op6_quality_rules": quality_rules_sql(),

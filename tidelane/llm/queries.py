@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import ann, bpe, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, token_count, toxicity
+from tidelane.llm import (
+    ann,
+    bpe,
+    collocations,
+    conversation_repair,
+    mixing,
+    ngram_join,
+    personal_data,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    token_count,
+    toxicity,
+)
 from tidelane.llm.oracle import oracle_sql as oracle_sql
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -103,6 +117,37 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and positions of personal data per document."""
+    found = personal_data.personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest, "spans")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with the damage that their number decides; ``present`` is false for those that it drops."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    hit = F.crc32(F.concat_ws(":", said("conv_id"), said("turn")).cast("binary")) % 20
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(hit == 4, "user").otherwise(said("role")).alias("role"),
+        F.when(hit == 1, "").when(hit == 2, F.translate(said("text"), ".!?", "")).otherwise(said("text")).alias("text"),
+        (hit != 0).alias("present"),
+        F.explode(F.array_repeat(F.lit(1), F.when(hit == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest audit and digest of the repaired text of each damaged conversation."""
+    return conversation_repair.audit_conversations(damaged(table(spark, folder, "conversations")), F.col("present"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_encoding": op1_bpe_encoding,
@@ -115,4 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
+        "op11_phrase_collocations": op11_phrase_collocations,
+        "op12_personal_data": op12_personal_data,
+        "op13_conversation_repair": op13_conversation_repair,
     }
