@@ -43,9 +43,9 @@ from tidelane.llm.frames import small_batches
 from tidelane.llm.hashed_text import mix, token_hashes, utf8
 
 #: Bytes of text in a block (tokenised at once) and in a shard (one transducer per range and order).
-BLOCK, SHARD = 1 << 21, 1 << 24
+BLOCK, SHARD = 1 << 20, 1 << 23
 BITS, SLICE = 1 << 26, 1 << 17
-PREFIX, SALTS, MERGED = 3, 8, 1 << 22
+PREFIX, SALTS, MERGED = 3, 8, 1 << 20
 WORD, SPACE, BREAK = 0, 1, 2
 
 _KIND = np.full(256, WORD, np.uint8)
@@ -151,7 +151,7 @@ class Transducer:
         at, arrays = 8, []
         for _ in range(count):
             n, width = struct.unpack_from("<QB", raw, at)
-            arrays.append(np.frombuffer(raw, f"<u{width}", n, at + 9).astype(np.int64))
+            arrays.append(np.frombuffer(raw, f"<u{width}", n, at + 9).astype(np.int32 if width < 4 else np.int64))
             at += 9 + n * width
         arcs, below, weights, lengths = arrays[:levels], arrays[levels : 2 * levels - 1], arrays[-2], arrays[-1]
         offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
@@ -176,7 +176,7 @@ class Transducer:
         order = pc.sort_indices(coded.dictionary).to_numpy()
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        labels, codes, at = coded.dictionary.take(pa.array(order)), rank[coded.indices.to_numpy()], 0
+        labels, codes, at = coded.dictionary.take(pa.array(order)), rank[coded.indices.to_numpy()].astype(np.int32), 0
         columns = [[] for _ in parts[0].paths]
         for p in parts:
             own = codes[at : at + len(p.labels)]
@@ -184,7 +184,7 @@ class Transducer:
             for column, path in zip(columns, p.paths):
                 column.append(own[path])
         paths = [np.concatenate(column) for column in columns]
-        state = paths[0]
+        state = paths[0].astype(np.int64)
         for column in paths[1:]:
             _, first, state = np.unique(state * len(labels) + column, return_index=True, return_inverse=True)
         weights = np.zeros(len(first), np.int64)
@@ -219,11 +219,11 @@ class Transducer:
         return np.where(ok, self.weights[state], 0) if len(self.weights) else np.zeros(n, np.int64)
 
 
-def _grams(words: np.ndarray, piece: np.ndarray, lang: np.ndarray, size: int, orders: range, allowed) -> dict[int, tuple]:
-    """Per order the sorted distinct n-grams (columns of label numbers) and their counts. ``allowed(k, places)`` tells whether the
+def _grams(words: np.ndarray, piece: np.ndarray, lang: np.ndarray, size: int, orders: range, allowed) -> Iterator[tuple]:
+    """Per order, its number, the sorted distinct n-grams (columns of label numbers) and their counts. ``allowed(k, places)`` tells whether the
     k-gram at each place may be part of a longer one."""
-    found, at, state = {}, np.arange(len(words)), lang.astype(np.int64)
-    paths = [np.arange(size)]
+    at, state = np.arange(len(words)), lang.astype(np.int64)
+    paths = [np.arange(size, dtype=np.int32)]
     for k in range(1, orders[-1] + 1):
         at_end = at + k - 1
         fits = at_end < len(words)
@@ -232,10 +232,9 @@ def _grams(words: np.ndarray, piece: np.ndarray, lang: np.ndarray, size: int, or
             fits[fits] = allowed(k, at_end[fits])
         at, state = at[fits], state[fits]
         keys, state, counts = np.unique(state * size + words[at + k - 1], return_inverse=True, return_counts=True)
-        paths = [column[keys // size] for column in paths] + [keys % size]
+        paths = [column[keys // size] for column in paths] + [(keys % size).astype(np.int32)]
         if k in orders:
-            found[k] = paths, counts.astype(np.int64)
-    return found
+            yield k, paths, counts
 
 
 class _Shard:
@@ -280,8 +279,7 @@ class _Shard:
                 allowed = lambda k, ends: good[ends]
             else:
                 allowed = lambda k, ends: good[ends - known + 1] if k >= known else np.ones(len(ends), bool)
-        found = _grams(words, piece, lang_codes[lang], len(labels), orders, allowed)
-        for k, (paths, counts) in found.items():
+        for k, paths, counts in _grams(words, piece, lang_codes[lang], len(labels), orders, allowed):
             ranged = prefix_hashes(of_lang[paths[0]], [hashes[c] for c in paths[1 : 1 + PREFIX]]) % np.uint64(ranges)
             order = np.argsort(ranged, kind="stable")
             edges = np.flatnonzero(np.diff(ranged[order], prepend=np.uint64(ranges))) if len(order) else []
