@@ -24,7 +24,7 @@ def con():
 
 def test_one_query_per_operator():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].partition("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].partition("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(SQL) < set(contract.oracle_sql())
 
 

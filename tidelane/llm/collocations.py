@@ -153,7 +153,7 @@ class Transducer:
             n, width = struct.unpack_from("<QB", raw, at)
             arrays.append(np.frombuffer(raw, f"<u{width}", n, at + 9).astype(np.int32 if width < 4 else np.int64))
             at += 9 + n * width
-        arcs, below, weights, lengths = arrays[:levels], arrays[levels : 2 * levels - 1], arrays[-2], arrays[-1]
+        arcs, below, weights, lengths = arrays[:levels], arrays[levels : 2 * levels - 1], arrays[-2].astype(np.int64), arrays[-1]
         offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
         texts = pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(raw[at:])])
         paths = [arcs[-1]]

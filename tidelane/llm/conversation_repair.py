@@ -166,6 +166,11 @@ class Conversation:
                 if states[place] is not None:
                     options.append(self._option(states, place, INSERT, "I", ROLES[role], ""))
             states[to] = self._best(options)
+        # what can follow START or SYSTEM can follow ASSISTANT, a kept first system turn then being deleted, so dearer
+        # states than that end in no cheapest audit; without them old letters are soon shared by all live audits
+        for place, more in ((START, DELETE), (SYSTEM, 0)):
+            if states[place] is not None and states[place][0] > states[ASSISTANT][0] + more:
+                states[place] = None
         return states
 
     def _option(self, states: list, place: int, cost: int, letter: str, role: str, text: str) -> tuple:
