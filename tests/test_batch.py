@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.frames import by, rows
-from tidelane.operators import classify, delivery, quality
+from tidelane.operators import classify, delivery, quality, report
 from tidelane.plans import batch
 from tidelane.plans.batch import build_results, load_star
+from tidelane.plans.lookup import lookup_skus
 from tidelane.plans.views import register_stored_views, register_views
 from tidelane.sources.raw_orders import read_raw_orders
-from tidelane.sources.store import current, read_star, read_table, write_star
+from tidelane.sources.loads import Tables, published
+from tidelane.sources.store import read_rows, read_star, read_table, write_sorted, write_star
 from tidelane.sources.tpch import raw_lines
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the test tables")
@@ -84,17 +86,47 @@ def test_rollups_give_what_the_lines_give(spark, root):
     )
 
 
-def test_results_read_the_fact_twice(spark, root, monkeypatch):
-    """Once for all counts and once for the uniqueness of its key."""
-    folder, scans = current(spark, root), []
+def test_results_read_the_fact_once(spark, root, monkeypatch):
+    """For all counts; keys are read from their own table."""
+    scans = []
 
-    def counted(df, *_):
+    def counted(self, df, *_, **__):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
-        scans.append(len(re.findall(r"Relation \[order_item_id", plan)))
+        scans.append(len(re.findall(r"Relation \[order_item_id#\d+L?,order_id", plan)))
 
-    monkeypatch.setattr(batch, "write_result", counted)
-    build_results(spark, folder)
-    assert sum(scans) == 2
+    monkeypatch.setattr(Tables, "write", counted)
+    load = published(spark, root)
+    monkeypatch.setattr(load, "write", counted.__get__(load))
+    build_results(spark, load)
+    assert sum(scans) == 1 and len(scans) > 20
+
+
+def rows_read(df) -> int:
+    """Rows that the scans of a query gave."""
+    df.collect()
+    found = df._jdf.queryExecution().executedPlan().collectLeaves()
+    metrics = [found.apply(i).metrics() for i in range(found.size())]
+    return sum(m.apply("numOutputRows").value() for m in metrics if m.contains("numOutputRows"))
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    numbers = spark.range(200_000).select((F.col("id") * 2).alias("product_id"), F.sha2(F.col("id").cast("string"), 256).alias("filler"))
+    write_sorted(numbers, str(tmp_path), "sorted", "product_id", block="64k")
+    wanted = spark.createDataFrame([(10,), (11,), (399_998,), (None,)], "product_id long")
+    few = read_rows(spark, str(tmp_path), "sorted", "product_id", wanted)
+    assert sorted(r.product_id for r in few.collect()) == [10, 399_998]
+    assert 0 < rows_read(few) < 20_000
+    absent = read_rows(spark, str(tmp_path), "sorted", "product_id", wanted.where("product_id = 11"))
+    assert rows_read(absent) == 0  # inside the range of a row group, but not in its Bloom filter
+    many = read_rows(spark, str(tmp_path), "sorted", "product_id", spark.range(1, 3000).withColumnRenamed("id", "product_id"))
+    assert many.count() == 200_000
+
+
+def test_lookup_of_stored_products(spark, root):
+    master = read_table(spark, "inventory_safety_stock_rop", root=root)
+    requested = master.select("product_id").limit(5).union(spark.createDataFrame([(-7,)], "product_id long"))
+    requested = spark.createDataFrame(requested.collect(), "product_id long")
+    assert by(lookup_skus(spark, root, requested), "product_id") == by(report.sku_lookup(requested, master), "product_id")
 
 
 def test_months_are_pruned(spark, root):

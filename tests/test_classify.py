@@ -128,3 +128,22 @@ def test_labels_of_all_segments_and_totals():
         "TOTAL / ENTERPRISE AVERAGE", "FULL PERIOD TOTAL / AVG", "TOTAL PORTFOLIO ALLOCATION"
     )
     assert (params.REORDER, params.OVERSTOCKED, params.OPTIMAL) == ("REORDER IMMEDIATELY", "OVERSTOCKED", "OPTIMAL")
+
+
+def test_abc_runs_no_job_by_itself_and_breaks_ties_by_number(spark):
+    values = [5, 0, 7, 5, 0, 7, 7, 0, 1, 5]
+    given = _revenue(spark, values)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("abc", "abc")
+    try:
+        got = classify.abc_classify(given)
+        assert list(tracker.getJobIdsForGroup("abc")) == []
+        reached = {r["product_id"]: r["cumulative_revenue_pct"] for r in rows(got)}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    numbers = sorted(reached)
+    order = sorted(zip(numbers, values), key=lambda x: (-x[1], x[0]))
+    total, upto = sum(values), 0
+    for number, value in order:
+        upto += value
+        assert reached[number] == pytest.approx(100 * upto / total)

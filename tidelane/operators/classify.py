@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelane.functions.numeric import deviation, money, percent, ratio, rnd, square
-from tidelane.functions.running import running_sums
+from tidelane.functions.running import ladder
 from tidelane.operators.revenue import PRODUCT_LABELS, average_discount_pct, product_sums, weekly_sums
 from tidelane.params import DEFAULTS, SEGMENT_STRATEGY, Params
 from tidelane.star import Star
@@ -39,15 +40,23 @@ def weekly_quantity(star: Star) -> DataFrame:
 def abc_classify(revenue: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Class by the share that is reached *before* a product, in order of falling revenue
     (product_id breaks ties), so the product that crosses a bound still gets the higher class.
-    With no revenue at all every product is C with shares of 0."""
-    order = [F.col("total_revenue").desc(), F.col("product_id").asc()]
-    summed = running_sums(revenue, {"_reached": "total_revenue"}, order)
-    total = F.col("_reached_total")
-    before = F.col("_reached") - F.col("total_revenue")
+    With no revenue at all every product is C with shares of 0. No job runs before a row is asked for."""
+    own = F.col("total_revenue")
+    # products of equal revenue share a rung of the ladder; inside it they go by number. Those without revenue, who may
+    # be many, need no place in theirs
+    ties = W.partitionBy("total_revenue", F.when(own == 0, F.col("product_id")))
+    upto = F.sum(own).over(ties.orderBy("product_id").rowsBetween(W.unboundedPreceding, W.currentRow))
+    summed = ladder(revenue, "total_revenue").select(
+        *revenue.columns,
+        F.col("grand_total").alias("_total"),
+        (F.col("cumulative") - F.sum(own).over(ties) + upto).alias("_reached"),
+    )
+    total = F.col("_total")
+    before = F.col("_reached") - own
     some = total != 0
     return summed.select(
         *revenue.columns,
-        F.coalesce(percent(F.col("total_revenue"), total), F.lit(0.0)).alias("revenue_share_pct"),
+        F.coalesce(percent(own, total), F.lit(0.0)).alias("revenue_share_pct"),
         F.coalesce(percent(F.col("_reached"), total), F.lit(0.0)).alias("cumulative_revenue_pct"),
         F.when(some & (before < total * F.lit(params.abc_a)), "A")
         .when(some & (before < total * F.lit(params.abc_b)), "B")

@@ -12,18 +12,21 @@ from tidelane.schema import (
     COLUMN_NAMES,
     COUNT_COLUMNS,
     DATE_COLUMNS,
-    DATE_LAYOUTS,
+    DAY_FIRST,
+    DAY_READING,
     DEFAULT_TEXT,
     DEFAULT_ZERO,
     MALFORMED,
     LONG_COLUMNS,
     MONEY,
     MONEY_COLUMNS,
+    MONTH_FIRST,
     PII_COLUMNS,
     RATE,
     SET_FLAGS,
     SOURCE_POSITION,
     VITAL_NUMBERS,
+    YEAR_FIRST,
 )
 
 REJECTED = "_unreadable"
@@ -43,19 +46,70 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*targets)
 
 
-def _timestamp(c: Column) -> Column:
-    tried = [F.try_to_timestamp(F.trim(c), F.lit(layout)) for layout in DATE_LAYOUTS]
-    return F.coalesce(*tried).cast("timestamp_ntz")
-
-
-def parse_timestamps(df: DataFrame) -> DataFrame:
-    """Text dates to timestamps without zone; what no layout fits becomes null."""
-    parsed = {
-        c: _timestamp(F.col(c))
-        for c in DATE_COLUMNS
-        if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)
-    }
-    return df.withColumns(parsed) if parsed else df
+def _timestamp(c: Column, slashed: list[str]) -> Column:
+    text = F.trim(c)
+    tried = lambda layouts: F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts])
+    return F.when(_has_slash(c), tried(slashed)).otherwise(tried(YEAR_FIRST)).cast("timestamp_ntz")
+
+
+def _has_slash(c: Column) -> Column:
+    return F.contains(c, F.lit("/"))
+
+
+def _text_dates(df: DataFrame) -> list[str]:
+    return [c for c in DATE_COLUMNS if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
+
+
+def parse_timestamps(df: DataFrame, both: bool = False) -> DataFrame:
+    """Text dates to timestamps without zone; what no layout fits becomes null. Dates with slashes are read with the month first.
+    With ``both`` a struct column has their reading with the day first, for ``settle_dates``."""
+    texts = _text_dates(df)
+    parsed = {c: _timestamp(F.col(c), MONTH_FIRST) for c in texts}
+    if both:
+        others = [F.when(_has_slash(F.col(c)), F.struct(_timestamp(F.col(c), DAY_FIRST).alias("at"))).alias(c) for c in texts]
+        parsed[DAY_READING] = F.struct(*others)
+    return df.withColumns(parsed) if texts else df
+
+
+def _file(df: DataFrame) -> Column:
+    return F.col(f"{SOURCE_POSITION}.file") if SOURCE_POSITION in df.columns else F.lit("")
+
+
+def date_layouts(lines: DataFrame) -> DataFrame:
+    """The vote on dates with slashes, one row per file and date column: how many have only a reading with the month first, only one with
+    the day first, two that differ (``ambiguous``) or none, and the ``layout`` that the first two
+    decide. A tie is read with the month first."""
+    columns = [f.name for f in lines.schema[DAY_READING].dataType.fields]
+    counts = []
+    for c in columns:
+        day, month = F.col(f"{DAY_READING}.{c}"), F.col(c)
+        slashed, other = day.isNotNull(), day["at"]
+        counts += [
+            F.count_if(slashed).alias(f"{c}_slashed"),
+            F.count_if(slashed & month.isNotNull() & other.isNull()).alias(f"{c}_month"),
+            F.count_if(slashed & month.isNull() & other.isNotNull()).alias(f"{c}_day"),
+            F.count_if(slashed & (month != other)).alias(f"{c}_ambiguous"),
+            F.count_if(slashed & month.isNull() & other.isNull()).alias(f"{c}_unread"),
+        ]
+    counted = lines.groupBy(_file(lines).alias("file")).agg(*counts)
+    names = {"slashed": "slashed_dates", "month": "month_first_only", "day": "day_first_only", "ambiguous": "ambiguous", "unread": "unreadable"}
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}_{k}").alias(n) for k, n in names.items()]) for c in columns])
+    layout = F.when(F.col("day_first_only") > F.col("month_first_only"), "day first").otherwise("month first")
+    share = F.try_divide(F.col("ambiguous").cast("double"), F.col("slashed_dates"))
+    return counted.select("file", F.inline(rows)).withColumns({"layout": layout, "ambiguous_share": share})
+
+
+def settle_dates(lines: DataFrame, layouts: DataFrame) -> DataFrame:
+    """One layout per file and date column: the reading that the vote decided. A date that does not fit it becomes null."""
+    columns = [f.name for f in lines.schema[DAY_READING].dataType.fields]
+    turned = layouts.where("layout = 'day first'").groupBy("file").agg(F.collect_set("column_name").alias("_turned"))
+    joined = lines.withColumn("_file", _file(lines)).join(turned.withColumnRenamed("file", "_file"), "_file", "left")
+    chosen = {}
+    for c in columns:
+        day = F.col(f"{DAY_READING}.{c}")
+        turn = F.coalesce(F.array_contains("_turned", c), F.lit(False)) & day.isNotNull()
+        chosen[c] = F.when(turn, day["at"]).otherwise(F.col(c))
+    return joined.withColumns(chosen).select(*[c for c in lines.columns if c != DAY_READING])
 
 
 def dedupe_order_items(df: DataFrame, order_by: list[Column] | None = None) -> DataFrame:
@@ -181,9 +235,9 @@ def type_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def typed_lines(raw: DataFrame) -> DataFrame:
-    """Raw lines to typed lines, copies included."""
-    return type_columns(parse_timestamps(standardize_columns(drop_pii(raw))))
+def typed_lines(raw: DataFrame, both: bool = False) -> DataFrame:
+    """Raw lines to typed lines, copies included; with ``both`` readings of dates that ``settle_dates`` has to choose from."""
+    return type_columns(parse_timestamps(standardize_columns(drop_pii(raw)), both))
 
 
 def stage_lines(raw: DataFrame, order_by: list[Column] | None = None) -> DataFrame:
@@ -212,14 +266,14 @@ def clean_lines(staged: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 
 def etl_audit(
-    raw: DataFrame, clean: DataFrame, rejected: DataFrame, raw_columns: list[str] | None = None
+    raw: DataFrame, clean: DataFrame, rejected: DataFrame, raw_columns: list[str] | None = None, rows: Column | None = None
 ) -> DataFrame:
     """One row: rows before and after, rejected rows, columns kept, columns dropped. ``raw_columns`` names the columns
-    of the raw lines if ``raw`` is a stored form of them."""
+    of the raw lines if ``raw`` is a stored form of them, and ``rows`` sums their number if it is made of counts."""
     spark = raw.sparkSession
     kept = [c for c in clean.columns if not c.startswith("_")]
     return spark.range(1).select(
-        raw.agg(F.count("*")).scalar().alias("initial_rows"),
+        raw.agg(F.count("*") if rows is None else F.coalesce(rows, F.lit(0).cast("long"))).scalar().alias("initial_rows"),
         clean.agg(F.count("*")).scalar().alias("cleaned_rows"),
         rejected.agg(F.count("*")).scalar().alias("rejected_rows"),
         F.lit(len(kept)).alias("columns_retained"),

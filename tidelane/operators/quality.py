@@ -60,22 +60,88 @@ def dq_range_audit(fact: DataFrame) -> DataFrame:
     return line_audit(fact).select(F.lit("Range & Logic Anomalies").alias("audit_type"), *_range_tests())
 
 
-def dq_duplicate_keys(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("order_item_id").agg(F.count("*").alias("occurrence_count")).where("occurrence_count > 1")
+def dq_duplicate_keys(fact: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Keys of several lines. ``keys`` are the stored line keys, which need no shuffle."""
+    counted = fact.groupBy("order_item_id").agg(F.count("*").alias("occurrence_count")) if keys is None else _per_key(keys)
+    return counted.where("occurrence_count > 1")
 
 
-def dq_status_concordance(fact: DataFrame) -> DataFrame:
+def _per_key(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("order_item_id").agg(F.sum("copies").alias("occurrence_count"))
+
+
+def _delay_counts() -> list[Column]:
     delay = F.col("days_real") - F.col("days_scheduled")
+    return [
+        F.count(delay).alias("_n"),
+        F.sum(delay.cast("long")).alias("_delay"),
+        F.min(delay).alias("min_delay_variance"),
+        F.max(delay).alias("max_delay_variance"),
+    ]
+
+
+def raw_counts(lines: DataFrame) -> DataFrame:
+    """All audits of lines as they came in, from one scan: grouping sets by status and flag (``by_key`` false) and by key (true), of
+    which only keys of several lines are kept, and the lines without a key."""
+    keys = ["delivery_status", "late_delivery_risk", "order_item_id"]
+    sets = [[F.col(keys[0]), F.col(keys[1])], [F.col(keys[2])]]
+    counted = lines.groupingSets(sets, *keys).agg(
+        (F.grouping("order_item_id") == 0).alias("by_key"), *_audit_counts(), *_delay_counts()
+    )
+    return counted.where("NOT by_key OR total_records > 1 OR order_item_id IS NULL")
+
+
+def added_raw_counts(before: DataFrame, counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Stored ``raw_counts`` and those of more lines. ``asked`` has the keys of the added lines with their number and
+    the stored ``copies``; a stored key that was not counted as several came in once."""
+    every = counts.columns
+    old = before.where("by_key").select("order_item_id", F.col("total_records").alias("_before"))
+    several = (
+        asked.join(old, "order_item_id", "left")
+        .withColumn("_total", F.col("asked") + F.coalesce("_before", F.when(F.col("copies").isNotNull(), 1).otherwise(0)))
+        .where("_total > 1")
+        .select("order_item_id", F.lit(True).alias("by_key"), F.col("_total").cast("long").alias("total_records"))
+    )
+    kept = before.where("by_key").join(asked, "order_item_id", "left_anti").select(every)
+    # lines without a key are one group in both
+    keyless = before.where("by_key AND order_item_id IS NULL").unionByName(counts.where("by_key AND order_item_id IS NULL"))
+    keyless = keyless.groupBy("order_item_id", "by_key").agg(F.sum("total_records").alias("total_records"))
+    parts = [counts.where("NOT by_key"), kept.where("order_item_id IS NOT NULL"), several, keyless]
+    out = before.where("NOT by_key").select(every)
+    for part in parts:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.select(every)
+
+
+def line_audit_of_raw(counts: DataFrame) -> DataFrame:
+    """The columns of ``line_audit`` from stored ``raw_counts``."""
+    names = ["total_records", *_NULL_COUNTS, *_range_tests()]
+    return counts.where("NOT by_key").agg(*[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in names])
+
+
+def duplicates_of_raw(counts: DataFrame) -> DataFrame:
+    """``dq_duplicate_keys`` from stored ``raw_counts``."""
+    repeated = counts.where("by_key AND total_records > 1")
+    return repeated.select("order_item_id", F.col("total_records").alias("occurrence_count"))
+
+
+def concordance_of_raw(counts: DataFrame) -> DataFrame:
+    """``dq_status_concordance`` from stored ``raw_counts``."""
+    delays = [F.sum(c).alias(c) for c in ("_n", "_delay")]
+    extremes = [F.min("min_delay_variance").alias("min_delay_variance"), F.max("max_delay_variance").alias("max_delay_variance")]
+    groups = counts.where("NOT by_key").groupBy("delivery_status", "late_delivery_risk")
+    return _concordance(groups.agg(F.sum("total_records").alias("record_count"), *delays, *extremes))
+
+
+def dq_status_concordance(fact: DataFrame) -> DataFrame:
+    return _concordance(
+        fact.groupBy("delivery_status", "late_delivery_risk").agg(F.count("*").alias("record_count"), *_delay_counts())
+    )
+
+
+def _concordance(counted: DataFrame) -> DataFrame:
     return (
-        fact.groupBy("delivery_status", "late_delivery_risk")
-        .agg(
-            F.count("*").alias("record_count"),
-            F.count(delay).alias("_n"),
-            F.sum(delay.cast("long")).alias("_delay"),
-            F.min(delay).alias("min_delay_variance"),
-            F.max(delay).alias("max_delay_variance"),
-        )
-        .select(
+        counted.select(
             "delivery_status",
             "late_delivery_risk",
             "record_count",
@@ -133,6 +199,14 @@ def fact_counts(fact: DataFrame) -> DataFrame:
     return fact.agg(*_audit_counts(), on_time, *rules)
 
 
+def added_counts(*counts: DataFrame) -> DataFrame:
+    """Stored ``fact_counts`` of disjoint lines, added up."""
+    every = counts[0]
+    for more in counts[1:]:
+        every = every.unionByName(more)
+    return every.agg(*[F.sum(c).alias(c) for c in every.columns])
+
+
 def dq_scorecard(star: Star, counts: DataFrame | None = None) -> DataFrame:
     """The five checks that follow each load, one row per figure. ``counts`` are stored ``fact_counts``."""
     counted = fact_counts(star.fact) if counts is None else counts
@@ -221,8 +295,9 @@ def _violations(
     return counted.select(F.inline(rows))
 
 
-def _repeated_keys(df: DataFrame, table: str, key: str) -> DataFrame:
-    surplus = df.groupBy(key).agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+def _repeated_keys(df: DataFrame, table: str, key: str, keys: DataFrame | None = None) -> DataFrame:
+    n = df.groupBy(key).agg(F.count("*").alias("occurrence_count")) if keys is None else _per_key(keys)
+    surplus = n.agg(F.coalesce(F.sum(F.greatest(F.col("occurrence_count") - 1, F.lit(0))), F.lit(0)).alias("n"))
     return surplus.select(
         F.lit(table).alias("table_name"),
         F.lit("primary_key").alias("rule"),
@@ -250,7 +325,7 @@ def dq_constraints(star: Star, counts: DataFrame | None = None) -> DataFrame:
         _violations(star.fact, "fact_orders", _line_rules(), counts),
         _violations(star.products, "dim_products", product_rules),
         _violations(star.customers, "dim_customers", customer_rules),
-        _repeated_keys(star.fact, "fact_orders", "order_item_id"),
+        _repeated_keys(star.fact, "fact_orders", "order_item_id", star.keys),
         _repeated_keys(star.products, "dim_products", "product_id"),
         _repeated_keys(star.customers, "dim_customers", "customer_id"),
         _unmatched(star, star.products, "product_id"),

@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 from tidelane.functions.numeric import plain
 from tidelane.operators import delivery, revenue
-from tidelane.sources.store import read_table
+from tidelane.sources.catalog import place, plain_columns
+from tidelane.sources.loads import published
 from tidelane.star import Star
 
 VIEWS = {
@@ -23,15 +24,22 @@ VIEWS = {
 
 
 def register_views(spark: SparkSession, star: Star, names: list[str] | None = None) -> list[str]:
-    """Register the views as temporary views and return their names. Nothing is computed before a view is read."""
+    """Register the views of one star as temporary views and return their names. Nothing is computed before a view is read. They
+    stay with that star; ``register_stored_views`` gives views that follow loads."""
     for name in names or list(VIEWS):
         plain(VIEWS[name](star)).createOrReplaceTempView(name)
     return names or list(VIEWS)
 
 
 def register_stored_views(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
-    """Register the views over the tables that a run has stored under ``root``; for a session that comes
-    later, without computing anything anew."""
+    """Register the views over the tables that a run has stored under ``root``, without computing anything anew. They are names in
+    the root's database as well as temporary views, and follow later loads (see ``sources.catalog``)."""
+    load = published(spark, root)
+    if load is None:
+        raise ValueError(f"{root} has no published load")
+    database = place(load)
     for name in names or list(VIEWS):
-        plain(read_table(spark, VIEWS[name].__name__, root=root)).createOrReplaceTempView(name)
+        table = f"{database}.{VIEWS[name].__name__}"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {plain_columns(spark.table(table).schema)} FROM {table}")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {database}.{name}")
     return names or list(VIEWS)

@@ -80,9 +80,12 @@ MISSING_MARKS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Accepted date layouts, tried in this order.
-DATE_LAYOUTS = [
-    "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
+# Accepted date layouts, tried in this order. Dates with slashes have the month or the day first; a file's column has one of
+# the two.
+MONTH_FIRST = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy"]
+DAY_FIRST = ["d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "d/M/yyyy"]
+YEAR_FIRST = [
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd",
     "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd[' ']['T']HH:mm:ss.[SSSSSS][SSS]",
 ]
 
@@ -144,5 +147,8 @@ FACT_REQUIRED = [
 # Where a line stood in its source; orders copies of one line ("first wins").
 SOURCE_POSITION = "_source_position"
 
+# Readings of slashed dates with the day first, until a vote has settled which one holds.
+DAY_READING = "_day_first"
+
 # Raw text of a record that does not have the header's number of fields.
 MALFORMED = "_corrupt_record"

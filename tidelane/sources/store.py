@@ -1,110 +1,198 @@
 """The star schema and the result tables as Parquet folders under one root.
 
-A load writes a version folder of its own and publishes it when all its tables are there, so readers of the root see the
-load before it until then. A root without published loads is itself the folder of the tables.
+Wherever a root is taken, a folder, a published load or a draft does as well (see ``loads``): a root with loads answers with the
+last one, and what is written to it is published as one more load when the whole call has succeeded.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
+import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelane.functions.dates import month_key
-from tidelane.star import Star, customer_rollup, daily_rollup, delivery_rollup, route_rollup
+from tidelane.sources.loads import Tables, tables_of, writing
+from tidelane.star import ROLLUPS, Star, all_rollups
 
 MONTH = "order_year_month"
-LOADS = "loads"
+FACT, PRODUCTS, CUSTOMERS = "fact_orders", "dim_products", "dim_customers"
+REJECTS, SUMS, KEYS = "rejected_lines", "rollups", "line_keys"
 
 
-def new_version(root: str) -> str:
-    """Folder of a new load; not read by anyone until it is published."""
-    return f"{root.rstrip('/')}/versions/{uuid.uuid4().hex}"
+def by_month(fact: DataFrame) -> DataFrame:
+    """The fact with its month, laid out for a write by month. The rebalance hint lets AQE
+    split a month that holds many lines and join small pieces, so files have even size."""
+    return fact.withColumn(MONTH, month_key(F.to_date("order_date"))).hint("rebalance", F.col(MONTH))
 
 
-def publish(spark: SparkSession, root: str, version: str) -> None:
-    """Make a version the current one: one more row in the list of loads."""
-    name = version.removeprefix(f"{root.rstrip('/')}/")
-    listed = spark.createDataFrame([(time.time_ns(), name)], "load long, folder string")
-    listed.coalesce(1).write.mode("append").parquet(f"{root}/{LOADS}")
+def write_star(star: Star, root: str | Tables) -> None:
+    """Replace the three tables; the fact is partitioned by order month."""
+    with writing(star.fact.sparkSession, root) as tables:
+        tables.write(by_month(star.fact), FACT, MONTH)
+        tables.write(star.products, PRODUCTS)
+        tables.write(star.customers, CUSTOMERS)
 
 
-def current(spark: SparkSession, root: str) -> str:
-    """Folder of the tables: the version published last, else the root."""
-    try:
-        loads = spark.read.schema("load long, folder string").parquet(f"{root}/{LOADS}")
-        last = loads.orderBy(F.col("load").desc()).first()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = None
-    return f"{root.rstrip('/')}/{last['folder']}" if last else root
+def write_rollups(spark: SparkSession, root: str | Tables) -> None:
+    """Replace the rollups, computed from one scan of the stored fact and split on the write."""
+    with writing(spark, root) as tables:
+        tables.write(all_rollups(read_star(spark, tables).fact).hint("rebalance", F.col("rollup")), SUMS, "rollup")
 
 
-def _replace(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace a table whole, whatever the session says about partitions."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(path)
+def read_rollup(spark: SparkSession, root: str | Tables, name: str) -> DataFrame:
+    keys, measures = ROLLUPS[name]
+    stored = spark.read.parquet(f"{tables_of(spark, root).path(SUMS)}/rollup={name}")
+    return stored.select(*keys, *[F.col(source).alias(m) for m, source in measures.items()])
 
 
-def by_month(fact: DataFrame) -> DataFrame:
-    """The fact with its month, laid out for a write by month. The rebalance hint lets AQE
-    split a month that holds many lines and join small pieces, so files have even size."""
-    return fact.withColumn(MONTH, month_key(F.to_date("order_date"))).hint("rebalance", F.col(MONTH))
+def attach_rollups(spark: SparkSession, star: Star, root: str | Tables) -> Star:
+    return star.with_rollups(*[read_rollup(spark, root, name) for name in ROLLUPS])
 
 
-def write_star(star: Star, root: str) -> None:
-    """Replace the three tables; the fact is partitioned by order month."""
-    _replace(by_month(star.fact), f"{root}/fact_orders", MONTH)
-    _replace(star.products, f"{root}/dim_products")
-    _replace(star.customers, f"{root}/dim_customers")
+def _key_name(path: str) -> str:
+    """Name of the catalog table over a folder of bucketed keys. Sessions share the folder; each names it for itself."""
+    return f"default.tidelane_keys_{hashlib.md5(path.encode()).hexdigest()}"
+
 
+def store_keys(tables: Tables, counted: DataFrame, buckets: int) -> None:
+    """Write counted line keys (``order_item_id``, ``copies``) as sorted buckets."""
+    tables.write_buckets(counted, KEYS, buckets, "order_item_id", _key_name)
 
-def write_rollups(spark: SparkSession, root: str) -> None:
-    """Replace the rollups, computed from the stored fact."""
-    fact = read_star(spark, root).fact
-    _replace(daily_rollup(fact), f"{root}/product_daily")
-    _replace(route_rollup(fact), f"{root}/product_routes")
-    _replace(delivery_rollup(fact), f"{root}/delivery_months")
-    _replace(customer_rollup(fact), f"{root}/customer_orders")
 
+def count_keys(fact: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Lines of the fact per key, and keys of rejected lines with none. Summed before the shuffle, so a key with very many
+    copies is one row per task there."""
+    kept = fact.select("order_item_id", F.lit(1).alias("n"))
+    refused = rejected.where("order_item_id IS NOT NULL").select("order_item_id", F.lit(0).alias("n"))
+    return kept.unionByName(refused).groupBy("order_item_id").agg(F.sum("n").alias("copies"))
 
-def attach_rollups(spark: SparkSession, star: Star, root: str) -> Star:
-    names = ("product_daily", "product_routes", "delivery_months", "customer_orders")
-    return star.with_rollups(*[spark.read.parquet(f"{root}/{name}") for name in names])
+
+def write_keys(spark: SparkSession, root: str | Tables, buckets: int | None = None) -> None:
+    """Store the number of lines per key in sorted buckets (as many as shuffle partitions unless given). Audits of the key
+    and appended lines read them without a shuffle."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with writing(spark, root) as tables:
+        fact = read_star(spark, tables).fact
+        rejected = tables.read(REJECTS) if tables.has(REJECTS) else fact.limit(0)
+        store_keys(tables, count_keys(fact, rejected).repartition(buckets, "order_item_id"), buckets)
+
+
+def read_keys(spark: SparkSession, root: str | Tables) -> DataFrame | None:
+    """The stored line keys as a bucketed table; None where there are none."""
+    tables = tables_of(spark, root)
+    if not tables.has(KEYS):
+        return None
+    path, buckets = tables.bucketed_path(KEYS)
+    name = _key_name(path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (order_item_id BIGINT, copies BIGINT) USING parquet "
+        f"CLUSTERED BY (order_item_id) SORTED BY (order_item_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
 
 
 def read_star(
-    spark: SparkSession, root: str, rollups: bool = False, since: str | None = None, until: str | None = None
+    spark: SparkSession,
+    root: str | Tables,
+    rollups: bool = False,
+    since: str | None = None,
+    until: str | None = None,
+    load: int | None = None,
 ) -> Star:
     """The stored star. ``since`` and ``until`` (YYYY-MM, inclusive) prune the months that are
-    read; the rollups cover all months, so they go with the whole fact only."""
+    read; the rollups cover all months, so they go with the whole fact only. ``load`` picks an earlier load."""
     if rollups and (since or until):
         raise ValueError("the rollups hold no single months; read the star without them")
-    root = current(spark, root)
-    fact = spark.read.parquet(f"{root}/fact_orders")
+    tables = tables_of(spark, root, load)
+    fact = tables.read(FACT)
     if since:
         fact = fact.where(F.col(MONTH) >= since)
     if until:
         fact = fact.where(F.col(MONTH) <= until)
-    star = Star(
-        fact.drop(MONTH),
-        spark.read.parquet(f"{root}/dim_products"),
-        spark.read.parquet(f"{root}/dim_customers"),
-    )
-    return attach_rollups(spark, star, root) if rollups else star
+    star = Star(fact.drop(MONTH), tables.read(PRODUCTS), tables.read(CUSTOMERS))
+    if not rollups:
+        return star
+    return replace(attach_rollups(spark, star, tables), keys=read_keys(spark, tables))
+
+
+#: Settings under which Spark filters stored keys by a Bloom filter of new ones, whatever the sizes it guesses.
+FILTERS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0B",
+}
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession) -> Iterator[None]:
+    """The session's settings with ``FILTERS``, as they were after it."""
+    before = {name: spark.conf.get(name, None) for name in FILTERS}
+    try:
+        for name, value in FILTERS.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def known_keys(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keys of ``lines`` with their number of lines (``asked``) and the ``copies`` that the stored keys have, null if they have not the key.
+    The range of the new keys skips stored row groups, a Bloom filter of them skips rows, and the stored side is not shuffled."""
+    asked = lines.where("order_item_id IS NOT NULL").groupBy("order_item_id").agg(F.count("*").alias("asked"))
+    low, high = lines.agg(F.min("order_item_id"), F.max("order_item_id")).first()
+    within = F.col("order_item_id").between(low, high)
+    found = keys.where(within).join(lines.where(within).select("order_item_id"), "order_item_id", "left_semi")
+    return asked.join(found, "order_item_id", "left")
 
 
-def write_result(df: DataFrame, root: str, name: str) -> None:
+def write_result(df: DataFrame, root: str | Tables, name: str) -> None:
     """Replace one derived table."""
-    _replace(df, f"{root}/{name}")
+    with writing(df.sparkSession, root) as tables:
+        tables.write(df, name)
+
+
+def write_sorted(df: DataFrame, root: str | Tables, name: str, key: str, block: str = "8m") -> None:
+    """Replace a table that is looked up by a key: sorted by it, in small row groups with Bloom filters, so that a
+    reader of some keys skips the others."""
+    kept = {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.block.size": str(_bytes(block))}
+    with writing(df.sparkSession, root) as tables:
+        tables.write(df.repartitionByRange(key).sortWithinPartitions(key), name, **kept)
+
+
+def _bytes(size: str) -> int:
+    return int(size[:-1]) << {"k": 10, "m": 20, "g": 30}[size[-1]]
+
+
+def read_rows(
+    spark: SparkSession, root: str | Tables, name: str, key: str, wanted: DataFrame, most: int = 1000
+) -> DataFrame:
+    """Rows of a stored table that may have one of the wanted keys. Up to ``most`` different keys go into the scan, which skips row groups by
+    their ranges and Bloom filters; more of them leave the table as it is. A join with ``wanted`` follows either way."""
+    table = tables_of(spark, root).read(name)
+    keys = [row[0] for row in wanted.select(key).where(F.col(key).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(keys) > most:
+        return table
+    any_of = F.lit(False)
+    for first in range(0, len(keys), 10):  # Spark hands lists of up to ten values to Parquet as they are
+        any_of = any_of | F.col(key).isin(keys[first : first + 10])
+    return table.where(any_of)
 
 
 def read_table(
-    spark: SparkSession, name: str, columns: list[str] | None = None, root: str | None = None
+    spark: SparkSession,
+    name: str,
+    columns: list[str] | None = None,
+    root: str | Tables | None = None,
+    load: int | None = None,
 ) -> DataFrame:
     """A table stored under ``root`` or, without it, a registered view; only the wanted columns."""
-    df = spark.read.parquet(f"{current(spark, root)}/{name}") if root else spark.table(name)
+    if root is None:
+        df = spark.table(name)
+    else:
+        df = tables_of(spark, root, load).read(name)
     return df.select(*columns) if columns else df

@@ -21,6 +21,7 @@ class Star:
     routes: DataFrame | None = None
     deliveries: DataFrame | None = None
     by_customer: DataFrame | None = None
+    keys: DataFrame | None = None
 
     def demand(self) -> DataFrame:
         """Additive demand measures: the daily rollup if there is one, else one row per line."""
@@ -140,3 +141,58 @@ def delivery_rollup(fact: DataFrame) -> DataFrame:
 def customer_rollup(fact: DataFrame) -> DataFrame:
     """Delivery measures per customer."""
     return _delivery_sums(fact, "customer_id")
+
+
+_DELIVERY = {
+    n: n
+    for n in (
+        "lines", "on_time", "late", "scheduled_days", "real_days", "squared_days", "delay", "sales", "late_sales", "profit",
+        "on_time_sales", "on_time_profit", "other_sales", "other_profit", "min_days", "max_days",
+    )
+}
+#: Per rollup its keys and its measures with their names in ``all_rollups``.
+ROLLUPS = {
+    "product_daily": (
+        ("product_id", "order_day"),
+        {n: n for n in ("lines", "units", "sales", "profit", "discount", "loss_lines")},
+    ),
+    "product_routes": (
+        ("product_id", "shipping_mode", "market"),
+        {"lines": "lines", "days": "real_days", "squared_days": "squared_days"},
+    ),
+    "delivery_months": (("market", "shipping_mode", "month"), _DELIVERY),
+    "customer_orders": (("customer_id",), _DELIVERY),
+}
+EXTREMES = {"min_days": F.min, "max_days": F.max}
+
+
+def all_rollups(fact: DataFrame) -> DataFrame:
+    """All four rollups from one scan, as grouping sets: ``rollup`` names the set, keys of other sets are null. Each line is
+    summed once per set before the shuffle."""
+    sums, _ = _delivery_lines(fact)
+    keys = list(dict.fromkeys(k for names, _ in ROLLUPS.values() for k in names))
+    made = {"order_day": F.to_date("order_date"), "month": month_start(F.col("order_date"))}
+    measures = sums | {
+        "units": F.col("quantity_ordered").cast("long"),
+        "discount": F.col("discount_rate"),
+        "loss_lines": F.when(F.col("profit_per_order") < 0, 1).otherwise(0).cast("long"),
+    }
+    lines = fact.select(
+        *[made.get(k, F.col(k)).alias(k) for k in keys],
+        *[c.alias(f"_{n}") for n, c in measures.items()],
+        F.col("days_real").alias("_days"),
+    )
+    names = {sum((k not in wanted) << (len(keys) - 1 - i) for i, k in enumerate(keys)): name for name, (wanted, _) in ROLLUPS.items()}
+    which = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.grouping_id().cast("int"))
+    counts = ("lines", "on_time", "late")
+    summed = [F.coalesce(F.sum(f"_{n}"), F.lit(0).cast("long")).alias(n) if n in counts else F.sum(f"_{n}").alias(n) for n in measures]
+    return lines.groupingSets([[F.col(k) for k in wanted] for wanted, _ in ROLLUPS.values()], *keys).agg(
+        which.alias("rollup"), *summed, *[how("_days").alias(n) for n, how in EXTREMES.items()]
+    )
+
+
+def merged_rollups(parts: DataFrame) -> DataFrame:
+    """Rollups of disjoint lines, as ``all_rollups`` gives them, added up."""
+    keys = list(dict.fromkeys(k for names, _ in ROLLUPS.values() for k in names))
+    measures = [c for c in parts.columns if c not in (*keys, "rollup")]
+    return parts.groupBy("rollup", *keys).agg(*[EXTREMES.get(c, F.sum)(c).cast(parts.schema[c].dataType).alias(c) for c in measures])
