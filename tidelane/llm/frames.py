@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,26 @@ def mapped(
     return df.mapInArrow(work, T.StructType([*fields, *new]))
 
 
+def packed(docs: DataFrame, without: Iterable[str] = (), **named: Column) -> DataFrame:
+    """The caller's columns, but for those in ``without``, as one struct ``row``, and the named ones that an operator works on. Whatever
+    helper columns it adds, none of the caller's can have their names."""
+    gone = {name.lower() for name in without}
+    kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in gone]
+    pad = F.lit(0).alias("_" * (1 + max(map(len, docs.columns))))  # a struct needs a field
+    return docs.select(F.struct(*kept, pad).alias("row"), *[c.alias(name) for name, c in named.items()])
+
+
+def unpacked(out: DataFrame, docs: DataFrame, without: Iterable[str] = ()) -> list[Column]:
+    """The columns that ``packed`` put away, as they came."""
+    gone = {name.lower() for name in without}
+    return [out["row"].getField(c).alias(c) for c in docs.columns if c.lower() not in gone]
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, dots and all."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, text: str = "text") -> DataFrame:
     """Text and label of the ``most`` labelled documents with the smallest hash of their id.
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidelane.functions.lineage import settle
 from tidelane.functions.running import running_sums
+from tidelane.llm.frames import packed, quoted, unpacked
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -158,15 +159,20 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
     """All columns but the text, with ``size``, ``source_size``, ``target`` and ``taken``, the words that the mix
     takes of a document."""
     new = ("size", "source_size", "target", "taken")
-    others = [F.col(c) for c in docs.columns if c.lower() not in (*new, text.lower())]
-    key = F.md5(F.concat(F.lit(f"{settings.seed}:"), F.coalesce(F.col(id).cast("string"), F.lit(""))).cast("binary"))
+    key = F.md5(F.concat(F.lit(f"{settings.seed}:"), F.coalesce(F.col(quoted(id)).cast("string"), F.lit(""))).cast("binary"))
     sized = settle(
-        docs.select(
-            *others, word_count(F.col(text)).alias("size"), key.alias("_key"), F.lit(1).cast("long").alias("_one")
+        packed(
+            docs,
+            (*new, text),
+            id=F.col(quoted(id)),
+            source=F.col("source"),
+            size=word_count(F.col(quoted(text))),
+            _key=key,
+            _one=F.lit(1).cast("long"),
         )
     )
     ranges = settle(slot_ranges(source_targets(sized, settings), settings))
-    order = [F.col("source").asc_nulls_last(), F.col("_key").asc(), F.col(id).asc(), F.col("size").asc()]
+    order = [F.col("source").asc_nulls_last(), F.col("_key").asc(), F.col("id").asc(), F.col("size").asc()]
     slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     streamed = running_sums(sized, {"_upto": "size", "_row": "_one"}, order, slices).alias("d")
     placed = streamed.join(ranges.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
@@ -200,8 +206,9 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
     slots = schedule(ranges, settings).repartition("number", "block")
     overlap = F.greatest(F.least(F.col("_b"), F.col("until")) - F.col("_a"), F.lit(0).cast("long"))
     taken = pieces.join(slots, ["number", "block"]).groupBy("_row").agg(F.sum(overlap).alias("taken"))
-    return placed.join(taken, "_row", "left").select(
-        *[c for c in docs.columns if c.lower() not in (*new, text.lower())],
+    found = placed.join(taken, "_row", "left")
+    return found.select(
+        *unpacked(found, docs, (*new, text)),
         "size",
         "source_size",
         "target",
@@ -212,12 +219,14 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
 def mixed_documents(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows as often as the mix takes them, columns as they came. Where the quota cuts a document, it stays if half
     of it or more is taken. Equal rows share one count."""
-    key = F.xxhash64(F.col(id), F.col("source"), F.col(text))
-    mixed = mix(docs.select(F.col(id).alias("_id"), "source", F.col(text).alias("_text"), key.alias("_at")), settings, "_id", "_text")
+    named, whole = F.col(quoted(id)), F.col(quoted(text))
+    key = F.xxhash64(named, F.col("source"), whole)
+    mixed = mix(docs.select(named.alias("id"), "source", whole.alias("text"), key.alias("at")), settings, "id", "text")
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    counts = mixed.filter("taken > 0").groupBy("_at", "_id").agg(F.sum(copies).cast("int").alias("_copies"))
-    keyed = docs.withColumn("_at", key).alias("d")
-    wanted = counts.filter("_copies > 0").alias("c")
-    same = (F.col("d._at") == F.col("c._at")) & F.col(f"d.{id}").eqNullSafe(F.col("c._id"))
-    one = keyed.join(wanted, same).select("d.*", "c._copies").dropDuplicates(["_at", id])
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    counts = mixed.filter("taken > 0").groupBy("at", "id").agg(F.sum(copies).cast("int").alias("copies"))
+    keyed = packed(docs, at=key, id=named).alias("d")
+    wanted = counts.filter("copies > 0").alias("c")
+    same = (F.col("d.at") == F.col("c.at")) & F.col("d.id").eqNullSafe(F.col("c.id"))
+    one = keyed.join(wanted, same).select("d.row", "d.at", "d.id", "c.copies").dropDuplicates(["at", "id"])
+    every = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return every.select(*unpacked(every, docs))

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from tidelane.functions.lineage import settle
 from tidelane.llm import hashed_text as H
-from tidelane.llm.frames import mapped, runs
+from tidelane.llm.frames import mapped, packed, quoted, runs, unpacked
 from tidelane.llm.graph import components
 
 
@@ -336,20 +336,23 @@ def ngram_join(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_
     """All columns but the text, with ``copy_id`` (least id of the equal texts), ``class_id`` (least id of the
     texts connected by links) and ``n_links`` (other texts of similarity or more)."""
     new = ("copy_id", "class_id", "n_links")
-    kept = [c for c in docs.columns if c.lower() not in (*new, text.lower())]
-    return _classified(docs, settings, id, text, kept).select(*kept, *new)
+    rows = packed(docs, (*new, text), id=F.col(quoted(id)), text=F.col(quoted(text)))
+    found = _classified(rows, settings, "id", "text", ["row", "id"])
+    return found.select(*unpacked(found, docs, (*new, text)), *new)
 
 
 def near_copies_removed(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, that of its least id, columns as they came. Of several texts with that id, the one of the
     least digest stays; classes without any id keep one text."""
-    named = _classified(docs.select(id, text), settings, id, text, [id])
+    named = _classified(docs.select(F.col(quoted(id)).alias("id"), F.col(quoted(text)).alias("text")), settings, "id", "text", ["id"])
     winners = (
-        named.filter(F.col(id).eqNullSafe(F.col("class_id")))
+        named.filter(F.col("id").eqNullSafe(F.col("class_id")))
         .groupBy("_class_number")
-        .agg(F.min("_fp").alias("_same"), F.first("class_id").alias("_id"))
-        .select("_same", row_key(F.col("_id"), F.col("_same")).alias("_at"))
+        .agg(F.min("_fp").alias("same"), F.first("class_id").alias("class_id"))
+        .select("same", row_key(F.col("class_id"), F.col("same")).alias("at"))
     )
-    keyed = docs.withColumn("_fp", digest(F.col(text))).withColumn("_at", row_key(F.col(id), F.col("_fp")))
+    fp = digest(F.col(quoted(text)))
+    keyed = packed(docs, fp=fp, at=row_key(F.col(quoted(id)), fp))
     # rows equal in id and text meet in the join's partitions, so dropping all but one needs no other shuffle
-    return keyed.join(winners, "_at").filter("_fp = _same").dropDuplicates(["_at"]).select(*docs.columns)
+    one = keyed.join(winners, "at").filter("fp = same").dropDuplicates(["at"])
+    return one.select(*unpacked(one, docs))

@@ -22,11 +22,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelane.functions.lineage import settle
+from tidelane.llm.frames import packed, quoted, unpacked
 from tidelane.llm.sql_arrays import let, upto
 
 # White space, symbols and the base rules.
 WHITE = "[\\x20\\x09-\\x0D]+"
 NO_SYMBOL = "[^#*$%&|<>]+"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 LEAST_WORDS, MOST_REPEAT_PERCENT = 50, 50
 
 
@@ -101,24 +103,19 @@ def repeated_words(words: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``n_words``, ``word_chars``, ``n_symbols``, ``n_lines`` (lines with a word),
     ``n_dup_lines`` and ``n_repeat_words``, all long."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n", -1), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
+    whole = F.coalesce(F.col(quoted(text)), F.lit(""))
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
     counts = let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")))
-    in_words = let(words_of(whole), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("repeats")))
-    return (
-        docs.withColumn("_lines", counts)
-        .withColumn("_words", in_words)
-        .withColumns(
-            {
-                "n_words": F.col("_words.n").cast("long"),
-                "word_chars": F.length(F.regexp_replace(whole, WHITE, "")).cast("long"),
-                "n_symbols": F.length(F.regexp_replace(whole, NO_SYMBOL, "")).cast("long"),
-                "n_lines": F.col("_lines.n").cast("long"),
-                "n_dup_lines": (F.col("_lines.n") - F.col("_lines.distinct")).cast("long"),
-                "n_repeat_words": F.col("_words.repeats"),
-            }
-        )
-        .drop("_lines", "_words")
+    in_words = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("repeats")))
+    rows = packed(docs, COUNTS, text=whole).withColumns({"lines": counts, "words": in_words})
+    return rows.select(
+        *unpacked(rows, docs, COUNTS),
+        F.col("words.n").cast("long").alias("n_words"),
+        F.length(F.regexp_replace("text", WHITE, "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("text", NO_SYMBOL, "")).cast("long").alias("n_symbols"),
+        F.col("lines.n").cast("long").alias("n_lines"),
+        (F.col("lines.n") - F.col("lines.distinct")).cast("long").alias("n_dup_lines"),
+        F.col("words.repeats").alias("n_repeat_words"),
     )
 
 
@@ -239,5 +236,8 @@ def judge(measured: DataFrame, bounds: DataFrame, settings: Settings = Settings(
 def quality_rules(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """Counts and verdict per document: all columns but the text, the counts of ``measure``,
     ``base_failed`` and ``kept``. The counts are materialised once and read by sketch and join."""
-    measured = settle(measure(docs, text).drop(text))
-    return judge(measured, fences(sketches(measured, settings), settings), settings)
+    new = (*COUNTS, "base_failed", "kept")
+    rows = packed(docs, (*new, text), lang=F.col("lang"), source=F.col("source"), text=F.col(quoted(text)))
+    measured = settle(measure(rows).drop("text"))
+    judged = judge(measured, fences(sketches(measured, settings), settings), settings)
+    return judged.select(*unpacked(judged, docs, (*new, text)), *new)

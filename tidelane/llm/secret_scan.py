@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelane.llm.frames import packed, quoted, unpacked
 from tidelane.llm.sql_arrays import let, matches, upto
 
 # The base patterns and the least length of what they find.
@@ -177,21 +178,17 @@ def scan_secrets(
     """Add ``n_assign``, ``n_access``, ``n_hex``, ``n_entropy``, ``base_spans`` and ``spans``
     (``kind:start:end``, comma-joined, by start and then kind)."""
     kinds = [*BASE_KINDS, *(c.kind for c in classes)]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    found = docs.withColumn("_base", F.sort_array(base_spans(whole))).withColumn(
-        "_added",
+    new = [*(f"n_{name}" for name in BASE_KINDS), "n_entropy", "base_spans", "spans"]
+    rows = packed(docs, new, text=F.coalesce(F.col(quoted(text)), F.lit("")))
+    whole = F.col("text")
+    found = rows.withColumn("base", F.sort_array(base_spans(whole))).withColumn(
+        "added",
         F.sort_array(F.concat(_none(), *[entropy_spans(whole, c, 3 + i, allowed) for i, c in enumerate(classes)])),
     )
-    count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
-    every = F.when(F.size("_added") == 0, F.col("_base")).otherwise(F.sort_array(F.concat("_base", "_added")))
-    return found.withColumns(
-        {
-            **{f"n_{name}": count(i) for i, name in enumerate(BASE_KINDS)},
-            "n_entropy": F.size("_added").cast("long"),
-            "base_spans": _joined(F.col("_base"), kinds),
-            "spans": _joined(every, kinds),
-        }
-    ).drop("_base", "_added")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    every = F.when(F.size("added") == 0, F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
+    made = [*(count(i) for i in range(len(BASE_KINDS))), F.size("added").cast("long"), _joined(F.col("base"), kinds), _joined(every, kinds)]
+    return found.select(*unpacked(found, docs, new), *[c.alias(name) for name, c in zip(new, made)])
 
 
 def without_secrets(docs: DataFrame, text: str = "text") -> DataFrame:

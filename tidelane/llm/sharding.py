@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.functions.running import running_sums
-from tidelane.llm.frames import mapped
+from tidelane.llm.frames import mapped, packed, quoted, unpacked
 
 #: Multipliers of the round function; below 2**31, so products of half words stay below 2**62.
 MULTIPLIERS = (0x5851F42D, 0x2C1B3C6D)
@@ -97,11 +97,9 @@ def feistel_shards(
     """All columns but the text, with ``size``, ``text_crc32``, ``row_number``, ``n_rows``, ``place``,
     ``shard`` and ``slot``."""
     new = ("size", "text_crc32", "row_number", "n_rows", "place", "shard", "slot")
-    others = [F.col(c) for c in docs.columns if c.lower() not in (*new, text.lower())]
-    rows = docs.select(
-        *others, text_size(F.col(text)).alias("size"), text_digest(F.col(text)).alias("text_crc32")
-    )
-    numbered = number_rows(rows, [F.col(id).asc_nulls_first(), F.col("text_crc32").asc(), F.col("size").asc()])
+    whole = F.col(quoted(text))
+    rows = packed(docs, (*new, text), id=F.col(quoted(id)), size=text_size(whole), text_crc32=text_digest(whole))
+    numbered = number_rows(rows, [F.col("id").asc_nulls_first(), F.col("text_crc32").asc(), F.col("size").asc()])
 
     def start():
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -113,6 +111,9 @@ def feistel_shards(
         return compute
 
     placed = mapped(numbered, [T.StructField("place", T.LongType())], start)
-    return placed.withColumns(
-        {"shard": (F.col("place") % shards).cast("int"), "slot": F.expr(f"place DIV {shards}")}
+    return placed.select(
+        *unpacked(placed, docs, (*new, text)),
+        *new[:5],
+        (F.col("place") % shards).cast("int").alias("shard"),
+        F.expr(f"place DIV {shards}").alias("slot"),
     )
