@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm import edges
-from tidelane.llm import ann, ngram_join
+from tidelane.llm import ann, graph, ngram_join
+
+LARGE = "/root/testdata/sf0.1"
 
 def query():
     return F.col("vec_id") % 50 == 0
@@ -123,10 +126,105 @@ def test_join_as_all_pairs(spark, settings):
 
 
 def test_target_recall_shortens_the_prefix():
-    assert ngram_join.prefix_length(ngram_join.Settings(recall=0.999)) == 4
-    assert ngram_join.prefix_length(ngram_join.Settings(recall=0.9999)) == 3
-    with pytest.raises(ValueError):
-        ngram_join.prefix_length(ngram_join.Settings(trees=1))
+    settings = ngram_join.Settings()
+    depth = lambda agree, at=8: ngram_join.next_depth(agree, at, settings)
+    assert depth({}) == 4  # nothing found: as for links of the least similarity
+    assert depth({128: 1000}) == 8 and depth({125: 1000}) == 8  # copies are found by their leaves
+    assert depth({128: 1000, 110: 10}) == 6  # each band of similarity counts, also beside many copies
+    assert depth({103: 50}) == 4 and depth({90: 50}) == 4  # less than the least counts as that
+    assert depth({103: 50}, 4) == 4  # enough
+    found = ngram_join.found_share(np.array([0.8]), np.arange(1, 9), settings)
+    assert (np.diff(found) < 0).all() and found[3] > settings.recall > found[4]
+
+
+def test_shorter_prefixes_find_what_leaves_miss(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    texts = []
+    for _ in range(150):  # pairs of a similarity little above the least
+        base = [word() for _ in range(300)]
+        other = list(base)
+        for _ in range(6):
+            other[rng.randrange(300)] = word()
+        texts += [" ".join(base), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "_rep long, text string")
+    reps = ngram_join.signed(docs, ngram_join.Settings()).cache()
+    close = {tuple(sorted(r)) for r in ngram_join.leaf_edges(ngram_join.leaves(reps, ngram_join.Settings()), reps, ngram_join.Settings()).select("a", "b").collect()}
+    groups = ngram_join.close_groups(reps, ngram_join.Settings()).collect()
+    members = {r.node: r.root for r in groups}
+    want = classes(texts)
+    linked = [i for i in range(0, len(texts), 2) if want[i][0] == want[i + 1][0]]
+    assert len(linked) > 100
+    assert sum((i, i + 1) not in close for i in linked) > 0  # the leaves alone are not enough
+    assert all(members[i] == members[i + 1] for i in linked)
+
+
+def all_links(texts: list[str], words: int = 5, similarity: float = 0.8) -> set[tuple[int, int]]:
+    """Links between different texts: rare n-grams first, texts that share one of their first are compared."""
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append(frozenset(hash(tuple(w[i : i + words])) for i in range(max(1, len(w) - words + 1))) if w else frozenset())
+    count = Counter(g for s in sets for g in s)
+    index, links = {}, set()
+    for i in sorted(range(len(texts)), key=lambda i: len(sets[i])):
+        own = sets[i]
+        first = sorted(own, key=lambda g: (count[g], g))[: len(own) - int(np.ceil(similarity * len(own))) + 1]
+        for j in {j for g in first for j in index.get(g, ())}:
+            both = len(own & sets[j])
+            if both >= similarity * (len(own) + len(sets[j]) - both) - 1e-9:
+                links.add((min(i, j), max(i, j)))
+        for g in first:
+            index.setdefault(g, []).append(i)
+    return links
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGE), reason="needs the test tables")
+def test_recall_against_all_pairs_of_a_large_table(spark):
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet")
+    rows = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(docs.select("doc_id", "text")).collect()}
+    by_text = {}
+    for r in docs.select("doc_id", "text").collect():
+        by_text.setdefault(r.text, []).append(r.doc_id)
+    texts = list(by_text)
+    links = all_links(texts)
+    assert len(links) > 40
+    found = [(i, j) for i, j in links if rows[by_text[texts[i]][0]][0] == rows[by_text[texts[j]][0]][0]]
+    assert len(found) >= 0.99 * len(links)
+    degree = Counter(x for link in found for x in link)
+    for i, text in enumerate(texts):
+        for doc in by_text[text]:
+            assert rows[doc][1] == degree[i]
+
+
+def test_rows_shuffled_grow_with_the_texts(spark):
+    """Also where a fifth of all texts are near copies of one another."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+
+    def shuffled(n: int) -> int:
+        base = [word() for _ in range(80)]
+        texts = []
+        for k in range(n):
+            text = list(base) if k % 5 == 0 else [word() for _ in range(80)]
+            if k % 5 == 0:
+                text[rng.randrange(80)] = word()
+            texts.append(" ".join(text))
+        docs = spark.createDataFrame(list(enumerate(texts)), "_rep long, text string").repartition(8)
+        settings = ngram_join.Settings()
+        reps = ngram_join.signed(docs, settings).cache()
+        entries = ngram_join.leaves(reps, settings)
+        edges = ngram_join.leaf_edges(entries, reps, settings).cache()
+        groups = graph.components(edges)
+        assert edges.count() < settings.trees * n
+        depth = ngram_join.next_depth({r.agree: r["count"] for r in edges.groupBy("agree").count().collect()}, 8, settings)
+        # one component holds nearly all copies, so their nodes need not be opened
+        again = ngram_join.node_edges(entries, reps, groups, depth, settings)
+        assert again.count() < 0.1 * n
+        return entries.count() + edges.count() + again.count()
+
+    small, large = shuffled(1000), shuffled(4000)
+    assert large <= 1.1 * 4 * small
 
 
 def test_join_on_awkward_rows(spark):

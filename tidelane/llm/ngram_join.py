@@ -1,10 +1,13 @@
 """N-gram Jaccard join: a MinHash LSH forest proposes, exact sets of word n-grams decide.
 
-Signatures: ``trees * depth`` minima of hashed n-grams, 16 bits each. A tree sorts the texts by its ``depth`` values, so texts
-with a common prefix are neighbours. The prefix asked for starts at the full depth and is shortened until a pair of
-the least similarity shares one in some tree with the target recall; pairs of longer common prefixes are among
-those of the shortest, so one pass over the sorted prefixes finds them all. Pairs that share a prefix and whose
-signatures do not rule the similarity out connect texts to groups, and within a group all pairs of
+Signatures: ``trees * depth`` minima of hashed n-grams, 16 bits each. A tree is a sorted trie of its ``depth`` values: texts under one
+node share a prefix. The forest is read from the leaves up. Texts that share a leaf in some tree are compared by their
+signatures with the least of them, and what is close is one component. The similarities found so tell which share of the links
+prefixes of each length would find: a link of similarity ``s`` shares a prefix of ``d`` values in some of ``t`` trees with
+probability ``1 - (1 - s^d)^t``, and stands for as many links as that probability at the present length asks for. The
+prefix is shortened to the longest length that meets the target recall by this estimate, the nodes of that length
+that hold several components are compared, the estimate is made anew, and so on until it holds. Pairs that are close connect
+texts to groups, and within a group all pairs of
 texts are compared by their whole n-gram sets, by which also pairs without a common prefix are found.
 
 Words are runs of other than the six ASCII white space characters; a text of fewer than ``n`` words has one n-gram, all
@@ -12,7 +15,8 @@ its words; a text without words has none and links to nothing. Equal texts are o
 class and are not compared. Null texts count as empty. Rows are kept as they come, repeated ids too; null ids get the class of
 their text if another row has it, else null. Extra columns pass through, save those named like an output column.
 
-Sizes: texts are shuffled once, and only those that may have partners are compared. A prefix that many texts share is dealt in
+Sizes: texts are shuffled once, and only those that may have partners are compared. Leaves cost one row per text and tree,
+however many texts share them. A node of several components is dealt in
 blocks, as is a group, with one task per pair of blocks, and tasks return counts and the edges of a
 spanning forest, so the rows made grow with the texts while all pairs are compared.
 """
@@ -34,13 +38,19 @@ from tidelane.llm.frames import mapped, packed, quoted, runs, unpacked
 from tidelane.llm.graph import components
 
 
+#: Parts that the texts of a leaf are dealt in where they meet its least one.
+LEAF_SALTS = 8
+
+
 @dataclass(frozen=True)
 class Settings:
     words: int = 5
     similarity: float = 0.8
     trees: int = 16
     depth: int = 8
-    recall: float = 0.999
+    recall: float = 0.9995
+    #: width of the bands of similarity in which the recall is estimated
+    band: float = 0.05
     #: pairs whose signatures agree in less than the similarity minus this are not close
     slack: float = 0.16
     #: texts of a block of a shared prefix; texts and n-grams of a block of a group
@@ -50,12 +60,26 @@ class Settings:
     seed: int = 5
 
 
-def prefix_length(settings: Settings) -> int:
-    """Longest prefix, four values at most as a key holds 64 bits, that meets the target recall."""
-    for d in range(min(settings.depth, 4), 0, -1):
-        if 1 - (1 - settings.similarity**d) ** settings.trees >= settings.recall:
+def found_share(similarity: np.ndarray, depth: int, settings: Settings) -> np.ndarray:
+    """Probability that texts of a similarity share a prefix of ``depth`` values in some tree."""
+    return 1 - (1 - similarity**depth) ** settings.trees
+
+
+def next_depth(agree: dict[int, int], depth: int, settings: Settings) -> int:
+    """The longest prefix that finds the target share of the links, as the links found at ``depth`` tell: ``agree`` has their number by how
+    many values of the signatures agree. The same depth if it finds enough. The target holds for each band of similarity that has
+    links, so many true copies do not hide the loss of others. Links that look less similar than the
+    least similarity count as that, so the estimate errs towards shorter prefixes; without any link it is for the least."""
+    values = settings.trees * settings.depth
+    counts = np.array(list(agree.values()) or [1], np.float64)
+    similarity = np.clip(np.array(list(agree.keys()) or [0], np.float64) / values, settings.similarity, 1)
+    weight = counts / found_share(similarity, depth, settings)
+    band = ((similarity - settings.similarity) / settings.band).astype(int)
+    for d in range(depth, 0, -1):
+        found = weight * found_share(similarity, d, settings)
+        if (np.bincount(band, found) >= settings.recall * np.bincount(band, weight)).all():
             return d
-    raise ValueError("no prefix meets the target recall; use more trees")
+    return 1
 
 
 def gram_hashes(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,49 +188,97 @@ def _grouped(df: DataFrame, keys: list[str], id: str) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, "_own", id)
 
 
-def close_pairs(reps: DataFrame, settings: Settings) -> DataFrame:
-    """Edges ``a``-``b`` between texts that share a prefix in some tree and whose signatures are close."""
-    d, depth, trees = prefix_length(settings), settings.depth, settings.trees
+def leaves(reps: DataFrame, settings: Settings) -> DataFrame:
+    """One row per text and tree: ``_rep``, ``_tree`` and ``_leaf``, the tree's values as sortable bytes."""
+    width = 2 * settings.depth
+    bytes_of = F.transform(
+        F.sequence(F.lit(0), F.lit(settings.trees - 1)), lambda t: F.substring("_sig", t * width + 1, F.lit(width))
+    )
+    return reps.filter("_grams > 0").select("_rep", F.posexplode(bytes_of).alias("_tree", "_leaf"))
 
-    def start():
-        def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            sigs = np.frombuffer(b"".join(batch.column("_sig").to_pylist()), np.uint16).reshape(-1, trees, depth)
-            keys = np.zeros(sigs.shape[:2], np.uint64)
-            for k in range(d):
-                keys = (keys << np.uint64(16)) | sigs[:, :, k]
-            return [pa.array(list(keys.astype(np.int64)), pa.list_(pa.int64()))]
 
-        return compute
+def leaf_edges(entries: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
+    """Edges ``a``-``b`` with ``agree``, the number of values in which the signatures agree, from texts to the least text of a leaf."""
+    least = entries.groupBy("_tree", "_leaf").agg(F.min("_rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    salt = F.explode(F.sequence(F.lit(0), F.lit(LEAF_SALTS - 1)))
+    dealt = entries.withColumn("_salt", F.pmod(F.xxhash64("_rep"), F.lit(LEAF_SALTS)).cast("int"))
+    met = dealt.join(least.withColumn("_salt", salt), ["_tree", "_leaf", "_salt"]).filter("_rep > a")
+    pairs = met.select("a", F.col("_rep").alias("b")).distinct()
+    signed = lambda name: reps.select(F.col("_rep").alias(name), F.col("_sig").alias(f"_sig_{name}"))
+    both = pairs.join(signed("b"), "b").join(signed("a"), "a")
+    close = _closeness(settings)
+
+    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("_sig_a", "_sig_b")
+            )
+            agree = (x == y).sum(1)
+            near = agree >= close
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).filter(pa.array(near)) for c in ("a", "b")] + [pa.array(agree[near].astype(np.int64))],
+                names=["a", "b", "agree"],
+            )
 
-    keyed = mapped(reps.filter("_grams > 0").select("_rep", "_sig"), [T.StructField("_keys", T.ArrayType(T.LongType()))], start, drop=["_sig"])
-    entries = keyed.select("_rep", F.posexplode("_keys").alias("_tree", "_key"))
-    shared = entries.groupBy("_tree", "_key").agg(F.count("*").alias("_n")).filter("_n > 1")
-    blocks = shared.withColumn("_blocks", F.ceil(F.col("_n") / settings.prefix_block)).drop("_n")
-    keys = ["_tree", "_key", "_i", "_j"]
-    dealt = block_pairs(entries.join(blocks, ["_tree", "_key"]), ["_tree", "_key"], "_blocks", "_rep")
-    placed = dealt.select("_rep", "_own", *keys).join(reps.select("_rep", "_sig"), "_rep")
-    least = int(np.ceil((settings.similarity - settings.slack) * trees * depth))
+    return both.mapInArrow(compare, "a long, b long, agree long")
+
+
+def _closeness(settings: Settings) -> int:
+    return int(np.ceil((settings.similarity - settings.slack) * settings.trees * settings.depth))
+
+
+def node_edges(entries: DataFrame, reps: DataFrame, known: DataFrame, depth: int, settings: Settings) -> DataFrame:
+    """Edges as ``leaf_edges`` has them, between close texts of different components that share a prefix of ``depth`` values in some
+    tree. ``known`` has the component (``root``) of each ``node`` in one."""
+    named = entries.join(known.withColumnRenamed("node", "_rep"), "_rep", "left").select(
+        "_rep", "_tree", F.substring("_leaf", 1, 2 * depth).alias("_node"), F.coalesce("root", "_rep").alias("_part")
+    )
+    several = named.groupBy("_tree", "_node").agg(F.count("*").alias("_n"), F.min("_part").alias("_low"), F.max("_part").alias("_high"))
+    blocks = several.filter("_low < _high").select("_tree", "_node", F.ceil(F.col("_n") / settings.prefix_block).alias("_blocks"))
+    keys = ["_tree", "_node", "_i", "_j"]
+    dealt = block_pairs(named.join(blocks, ["_tree", "_node"]), ["_tree", "_node"], "_blocks", "_rep")
+    placed = dealt.select("_rep", "_own", "_part", *keys).join(reps.select("_rep", "_sig"), "_rep")
+    least = _closeness(settings)
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(parts, keys):
-            if len(group) < 2:
+            ids, own, part = (group.column(c).to_numpy() for c in ("_rep", "_own", "_part"))
+            alone = own[0] == own[-1]
+            if len(ids) < 2 or (part == part[0]).all() or (alone and group.column("_i")[0] != group.column("_j")[0]):
                 continue
-            ids, own = group.column("_rep").to_numpy(), group.column("_own").to_numpy()
             sigs = np.frombuffer(b"".join(group.column("_sig").to_pylist()), np.uint16).reshape(len(ids), -1)
-            split = len(ids) if own[0] == own[-1] else int(np.searchsorted(own, own[-1]))
-            if own[0] == own[-1] and group.column("_i")[0] != group.column("_j")[0]:
-                continue  # one of the two blocks is empty
-            a, b = (slice(0, split), slice(split, None)) if split < len(ids) else (slice(None), slice(None))
+            split = len(ids) if alone else int(np.searchsorted(own, own[-1]))
+            a, b = (slice(None), slice(None)) if alone else (slice(0, split), slice(split, None))
             agree = np.zeros((len(ids[a]), len(ids[b])), np.int16)
             for k in range(sigs.shape[1]):
                 agree += sigs[a, k][:, None] == sigs[b, k][None, :]
-            close = agree >= least
-            if split == len(ids):
+            close = (agree >= least) & (part[a][:, None] != part[b][None, :])
+            if alone:
                 close = np.triu(close, 1)
-            if edges := forest(ids[a], ids[b], close):
-                yield pa.RecordBatch.from_pydict({"a": [x for x, _ in edges], "b": [y for _, y in edges]})
-
-    return _grouped(placed, keys, "_rep").mapInArrow(compare, "a long, b long")
+            place_a, place_b = np.arange(len(ids))[a], np.arange(len(ids))[b]
+            if edges := forest(place_a, place_b, close):
+                x, y = np.array(edges).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[x]), pa.array(ids[y]), pa.array(agree[x, y - place_b[0]].astype(np.int64))], names=["a", "b", "agree"]
+                )
+
+    return _grouped(placed, keys, "_rep").mapInArrow(compare, "a long, b long, agree long")
+
+
+def close_groups(reps: DataFrame, settings: Settings) -> DataFrame:
+    """``node`` and ``root`` of the texts that close pairs of the forest connect."""
+    entries = leaves(reps, settings)
+    edges = settle(leaf_edges(entries, reps, settings))
+    groups, depth = components(edges), settings.depth
+    while True:
+        agree = {row.agree: row.n for row in edges.groupBy("agree").agg(F.count("*").alias("n")).collect()}  # one row per number of values
+        wanted = next_depth(agree, depth, settings)
+        if wanted == depth:
+            return groups
+        depth = wanted
+        more = settle(node_edges(entries, reps, groups, depth, settings))
+        edges = edges.unionByName(more)
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more.select("a", "b")))
 
 
 def overlaps(sets: list[np.ndarray], split: int) -> np.ndarray:
@@ -294,7 +366,7 @@ def _classified(docs: DataFrame, settings: Settings, id: str, text: str, kept: l
         .agg(F.min(id).alias("copy_id"), F.first("_sig").alias("_sig"), F.first("_grams").alias("_grams"))
         .withColumn("_rep", F.monotonically_increasing_id())
     )
-    groups = components(close_pairs(texts, settings)).select(F.col("node").alias("_rep"), F.col("root").alias("_group"))
+    groups = close_groups(texts, settings).select(F.col("node").alias("_rep"), F.col("root").alias("_group"))
     members = texts.select("_rep", "_grams", "_fp", "copy_id").join(groups, "_rep")
     sizes = members.groupBy("_group").agg(
         F.greatest(
