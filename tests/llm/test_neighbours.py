@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm import edges
-from tidelane.llm import ann, graph, ngram_join
+from tidelane.llm import ann, ngram_join
 
 LARGE = "/root/testdata/sf0.1"
 
@@ -215,10 +215,10 @@ def test_rows_shuffled_grow_with_the_texts(spark):
         reps = ngram_join.signed(docs, settings).cache()
         entries = ngram_join.leaves(reps, settings)
         edges = ngram_join.leaf_edges(entries, reps, settings).cache()
-        groups = graph.components(edges)
+        groups = ngram_join.parts_of(edges)
         assert edges.count() < settings.trees * n
         depth = ngram_join.next_depth({r.agree: r["count"] for r in edges.groupBy("agree").count().collect()}, 8, settings)
-        # one component holds nearly all copies, so their nodes need not be opened
+        # one part holds nearly all copies, so their nodes need not be opened
         again = ngram_join.node_edges(entries, reps, groups, depth, settings)
         assert again.count() < 0.1 * n
         return entries.count() + edges.count() + again.count()

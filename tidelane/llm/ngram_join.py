@@ -2,11 +2,11 @@
 
 Signatures: ``trees * depth`` minima of hashed n-grams, 16 bits each. A tree is a sorted trie of its ``depth`` values: texts under one
 node share a prefix. The forest is read from the leaves up. Texts that share a leaf in some tree are compared by their
-signatures with the least of them, and what is close is one component. The similarities found so tell which share of the links
+signatures with the least of them, and what is close is connected. The similarities found so tell which share of the links
 prefixes of each length would find: a link of similarity ``s`` shares a prefix of ``d`` values in some of ``t`` trees with
 probability ``1 - (1 - s^d)^t``, and stands for as many links as that probability at the present length asks for. The
 prefix is shortened to the longest length that meets the target recall by this estimate, the nodes of that length
-that hold several components are compared, the estimate is made anew, and so on until it holds. Pairs that are close connect
+that hold several connected parts are compared, the estimate is made anew, and so on until it holds. Pairs that are close connect
 texts to groups, and within a group all pairs of
 texts are compared by their whole n-gram sets, by which also pairs without a common prefix are found.
 
@@ -16,7 +16,7 @@ class and are not compared. Null texts count as empty. Rows are kept as they com
 their text if another row has it, else null. Extra columns pass through, save those named like an output column.
 
 Sizes: texts are shuffled once, and only those that may have partners are compared. Leaves cost one row per text and tree,
-however many texts share them. A node of several components is dealt in
+however many texts share them. A node of several parts is dealt in
 blocks, as is a group, with one task per pair of blocks, and tasks return counts and the edges of a
 spanning forest, so the rows made grow with the texts while all pairs are compared.
 """
@@ -228,8 +228,8 @@ def _closeness(settings: Settings) -> int:
 
 
 def node_edges(entries: DataFrame, reps: DataFrame, known: DataFrame, depth: int, settings: Settings) -> DataFrame:
-    """Edges as ``leaf_edges`` has them, between close texts of different components that share a prefix of ``depth`` values in some
-    tree. ``known`` has the component (``root``) of each ``node`` in one."""
+    """Edges as ``leaf_edges`` has them, between close texts of different parts that share a prefix of ``depth`` values in some
+    tree. ``known`` has the part (``root``) of each ``node`` in one."""
     named = entries.join(known.withColumnRenamed("node", "_rep"), "_rep", "left").select(
         "_rep", "_tree", F.substring("_leaf", 1, 2 * depth).alias("_node"), F.coalesce("root", "_rep").alias("_part")
     )
@@ -265,20 +265,30 @@ def node_edges(entries: DataFrame, reps: DataFrame, known: DataFrame, depth: int
     return _grouped(placed, keys, "_rep").mapInArrow(compare, "a long, b long, agree long")
 
 
+def parts_of(edges: DataFrame, hops: int = 3) -> DataFrame:
+    """``node`` and ``root``: the least text within some hops along the edges. Texts with one root are connected; connected ones
+    may have several, which costs comparisons that are not needed, and far fewer jobs than whole components."""
+    ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    turned = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
+    both = ends.unionByName(turned)
+    both = settle(both.unionByName(both.select("u", F.col("u").alias("v"))).distinct())
+    roots = both.groupBy("u").agg(F.min("v").alias("root"))
+    for _ in range(hops - 1):
+        roots = both.join(roots.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("root").alias("root"))
+    return settle(roots.withColumnRenamed("u", "node"))
+
+
 def close_groups(reps: DataFrame, settings: Settings) -> DataFrame:
     """``node`` and ``root`` of the texts that close pairs of the forest connect."""
-    entries = leaves(reps, settings)
+    entries, depth = leaves(reps, settings), settings.depth
     edges = settle(leaf_edges(entries, reps, settings))
-    groups, depth = components(edges), settings.depth
     while True:
         agree = {row.agree: row.n for row in edges.groupBy("agree").agg(F.count("*").alias("n")).collect()}  # one row per number of values
         wanted = next_depth(agree, depth, settings)
         if wanted == depth:
-            return groups
+            return components(edges)
         depth = wanted
-        more = settle(node_edges(entries, reps, groups, depth, settings))
-        edges = edges.unionByName(more)
-        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more.select("a", "b")))
+        edges = edges.unionByName(settle(node_edges(entries, reps, parts_of(edges), depth, settings)))
 
 
 def overlaps(sets: list[np.ndarray], split: int) -> np.ndarray:
