@@ -78,6 +78,29 @@ def test_documents_meet_the_targets(spark):
     assert all(kept.get(r.doc_id, 0) == int(r.taken / r["size"] + 0.5) for r in rows if r["size"])
 
 
+def test_every_stretch_of_the_mix_holds_the_proportions(spark):
+    docs = spark.range(600).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("s"), F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 4)).alias("source"),
+        F.expr("repeat('w ', cast(1 + id * 37 % 700 as int))").alias("text"),
+    )
+    slots = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert all((r.n_slots > 0) == (r.taken > 0) == (r.first_slot is not None) for r in slots.values())
+    assert all(r.lap_slots == sorted(r.lap_slots) and min(r.lap_slots) == r.first_slot for r in slots.values() if r.taken)
+    mixed = [(r.source, len(r.text.split())) for r in mixing.mixed_documents(docs).collect()]  # in the order written
+    total = sum(n for _, n in mixed)
+    for source in {s for s, _ in mixed}:
+        share = sum(n for s, n in mixed if s == source) / total
+        words = own = worst = 0
+        for s, n in mixed:
+            words, own = words + n, own + n * (s == source)
+            worst = max(worst, abs(own - share * words))
+        assert worst < 6 * 512
+    far = sorted(mixed)  # what an order that knows nothing of the schedule would do
+    own = sum(n for s, n in far[: len(far) // 3] if s == "s0")
+    assert abs(own - sum(n for s, n in far if s == "s0") / 3) > 6 * 512
+
+
 @pytest.mark.parametrize("rows", [edges.documents, edges.empty])
 def test_mixing_awkward_rows(spark, rows):
     docs = rows(spark)

@@ -6,7 +6,8 @@ counts of the sources divide a line of points; the van der Corput sequence visit
 point whose bits are those of ``k`` reversed, so every stretch of the schedule holds each source in its proportion. A
 slot's rank among its source's slots follows from the bits alone, without a window over the
 source: it takes block ``rank mod blocks`` on lap ``rank div blocks``, and the last slot is cut where the
-target is met. Documents get the words of the slots that took their blocks.
+target is met. Documents get the words of the slots that took their blocks, the first of these slots and their
+number: the order of the mix. ``mixed_documents`` writes its rows in that order, each copy at the first slot of its lap.
 
 Targets: sources by code point, null last, weigh 5, 2, 1, repeating, and share all words; a target stops
 at three times its source's size, the rest being shared anew by weight. Null texts have no words; documents
@@ -113,7 +114,7 @@ def _bits(number: Column, bits: Column, add) -> Column:
 
 
 def schedule(ranges: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The slots: ``slot`` (order in the mix; numbers may have gaps), ``number``, ``block`` and
+    """The slots: ``slot`` (order in the mix; numbers may have gaps), ``number``, ``block``, ``lap`` and
     ``until``, the place in the source's stream where the slot's share of the block ends.
 
     A slot's rank is the number of its source's points whose reversed bits are smaller. These agree with it in
@@ -151,14 +152,16 @@ def schedule(ranges: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "slot",
         "number",
         block.alias("block"),
+        F.expr("rank DIV blocks").alias("lap"),
         F.least((block + 1) * settings.block, F.col("source_size"), lap_left).alias("until"),
     )
 
 
 def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns but the text, with ``size``, ``source_size``, ``target`` and ``taken``, the words that the mix
-    takes of a document."""
-    new = ("size", "source_size", "target", "taken")
+    takes of a document, ``first_slot`` and ``n_slots``, the first slot that takes some of them and the number of such slots, and
+    ``lap_slots``, the first slot of each lap; null, 0 and empty if none does."""
+    new = ("size", "source_size", "target", "taken", "first_slot", "n_slots", "lap_slots")
     key = F.md5(F.concat(F.lit(f"{settings.seed}:"), F.coalesce(F.col(quoted(id)).cast("string"), F.lit(""))).cast("binary"))
     sized = settle(
         packed(
@@ -201,32 +204,44 @@ def mix(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", te
             F.least(F.col("_from") + F.col("size"), (F.col("block") + 1) * wide).alias("_b"),
         )
     )
-    # a block is taken once per lap, so few slots meet in one; they are dealt before the join, which otherwise would
-    # judge their size by the few rows that they are made from
-    slots = schedule(ranges, settings).repartition("number", "block")
-    overlap = F.greatest(F.least(F.col("_b"), F.col("until")) - F.col("_a"), F.lit(0).cast("long"))
-    taken = pieces.join(slots, ["number", "block"]).groupBy("_row").agg(F.sum(overlap).alias("taken"))
-    found = placed.join(taken, "_row", "left")
+    # a block is taken once per lap, so few slots meet in one; both sides grow with the words, so none is broadcast
+    slots = schedule(ranges, settings).hint("merge")
+    overlap = F.least(F.col("_b"), F.col("until")) - F.col("_a")
+    met = pieces.join(slots, ["number", "block"]).filter(overlap > 0)
+    laps = met.groupBy("_row", "lap").agg(F.sum(overlap).alias("words"), F.min("slot").alias("slot"), F.count("*").alias("slots"))
+    taken = laps.groupBy("_row").agg(
+        F.sum("words").alias("taken"),
+        F.min("slot").alias("first_slot"),
+        F.sum("slots").alias("n_slots"),
+        F.transform(F.array_sort(F.collect_list(F.struct("lap", "slot"))), lambda x: x["slot"]).alias("lap_slots"),
+    )
+    found = placed.join(taken.hint("merge"), "_row", "left")
+    none = F.lit(0).cast("long")
     return found.select(
         *unpacked(found, docs, (*new, text)),
         "size",
         "source_size",
         "target",
-        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+        F.coalesce("taken", none).alias("taken"),
+        "first_slot",
+        F.coalesce("n_slots", none).alias("n_slots"),
+        F.coalesce("lap_slots", F.array().cast("array<bigint>")).alias("lap_slots"),
     )
 
 
 def mixed_documents(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows as often as the mix takes them, columns as they came. Where the quota cuts a document, it stays if half
-    of it or more is taken. Equal rows share one count."""
+    """The rows as often as the mix takes them and in its order, columns as they came. Where the quota cuts a document, it stays if half
+    of it or more is taken. Equal rows share one count. Rows are dealt by ranges of slots and sorted, so a stretch of the written
+    files holds the sources in their proportions."""
     named, whole = F.col(quoted(id)), F.col(quoted(text))
     key = F.xxhash64(named, F.col("source"), whole)
     mixed = mix(docs.select(named.alias("id"), "source", whole.alias("text"), key.alias("at")), settings, "id", "text")
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    counts = mixed.filter("taken > 0").groupBy("at", "id").agg(F.sum(copies).cast("int").alias("copies"))
+    slots = F.slice("lap_slots", F.lit(1), copies)
+    counts = mixed.filter("taken > 0").groupBy("at", "id").agg(F.flatten(F.collect_list(slots)).alias("slots"))
     keyed = packed(docs, at=key, id=named).alias("d")
-    wanted = counts.filter("copies > 0").alias("c")
+    wanted = counts.filter(F.size("slots") > 0).hint("merge").alias("c")
     same = (F.col("d.at") == F.col("c.at")) & F.col("d.id").eqNullSafe(F.col("c.id"))
-    one = keyed.join(wanted, same).select("d.row", "d.at", "d.id", "c.copies").dropDuplicates(["at", "id"])
-    every = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    one = keyed.join(wanted, same).select("d.row", "d.at", "d.id", "c.slots").dropDuplicates(["at", "id"])
+    every = one.withColumn("slot", F.explode("slots")).repartitionByRange("slot").sortWithinPartitions("slot")
     return every.select(*unpacked(every, docs))

@@ -156,6 +156,28 @@ def mixing_ctes(documents: str = "documents") -> str:
         + greatest(0, least(begins + size, quota % source_size) - begins) END::BIGINT AS taken FROM streamed)"""
 
 
+def mixing_sql() -> str:
+    """Slots by reversing the bits of all points, numbered per source in their order, and the documents that they take."""
+    wide = 512
+    return f"""
+    WITH {mixing_ctes()},
+    numbered AS (SELECT DISTINCT source, source_size, floor(target)::BIGINT AS quota FROM targets),
+    counted AS (SELECT *, (source_size + {wide - 1}) // {wide} AS blocks,
+        CASE WHEN source_size > 0 THEN quota // source_size * ((source_size + {wide - 1}) // {wide}) + (quota % source_size + {wide - 1}) // {wide} ELSE 0 END AS slots
+        FROM numbered),
+    ranged AS (SELECT *, sum(slots) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) - slots AS low, length(bin(greatest(sum(slots) OVER (), 2)::BIGINT - 1)) AS bits
+        FROM counted),
+    points AS (SELECT source, source_size, quota, blocks, list_reduce(list_prepend(0::BIGINT, list_transform(range(0, bits),
+        lambda b: ((p >> b::BIGINT) & 1) << (bits - 1 - b)::BIGINT)), lambda x, y: x + y) AS slot
+        FROM ranged, unnest(range(low::BIGINT, (low + slots)::BIGINT)) AS u(p)),
+    ranks AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS k FROM points),
+    placed AS (SELECT source, slot, (k % blocks) * {wide} AS a, least((k % blocks + 1) * {wide}, source_size, quota - k // blocks * source_size) AS b FROM ranks),
+    rows_ AS (SELECT *, row_number() OVER () AS r FROM mixed),
+    met AS (SELECT r, min(slot) AS first_slot, count(*) AS n_slots FROM rows_ m JOIN placed p ON m.source IS NOT DISTINCT FROM p.source
+        AND p.a < begins + size AND p.b > begins AND size > 0 AND p.b > p.a GROUP BY r)
+    SELECT doc_id, size, source_size, target, taken, first_slot::BIGINT AS first_slot, coalesce(n_slots, 0)::BIGINT AS n_slots FROM rows_ LEFT JOIN met USING (r)"""
+
+
 def collocations_sql() -> str:
     """All n-grams of one to four words, unpacked and counted."""
     grams = "\n    UNION ALL ".join(
@@ -239,7 +261,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op11_phrase_collocations": collocations_sql(),
         "op13_conversation_repair": conversations_sql(),
-        "op9_mixing": f"WITH {mixing_ctes()} SELECT doc_id, size, source_size, target, taken FROM mixed",
+        "op9_mixing": mixing_sql(),
         "op8_sharding": sharding_sql(),
         "op6_quality_rules": quality_rules_sql(),
         "op3_secret_scan": secrets_sql("doc_id, n_assign, n_access, n_hex, sha256(base_spans) AS base_sha256, spans"),

@@ -105,9 +105,9 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """Words that the mix takes of each document, with the target of its source."""
+    """Words that the mix takes of each document, with the target of its source and the slots that take them."""
     mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -169,6 +169,23 @@ def _joined(spans: Column, kinds: list[str]) -> Column:
     return F.array_join(said, ",")
 
 
+COLUMNS = [*(f"n_{name}" for name in BASE_KINDS), "n_entropy", "base_spans", "spans"]
+
+
+def _scanned(docs: DataFrame, text: str, classes: tuple[CharacterClass, ...], allowed: tuple[str, ...], without=()) -> DataFrame:
+    """``row``, ``text``, and the sorted spans ``base`` and ``added``."""
+    rows = packed(docs, without, text=F.coalesce(F.col(quoted(text)), F.lit("")))
+    whole = F.col("text")
+    return rows.withColumn("base", F.sort_array(base_spans(whole))).withColumn(
+        "added",
+        F.sort_array(F.concat(_none(), *[entropy_spans(whole, c, 3 + i, allowed) for i, c in enumerate(classes)])),
+    )
+
+
+def _every() -> Column:
+    return F.when(F.size("added") == 0, F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
+
+
 def scan_secrets(
     docs: DataFrame,
     text: str = "text",
@@ -178,17 +195,39 @@ def scan_secrets(
     """Add ``n_assign``, ``n_access``, ``n_hex``, ``n_entropy``, ``base_spans`` and ``spans``
     (``kind:start:end``, comma-joined, by start and then kind)."""
     kinds = [*BASE_KINDS, *(c.kind for c in classes)]
-    new = [*(f"n_{name}" for name in BASE_KINDS), "n_entropy", "base_spans", "spans"]
-    rows = packed(docs, new, text=F.coalesce(F.col(quoted(text)), F.lit("")))
-    whole = F.col("text")
-    found = rows.withColumn("base", F.sort_array(base_spans(whole))).withColumn(
-        "added",
-        F.sort_array(F.concat(_none(), *[entropy_spans(whole, c, 3 + i, allowed) for i, c in enumerate(classes)])),
-    )
+    found = _scanned(docs, text, classes, allowed, COLUMNS)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
-    every = F.when(F.size("added") == 0, F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
-    made = [*(count(i) for i in range(len(BASE_KINDS))), F.size("added").cast("long"), _joined(F.col("base"), kinds), _joined(every, kinds)]
-    return found.select(*unpacked(found, docs, new), *[c.alias(name) for name, c in zip(new, made)])
+    made = [*(count(i) for i in range(len(BASE_KINDS))), F.size("added").cast("long"), _joined(F.col("base"), kinds), _joined(_every(), kinds)]
+    return found.select(*unpacked(found, docs, COLUMNS), *[c.alias(name) for name, c in zip(COLUMNS, made)])
+
+
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with each stretch that sorted spans cover replaced by ``mask``."""
+    start = F.struct(F.lit("").alias("said"), F.lit(0).cast("long").alias("at"))
+    between = lambda a, n: F.substring(text, (a + 1).cast("int"), n.cast("int"))
+
+    def step(state: Column, s: Column) -> Column:
+        apart = F.concat(state["said"], between(state["at"], s["start"] - state["at"]), F.lit(mask))
+        return F.struct(
+            F.when(s["start"] < state["at"], state["said"]).otherwise(apart).alias("said"),
+            F.greatest(state["at"], s["stop"]).alias("at"),
+        )
+
+    return F.aggregate(spans, start, step, lambda s: F.concat(s["said"], between(s["at"], F.length(text))))
+
+
+def redacted(
+    docs: DataFrame,
+    text: str = "text",
+    mask: str = "[secret]",
+    classes: tuple[CharacterClass, ...] = CLASSES,
+    allowed: tuple[str, ...] = ALLOWED,
+) -> DataFrame:
+    """All documents, columns as they came, with the secrets of their texts replaced by ``mask``. A null text stays null."""
+    found = _scanned(docs, text, classes, allowed)
+    spans = _every()
+    clean = F.when(F.size(spans) > 0, masked(F.col("text"), spans, mask)).otherwise(found["row"].getField(text))
+    return found.select(*[clean.alias(c) if c == text else kept for c, kept in zip(docs.columns, unpacked(found, docs))])
 
 
 def without_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
