@@ -2,21 +2,24 @@
 
 Codes: vectors are centred, projected on their principal directions, turned by a rotation learned so that signs lose
 little, and cut to one bit per direction; direction and rotation come from a bounded sample. Index: a code is
-split into substrings, and every vector is listed under each of them. Search: if two codes differ in at most
-``R`` bits, then in some substring they differ in at most ``R // m`` (one less in the later ones once the
+split into substrings of about ``log2`` of the number of vectors bits, and every code is listed under each of them. Search: if two
+codes differ in at most ``R`` bits, then in some substring they differ in at most ``R // m`` (one less in the later ones once the
 rest is spent), so probing those values of each substring finds every code within ``R``. What is found is ranked
 by the cosine of the original vectors, in double precision.
 
-``R`` is the distance within which the sample's own true neighbours lie, by the quantile ``Settings.inside``; neighbours in
-the whole table are nearer than those in a sample, so it errs to the safe side. A query with too few
-found within ``R`` is searched again within all bits, which is exhaustive.
+The radius is raised step by step. A query is done when all of its nearest found are nearer than any pair of the sample whose codes differ in more
+than the radius; there are some million such pairs. The last radius is the distance within which the
+sample's own true neighbours lie, by the quantile ``Settings.inside``; neighbours in
+the whole table are nearer than those in a sample, so it errs to the safe side. A step whose probes
+would meet more than ``Settings.share`` of the vectors prunes nothing; one scan of all codes takes its place (isotropic vectors come to
+that). A query with too few found is scanned for within all bits.
 
-Layout: substring values are grouped in cells by their leading bits. A cell's vectors are split in parts of bounded
-size, and the queries in blocks, so a crowded cell is many tasks; queries go to every part of the cells they probe, and
-each part returns the few best per query, so the rows made grow with the queries, not with the pairs. Copies of a vector are one entry
+Layout: the index holds codes of eight bytes. Query probes and codes meet by substring and value, pairs
+found in several substrings are made one, and only then vectors are joined. In a scan, vectors are dealt in parts of bounded
+size and queries in blocks, a task per part and block returning the few best per query. Copies of a vector are one entry
 with its smallest ids, as many as can matter.
 
-Vectors that are null, zero, of another length than most of the sample, or hold null or non-finite components take no
+Vectors that are null, zero, of another length than most of the table, or hold null or non-finite components take no
 part, nor do null ids. Ties go to the smaller id; rows that repeat an id count once. Extra columns are not used.
 """
 
@@ -24,6 +27,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -32,6 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelane.functions.lineage import settle
+from tidelane.llm.frames import small_batches
 
 
 @dataclass(frozen=True)
@@ -39,27 +46,32 @@ class Settings:
     nearest: int = 5
     #: vectors that the codes are learned from
     sample: int = 4_000
-    #: bits of a code at most, and of a substring
+    #: bits of a code at most, and of a substring at least and at most
     bits: int = 64
-    substring: int = 8
-    #: share of the sample's true neighbours that must lie within the radius
+    narrow: int = 8
+    wide: int = 24
+    #: share of the sample's true neighbours that must lie within the last radius
     inside: float = 0.98
+    #: most vectors that probing may meet
+    share: float = 1 / 3
+    #: the radii as shares of the last one
+    steps: tuple[float, ...] = (0.25, 0.5, 0.75, 1)
     rotations: int = 30
-    #: leading bits of a substring that make a cell, and vectors of a part
-    cell: int = 3
-    part: int = 4_096
-    #: queries that meet a part in one task
+    #: vectors of a part and queries of a block of a scan
+    part: int = 8_192
     asked: int = 16_384
     seed: int = 17
 
 
 @dataclass(frozen=True)
 class Codes:
-    """Learned code: bit ``i`` of ``x`` is the sign of ``((x / |x|) - mean) @ turn[:, i]``."""
+    """Learned code: bit ``i`` of ``x`` is the sign of ``((x / |x|) - mean) @ turn[:, i]``. ``bounds[r]`` is the largest
+    cosine of pairs of the sample whose codes differ in more than ``r`` bits."""
 
     mean: np.ndarray
     turn: np.ndarray
     radius: int
+    bounds: tuple[float, ...] = ()
 
     @property
     def bits(self) -> int:
@@ -69,6 +81,10 @@ class Codes:
         """Codes of unit vectors as bits, one row each."""
         return ((unit - self.mean) @ self.turn) > 0
 
+    def packed(self, vectors: np.ndarray) -> np.ndarray:
+        """Codes of vectors as whole numbers, first bit highest."""
+        return _packed(self.of(unit_rows(vectors)))
+
 
 def usable(vector: Column) -> Column:
     """Whether all components are finite numbers and not all are zero."""
@@ -108,7 +124,7 @@ def learn(sample: np.ndarray, settings: Settings) -> Codes:
         signs = np.where(projected @ turn > 0, 1.0, -1.0)
         left, _, right = np.linalg.svd(signs.T @ projected)
         turn = (left @ right).T
-    codes = Codes(mean, basis @ turn, bits)
+    codes = Codes(mean, basis @ turn, bits, (2.0,) * (bits + 1))  # no cosine is that large
     near = min(settings.nearest, n - 1)
     if near < 1:
         return codes
@@ -117,8 +133,12 @@ def learn(sample: np.ndarray, settings: Settings) -> Codes:
     closeness[asked, asked] = -2
     best = np.argpartition(-closeness, near - 1, axis=1)[:, :near]
     signs = np.where(codes.of(unit), 1.0, -1.0)
-    apart = (bits - np.einsum("qb,qkb->qk", signs[asked], signs[best])) / 2
-    return Codes(mean, codes.turn, int(np.ceil(np.quantile(apart, settings.inside))))
+    apart = (bits - signs[asked] @ signs.T) / 2
+    radius = int(np.ceil(np.quantile(np.take_along_axis(apart, best, 1), settings.inside)))
+    nearest_at = np.full(bits + 1, -1.0)
+    np.maximum.at(nearest_at, apart.astype(int).ravel(), closeness.ravel())
+    beyond = np.maximum.accumulate(nearest_at[::-1])[::-1]
+    return Codes(mean, codes.turn, radius, (*beyond[1:].tolist(), -1.0))
 
 
 def substring_radii(radius: int, bits: int, width: int) -> list[int]:
@@ -136,109 +156,123 @@ def _packed(bits: np.ndarray) -> np.ndarray:
     return (bits.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64)
 
 
-def cells_of(bits: np.ndarray, settings: Settings) -> np.ndarray:
-    """The cell of each substring: rows by substrings."""
-    starts = range(0, bits.shape[1], settings.substring)
-    return np.stack(
-        [_packed(bits[:, s : s + min(settings.cell, bits.shape[1] - s)]) for s in starts], axis=1
-    ).astype(np.int64)
+def substring_width(n: int, bits: int, settings: Settings) -> int:
+    """About as many values as there are codes, so a value's list is short."""
+    return min(bits, settings.wide, max(settings.narrow, int(np.ceil(np.log2(max(n, 2))))))
+
+
+def masks(width: int, reach: int) -> np.ndarray:
+    """All numbers of ``width`` bits with at most ``reach`` set."""
+    found = [0] if reach >= 0 else []
+    for k in range(1, min(reach, width) + 1):
+        found += [sum(1 << i for i in chosen) for chosen in combinations(range(width), k)]
+    return np.array(found, np.uint64)
+
 
+def substrings(bits: int, width: int) -> list[tuple[int, int]]:
+    """(bits to the right, width) of each substring of a code."""
+    return [(bits - min(s + width, bits), min(s + width, bits) - s) for s in range(0, bits, width)]
 
-def search_part(queries: pd.DataFrame, vectors: pd.DataFrame, codes: Codes, settings: Settings, j: int) -> pd.DataFrame:
-    """The best found of one part for each of its queries.
 
-    Keeps the pairs whose substring ``j`` is within its probing radius and whose codes are within the query's
-    radius, ranks them by cosine and returns those that are, or tie with, the nearest ones.
-    """
+def probe_share(radius: int, bits: int, width: int) -> float:
+    """Share of all values that probing meets, summed over the substrings: that of evenly spread vectors met."""
+    parts = zip(substrings(bits, width), substring_radii(radius, bits, width), strict=True)
+    return sum(sum(comb(w, k) for k in range(r + 1)) / (1 << w) for (_, w), r in parts)
+
+
+def search_part(queries: pd.DataFrame, vectors: pd.DataFrame, codes: Codes, settings: Settings) -> pd.DataFrame:
+    """The best found of one part for each of its queries: pairs whose codes are within the query's
+    radius are ranked by cosine, and those that are, or tie with, the nearest ones are returned."""
     q, v = np.stack(queries["vector"]).astype(np.float64), np.stack(vectors["vector"]).astype(np.float64)
     uq, uv = unit_rows(q), unit_rows(v)
-    bq, bv = codes.of(uq), codes.of(uv)
-    s = slice(j * settings.substring, (j + 1) * settings.substring)
-    cq, cv, sq, sv = _packed(bq), _packed(bv), _packed(bq[:, s]), _packed(bv[:, s])
-    ids = vectors["ids"].to_list()
-    radius = queries["radius"].to_numpy()
-    reach = np.array([substring_radii(x, codes.bits, settings.substring)[j] for x in radius])
-    found = []
+    cq, cv = _packed(codes.of(uq)), _packed(codes.of(uv))
+    ids, radius = vectors["ids"].to_list(), queries["radius"].to_numpy()
+    names, out = queries["query_id"].to_numpy(), []
     step = max(1, (1 << 21) // max(len(v), 1))
     for a in range(0, len(q), step):
         b = min(a + step, len(q))
-        near = np.bitwise_count(sq[a:b, None] ^ sv[None, :]) <= reach[a:b, None]
-        near &= np.bitwise_count(cq[a:b, None] ^ cv[None, :]) <= radius[a:b, None]
+        near = np.bitwise_count(cq[a:b, None] ^ cv[None, :]) <= radius[a:b, None]
         closeness = np.where(near, uq[a:b] @ uv.T, -np.inf)
         # the query's own vector may be among them, so one more than asked for
         k = min(settings.nearest + 1, len(v))
         floor = -np.partition(-closeness, k - 1, axis=1)[:, k - 1 : k]
         row, col = np.nonzero(near & (closeness >= floor - 1e-9))
-        score = cosines(q[a + row], v[col])
-        for i, c, x in zip((a + row).tolist(), col.tolist(), score.tolist(), strict=True):
-            found.append((i, c, x))
-    out = []
-    names = queries["query_id"].to_numpy()
-    by_query: dict[int, list] = {}
-    for i, c, x in found:
-        by_query.setdefault(i, []).extend((-x, vec, x) for vec in ids[c] if vec != names[i])
-    for i, best in by_query.items():
-        out += [(names[i], vec, x) for _, vec, x in sorted(best)[: settings.nearest]]
+        by_query: dict[int, list] = {}
+        for i, c, x in zip((a + row).tolist(), col.tolist(), cosines(q[a + row], v[col]).tolist(), strict=True):
+            by_query.setdefault(i, []).extend((-x, vec, x) for vec in ids[c] if vec != names[i])
+        for i, best in by_query.items():
+            out += [(names[i], vec, x) for _, vec, x in sorted(best)[: settings.nearest]]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def _search(index: DataFrame, queries: DataFrame, codes: Codes, settings: Settings) -> DataFrame:
-    """Top rows per query (``query_id``, ``vec_id``, ``score``). ``index`` has ``ids``, ``vector``, ``part`` and ``blocks``;
-    ``queries`` has ``query_id``, ``vector``, ``radius``, ``block`` and ``parts``."""
-    keys = ["substring", "cell", "part", "block"]
-    places = "ids array<long>, vector array<double>, substring int, cell long, part int, block int"
+def _top(found: DataFrame, settings: Settings) -> DataFrame:
+    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= settings.nearest)
 
-    def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if not len(frame):
-                continue
-            cells = cells_of(codes.of(unit_rows(np.stack(frame["vector"]))), settings)
-            n, m = cells.shape
-            for block in range(int(frame["blocks"].iloc[0])):
-                yield pd.DataFrame(
-                    {
-                        "ids": np.repeat(frame["ids"].to_numpy(), m),
-                        "vector": np.repeat(frame["vector"].to_numpy(), m),
-                        "substring": np.tile(np.arange(m, dtype=np.int32), n),
-                        "cell": cells.ravel(),
-                        "part": np.repeat(frame["part"].to_numpy(), m).astype(np.int32),
-                        "block": np.full(n * m, block, np.int32),
-                    }
-                )
-
-    asked = "query_id long, vector array<double>, radius int, substring int, cell long, part int, block int"
 
-    def probing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                own = cells_of(codes.of(unit_rows(np.asarray(row.vector)[None, :])), settings)[0]
-                reach = substring_radii(row.radius, codes.bits, settings.substring)
-                out = []
-                for j, r in enumerate(reach):
-                    width = min(settings.cell, codes.bits - j * settings.substring)
-                    cells = np.arange(1 << width)
-                    # the leading bits alone differ in no more than the whole substring does
-                    for cell in cells[np.bitwise_count(cells ^ own[j]) <= r]:
-                        out += [
-                            (row.query_id, row.vector, row.radius, j, int(cell), p, row.block) for p in range(row.parts)
-                        ]
-                yield pd.DataFrame(out, columns=["query_id", "vector", "radius", *keys])
-
-    def joined(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
+def scanned(entries: DataFrame, queries: DataFrame, radius: int, sizes: tuple[int, int], codes: Codes, settings: Settings) -> DataFrame:
+    """Top rows per query (``query_id``, ``vec_id``, ``score``, ``rank``) from one scan of all vectors in parts; ``sizes`` are the
+    numbers of entries and queries."""
+    parts, blocks = (max(1, -(-n // most)) for n, most in zip(sizes, (settings.part, settings.asked)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    left = queries.select("query_id", "vector", F.lit(radius).alias("radius"), dealt("query_id", blocks).alias("block"), every(parts).alias("part"))
+    right = entries.select("ids", "vector", dealt("entry", parts).alias("part"), every(blocks).alias("block"))
+
+    def joined(key: tuple, asked: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(vectors):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return search_part(left, right, codes, settings, key[0])
+        return search_part(asked, vectors, codes, settings)
 
     found = (
-        queries.mapInPandas(probing, asked)
-        .groupBy(*keys)
-        .cogroup(index.mapInPandas(listed, places).groupBy(*keys))
+        left.groupBy("part", "block")
+        .cogroup(right.groupBy("part", "block"))
         .applyInPandas(joined, "query_id long, vec_id long, score double")
     )
-    # a pair may be found in several substrings
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= settings.nearest)
+    return _top(found, settings)
+
+
+def candidates(entries: DataFrame, queries: DataFrame, radius: int, n: int, codes: Codes, settings: Settings) -> DataFrame:
+    """Pairs ``query_id``-``entry``, each once, whose codes differ in at most ``radius`` bits, by probing the substrings."""
+    width = substring_width(n, codes.bits, settings)
+    cuts = substrings(codes.bits, width)
+    reach = substring_radii(radius, codes.bits, width)
+    value = lambda code, right, w: F.shiftrightunsigned(code, right).bitwiseAND(F.lit((1 << w) - 1))
+    listed = F.array(
+        *[F.struct(F.lit(j).alias("substring"), value(F.col("code"), right, w).alias("value")) for j, (right, w) in enumerate(cuts)]
+    )
+    index = entries.select("entry", "code", F.inline(listed))
+
+    def probing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        flips = [masks(w, r) for (_, w), r in zip(cuts, reach, strict=True)]
+        for frame in frames:
+            for query_id, code in zip(frame["query_id"].tolist(), frame["asked"].tolist()):
+                whole = np.uint64(code & ((1 << 64) - 1))
+                for j, (right, w) in enumerate(cuts):
+                    own = (whole >> np.uint64(right)) & np.uint64((1 << w) - 1)
+                    yield pd.DataFrame(
+                        {"query_id": query_id, "asked": code, "substring": j, "value": (flips[j] ^ own).astype(np.int64)}
+                    )
+
+    probes = queries.select("query_id", F.col("code").alias("asked")).mapInPandas(probing, "query_id long, asked long, substring int, value long")
+    met = probes.join(index, ["substring", "value"])
+    within = F.bit_count(F.col("asked").bitwiseXOR(F.col("code"))) <= radius
+    return met.filter(within).select("query_id", "entry").distinct()
+
+
+def probed(entries: DataFrame, queries: DataFrame, radius: int, n: int, codes: Codes, settings: Settings) -> DataFrame:
+    """Top rows per query as ``scanned`` gives them, by way of the index: vectors are joined for what was found only."""
+    pairs = candidates(entries, queries, radius, n, codes, settings)
+    both = pairs.join(queries.select("query_id", F.col("vector").alias("q")), "query_id").join(entries.select("entry", "ids", "vector"), "entry")
+
+    def ranked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                score = cosines(np.stack(frame["q"]), np.stack(frame["vector"]))
+                yield pd.DataFrame({"query_id": frame["query_id"], "ids": frame["ids"], "score": score})
+
+    each = both.select("query_id", "q", "ids", "vector").mapInPandas(ranked, "query_id long, ids array<long>, score double")
+    return _top(each.select("query_id", F.explode("ids").alias("vec_id"), "score").filter("vec_id <> query_id"), settings)
 
 
 def nearest_neighbours(
@@ -247,39 +281,49 @@ def nearest_neighbours(
     """For each query row the nearest other rows: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``."""
     spark = vectors.sparkSession
     empty = "query_id long, rank int, vec_id long, score double"
+    small_batches(spark)
     plain = vectors.select(
         F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("_q")
     ).filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    sample = [
-        (r["vector"], r["_key"])
-        for r in plain.select("vector", F.xxhash64("vec_id", "vector").alias("_key"))
-        .orderBy("_key")
-        .limit(settings.sample)
-        .collect()  # a bounded sample
-    ]
-    if not sample:
+    widths = plain.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
+    most_common = widths.orderBy(F.col("n").desc(), "width").first()
+    if most_common is None:
         return spark.createDataFrame([], empty)
-    widths = [len(v) for v, _ in sample]
-    width = max(sorted(set(widths)), key=widths.count)
-    codes = learn(np.array([v for v, _ in sample if len(v) == width], float), settings)
-    fit = plain.filter(F.size("vector") == width)
+    fit = plain.filter(F.size("vector") == most_common.width)
+    sample = fit.select("vector", F.xxhash64("vec_id", "vector").alias("_key")).orderBy("_key").limit(settings.sample).collect()  # bounded
+    codes = learn(np.array([r["vector"] for r in sample], float), settings)
+
+    def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield frame.assign(code=codes.packed(np.stack(frame["vector"])).astype(np.int64))
+
     # of equal vectors, only the ids that can be among the nearest, and one for the query itself
     most = settings.nearest + 1
     smallest = W.partitionBy("vector").orderBy("vec_id")
     ids = fit.select("vec_id", "vector").distinct().withColumn("_n", F.row_number().over(smallest))
     entries = ids.filter(F.col("_n") <= most).groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    entries = settle(entries)
-    parts = max(1, -(-entries.count() // (settings.part << settings.cell)))
-    asked = settle(fit.filter("_q").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector")))
-    blocks = max(1, -(-asked.count() // settings.asked))
-    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    index = entries.withColumns({"part": dealt("vector", parts), "blocks": F.lit(blocks)})
-    asked = asked.withColumns({"parts": F.lit(parts), "block": dealt("query_id", blocks)})
-    first = settle(_search(index, asked.withColumn("radius", F.lit(min(codes.radius, codes.bits))), codes, settings))
-    short = asked.join(
-        first.groupBy("query_id").count().filter(F.col("count") >= settings.nearest), "query_id", "left_anti"
-    )
-    again = _search(index, short.withColumn("radius", F.lit(codes.bits)), codes, settings)
-    redone = short.select("query_id")
-    whole = first.join(redone, "query_id", "left_anti").unionByName(again)
+    entries = entries.select(F.monotonically_increasing_id().alias("entry"), "ids", "vector")
+    entries = settle(entries.mapInPandas(coded, "entry long, ids array<long>, vector array<double>, code long"))
+    asked = fit.filter("_q").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
+    asked = settle(asked.mapInPandas(coded, "query_id long, vector array<double>, code long"))
+    n = entries.count()
+    last = min(codes.radius, codes.bits)
+    width = substring_width(n, codes.bits, settings)
+    radii = sorted({int(last * step) for step in settings.steps})
+    done, left = [], asked
+    for radius in [r for r in radii if probe_share(r, codes.bits, width) <= settings.share]:
+        top = settle(probed(entries, left, radius, n, codes, settings))
+        near = top.filter((F.col("rank") == settings.nearest) & (F.col("score") >= codes.bounds[radius])).select("query_id")
+        if radius == last:
+            near = top.filter(F.col("rank") == settings.nearest).select("query_id")
+        done.append(top.join(near, "query_id", "left_semi"))
+        left = settle(left.join(near, "query_id", "left_anti"))
+    if probe_share(last, codes.bits, width) > settings.share:
+        top = settle(scanned(entries, left, last, (n, left.count()), codes, settings))
+        near = top.filter(F.col("rank") == settings.nearest).select("query_id")
+        done.append(top.join(near, "query_id", "left_semi"))
+        left = settle(left.join(near, "query_id", "left_anti"))
+    done.append(scanned(entries, left, codes.bits, (n, left.count()), codes, settings))
+    whole = reduce(DataFrame.unionByName, done)
     return whole.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
