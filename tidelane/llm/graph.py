@@ -25,17 +25,39 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
+def near_roots(edges: DataFrame, hops: int = 3) -> DataFrame:
+    """``node`` and ``root``: the least node within some hops along the edges ``a``-``b``. Nodes with one root are connected; connected
+    ones may have several. A few joins, whatever the components."""
+    ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    both = ends.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = settle(both.unionByName(both.select("u", F.col("u").alias("v"))).distinct())
+    roots = both.groupBy("u").agg(F.min("v").alias("root"))
+    for _ in range(hops - 1):
+        roots = both.join(roots.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("root").alias("root"))
+    return settle(roots.withColumnRenamed("u", "node"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for all nodes that have an edge ``a``-``b``.
 
-    Alternates a step that points larger neighbours at a node's least neighbour with one that does so for
+    Near roots stand for most of a component, so rounds are needed for what is left between them only."""
+    near = near_roots(edges)
+    at = lambda end: near.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    across = edges.select("a", "b").join(at("a"), "a").join(at("b"), "b").filter("root_a <> root_b")
+    joined = _rounds(across.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct())
+    least = joined.select(F.col("node").alias("root"), F.col("root").alias("whole"))
+    return near.join(least, "root", "left").select("node", F.coalesce("whole", "root").alias("root"))
+
+
+def _rounds(edges: DataFrame) -> DataFrame:
+    """``components`` by rounds. Alternates a step that points larger neighbours at a node's least neighbour with one that does so for
     the smaller ones; the number of rounds grows with the logarithm of the component's size.
     """
     now = settle(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     before = _state(now)
-    while True:
+    while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _towards_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         near = _towards_least(large)

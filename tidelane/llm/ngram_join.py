@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tidelane.functions.lineage import settle
 from tidelane.llm import hashed_text as H
 from tidelane.llm.frames import mapped, packed, quoted, runs, unpacked
-from tidelane.llm.graph import components
+from tidelane.llm.graph import components, near_roots
 
 
 #: Parts that the texts of a leaf are dealt in where they meet its least one.
@@ -265,19 +265,6 @@ def node_edges(entries: DataFrame, reps: DataFrame, known: DataFrame, depth: int
     return _grouped(placed, keys, "_rep").mapInArrow(compare, "a long, b long, agree long")
 
 
-def parts_of(edges: DataFrame, hops: int = 3) -> DataFrame:
-    """``node`` and ``root``: the least text within some hops along the edges. Texts with one root are connected; connected ones
-    may have several, which costs comparisons that are not needed, and far fewer jobs than whole components."""
-    ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    turned = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    both = ends.unionByName(turned)
-    both = settle(both.unionByName(both.select("u", F.col("u").alias("v"))).distinct())
-    roots = both.groupBy("u").agg(F.min("v").alias("root"))
-    for _ in range(hops - 1):
-        roots = both.join(roots.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("root").alias("root"))
-    return settle(roots.withColumnRenamed("u", "node"))
-
-
 def close_groups(reps: DataFrame, settings: Settings) -> DataFrame:
     """``node`` and ``root`` of the texts that close pairs of the forest connect."""
     entries, depth = leaves(reps, settings), settings.depth
@@ -288,7 +275,7 @@ def close_groups(reps: DataFrame, settings: Settings) -> DataFrame:
         if wanted == depth:
             return components(edges)
         depth = wanted
-        edges = edges.unionByName(settle(node_edges(entries, reps, parts_of(edges), depth, settings)))
+        edges = edges.unionByName(settle(node_edges(entries, reps, near_roots(edges), depth, settings)))
 
 
 def overlaps(sets: list[np.ndarray], split: int) -> np.ndarray:
