@@ -66,3 +66,25 @@ def test_awkward_rows(spark, rows):
     assert sorted((str(r.doc_id), r.n_tokens) for r in counted.collect()) == sorted(
         (i, token_count.counter(PIECES).count(t)) for i, t in given
     )
+
+
+def test_long_parts_are_counted_as_streams(monkeypatch):
+    own = token_count.counter(PIECES)
+    for text in [*texts(2000, ["internationalization", "the", "ing"]), "ab" * 900]:
+        part = token_count.SPACE + text.replace(" ", "")
+        assert own.streamed(part) == own.viterbi(part), repr(text)
+    long = "".join(random.Random(1).choices("abcdefghijklmnop", k=30_000))
+    streamed = own.viterbi(long)
+    monkeypatch.setattr(token_count, "LONG", 10**9)
+    assert streamed == own.viterbi(long)
+
+
+def test_memory_of_a_long_text_without_spaces():
+    import tracemalloc
+
+    own, text = token_count.counter(PIECES), "abcdefghij" * 100_000
+    tracemalloc.start()
+    own.count(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * len(text)

@@ -10,6 +10,8 @@ Text: spaces become U+2581, one more is put in front, as in the vocabulary's own
 piece can cross: before a run of spaces, and around characters that occur in no longer piece. Scores are whole
 numbers, so sums are exact and a cut changes no comparison; the counts of short parts are kept in a bounded table.
 
+A part without a cut, however long, is counted in the memory of its text and the longest piece.
+
 Null and empty texts have no tokens. Extra columns pass through; one named like the output is replaced.
 """
 
@@ -27,6 +29,8 @@ from tidelane.llm.frames import mapped
 
 SPACE = "▁"
 KEPT, KEPT_LENGTH = 300_000, 48
+#: Parts beyond this length are counted as a stream, with the same result.
+LONG = 4096
 #: What the unknown piece scores below the least piece.
 UNKNOWN = 10
 
@@ -38,6 +42,7 @@ class Unigram:
         self.scores = dict(pieces)
         self.fallback = fallback
         self.unknown = min(self.scores.values()) - UNKNOWN
+        self.longest = max(map(len, self.scores))
         self.automaton = ahocorasick.Automaton()
         for piece, score in self.scores.items():
             self.automaton.add_word(piece, (len(piece), score))
@@ -52,9 +57,36 @@ class Unigram:
         self.cut = re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + ("|\n" if line else ""), re.S)
         self.known: dict[str, int] = {}
 
+    def streamed(self, part: str) -> int:
+        """``viterbi`` for a long part: matches come in order of their ends, so only as many scores are kept as the longest
+        piece has characters, and the matches of one end."""
+        width = self.longest + 1
+        best, count = [0] * width, [0] * width
+        matches = self.automaton.iter(part)
+        ahead = next(matches, None)
+        for end in range(1, len(part) + 1):
+            ways = []
+            while ahead is not None and ahead[0] == end - 1:
+                length, score = ahead[1]
+                ways.append((end - length, score))
+                ahead = next(matches, None)
+            ways.sort()
+            top, pieces = None, 0
+            for start, score in ways:
+                if top is None or best[start % width] + score > top:
+                    top, pieces = best[start % width] + score, count[start % width] + 1
+            if not ways or ways[-1][0] != end - 1:
+                cost = len(part[end - 1].encode()) if self.fallback else 1
+                if top is None or best[(end - 1) % width] + self.unknown > top:
+                    top, pieces = best[(end - 1) % width] + self.unknown, count[(end - 1) % width] + cost
+            best[end % width], count[end % width] = top, pieces
+        return count[len(part) % width]
+
     def viterbi(self, part: str) -> int:
         """Number of tokens of a part that no piece crosses the ends of."""
         n = len(part)
+        if n > LONG:
+            return self.streamed(part)
         ending: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
         for last, (length, score) in self.automaton.iter(part):
             ending[last + 1].append((last + 1 - length, score))
@@ -72,10 +104,21 @@ class Unigram:
             best[end], count[end] = top, pieces
         return count[n]
 
+    def _split(self, part: str) -> Iterable[str]:
+        """The part between and at characters that stand alone, one piece of it at a time."""
+        first = 0
+        for m in self.alone.finditer(part):
+            if m.start() > first:
+                yield part[first : m.start()]
+            yield m[0]
+            first = m.end()
+        if first < len(part):
+            yield part[first:]
+
     def _part(self, part: str) -> int:
         known = self.known.get(part)
         if known is None:
-            known = sum(self.viterbi(x) for x in self.alone.split(part) if x)
+            known = sum(self.viterbi(x) for x in self._split(part))
             if len(part) <= KEPT_LENGTH:
                 if len(self.known) >= KEPT:
                     self.known.clear()
