@@ -1,7 +1,7 @@
 """Quality grades: ordinal cumulative-link regression over hashed text.
 
 The chance that a text reaches grade k is ``sigmoid(w.x - theta_k)``: all grades share the weights ``w`` of hashed
-tokens and token pairs, and the thresholds ``theta_1 < theta_2 < ...`` are ordered. ``x`` is the share of each
+tokens and token pairs, and the thresholds ``theta_1 < theta_2 < ...`` are strictly ordered. ``x`` is the share of each
 feature among the text's features. Expected grade and tail probabilities follow from the same few numbers.
 
 Fitting takes a bounded sample of rated rows (``Settings.sample``, the rows with the smallest hash
@@ -38,6 +38,8 @@ class Settings:
     batch: int = 32
     rate: float = 1.0
     l2: float = 1e-5
+    #: least distance of thresholds
+    gap: float = 0.01
     #: scale of the feature shares, so that usual scores are of the order of one
     scale: float = 20.0
     #: lowest grade that is accepted, and the least chance to reach it
@@ -67,17 +69,24 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def apart(thresholds: np.ndarray, gap: float) -> np.ndarray:
+    """The thresholds, raised where they are not ``gap`` above the one before."""
+    steps = gap * np.arange(len(thresholds))
+    return np.maximum.accumulate(thresholds - steps) + steps
+
+
 def fit_rows(examples: list[tuple[np.ndarray, np.ndarray, float]], settings: Settings) -> Model:
-    """Mini-batch gradient steps with a rate per coordinate over (indexes, shares, grade). The
-    loss is that of ``grades - 1`` yes-or-no questions "at least grade k", which share ``w``;
-    thresholds are kept in order."""
+    """Mini-batch gradient steps with a rate per coordinate over (indexes, shares, grade), on the negative log likelihood of the
+    cumulative-link model: a grade's chance is the difference of the chances to reach it and to reach the next one. With
+    ``r_k`` the chance to reach grade ``k`` (1 for 0, and 0 beyond the last), its derivative by the score is
+    ``r_g + r_(g+1) - 1`` for a row of grade ``g``. Thresholds stay apart by ``settings.gap`` at least."""
     levels = np.arange(1, settings.grades)
     weights, seen = np.zeros(1 << settings.bits), np.full(1 << settings.bits, 1e-8)
     if not examples:
         return Model(settings.bits, settings.scale, weights, np.full(len(levels), -35.0))
     grades = np.array([g for *_, g in examples])
     reached = np.clip([(grades >= k).mean() for k in levels], 1e-3, 1 - 1e-3)
-    thresholds, seen_t = -np.log(reached / (1 - reached)), np.full(len(levels), 1e-8)
+    thresholds, seen_t = apart(-np.log(reached / (1 - reached)), settings.gap), np.full(len(levels), 1e-8)
     for _ in range(settings.epochs):
         for first in range(0, len(examples), settings.batch):
             part = examples[first : first + settings.batch]
@@ -85,15 +94,23 @@ def fit_rows(examples: list[tuple[np.ndarray, np.ndarray, float]], settings: Set
             share = np.concatenate([s for _, s, _ in part]) * settings.scale
             row = np.repeat(np.arange(len(part)), [len(i) for i, *_ in part])
             score = np.bincount(row, weights[index] * share, len(part))
-            target = np.array([g for *_, g in part])[:, None] >= levels
-            error = sigmoid(score[:, None] - thresholds) - target
+            grade = np.clip(np.array([g for *_, g in part]).astype(int), 0, len(levels))
+            reach = np.ones((len(part), len(levels) + 2))
+            reach[:, 1:-1], reach[:, -1] = sigmoid(score[:, None] - thresholds), 0
+            at = np.arange(len(part))
+            here, beyond = reach[at, grade], reach[at, grade + 1]
+            error = here + beyond - 1
+            chance = np.maximum(here - beyond, 1e-12)
+            by_threshold = np.zeros((len(part), len(levels) + 2))
+            by_threshold[at, grade] = here * (1 - here) / chance
+            by_threshold[at, grade + 1] -= beyond * (1 - beyond) / chance
             used, place = np.unique(index, return_inverse=True)
-            step = np.bincount(place, error.sum(1)[row] * share, len(used)) / len(part) + settings.l2 * weights[used]
+            step = np.bincount(place, error[row] * share, len(used)) / len(part) + settings.l2 * weights[used]
             seen[used] += step * step
             weights[used] -= settings.rate * step / np.sqrt(seen[used])
-            step = -error.mean(0)
+            step = by_threshold.mean(0)[1:-1]
             seen_t += step * step
-            thresholds = np.maximum.accumulate(thresholds - 0.1 * settings.rate * step / np.sqrt(seen_t))
+            thresholds = apart(thresholds - 0.1 * settings.rate * step / np.sqrt(seen_t), settings.gap)
     return Model(settings.bits, settings.scale, weights.astype(np.float32), thresholds)
 
 
