@@ -13,7 +13,7 @@ from tests.frames import rows
 from tidelane.operators import quality
 from tidelane.operators.cleaning import settle_dates
 from tidelane.plans import batch
-from tidelane.plans.batch import append_star, build_results, load_star, run, stage_results, stage_star
+from tidelane.plans.batch import append_star, build_results, run, stage_results, stage_star
 from tidelane.plans.views import VIEWS, register_stored_views
 from tidelane.sources import catalog, loads, store
 from tidelane.sources.loads import RivalLoad, Tables, new_draft, publish, published
@@ -63,15 +63,19 @@ def test_a_run_is_one_publication(spark, first):
     assert len({folder.split("/")[1] for folders in load.tables.values() for folder in folders}) == 1
 
 
-def test_readers_between_the_steps_see_the_load_before(spark, files, tmp_path, monkeypatch):
+def test_readers_and_views_over_a_reload(spark, files, tmp_path, monkeypatch):
+    """Between the steps of a run readers see the load before; after it readers and views see the new one."""
     root, seen = str(tmp_path), []
     run(spark, files[1], root)
     before = read_star(spark, root).fact.count()
     kpis = table_rows(read_table(spark, "report_kpi_cards", root=root))
+    own = f"{catalog.database_of(root)}.fact_orders"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW mine AS SELECT count(*) AS n FROM {own}")
+    views = {name: table_rows(spark.table(name)) for name in register_stored_views(spark, root)}
 
     def watched(spark, tables, *rest):
         for step in ("before", "after"):
-            assert read_star(spark, root, rollups=True).fact.count() == before
+            assert read_star(spark, root, rollups=True).fact.count() == before == spark.table("mine").first().n
             assert table_rows(read_table(spark, "report_kpi_cards", root=root)) == kpis
             seen.append(step)
             if step == "before":
@@ -80,16 +84,25 @@ def test_readers_between_the_steps_see_the_load_before(spark, files, tmp_path, m
     monkeypatch.setattr(batch, "stage_results", watched)
     run(spark, files[0], root)
     assert seen == ["before", "after"]
-    assert read_star(spark, root).fact.count() > before and loads.load_numbers(spark, root) == [1, 2]
+    fact = read_star(spark, root).fact.count()
+    assert fact > before and loads.load_numbers(spark, root) == [1, 2]
     assert read_star(spark, root, load=1).fact.count() == before
     assert table_rows(read_table(spark, "report_kpi_cards", root=root, load=1)) == kpis
+    assert spark.table("mine").first().n == fact == spark.table(own).count()
+    assert spark.table("v_otif_by_route").agg(F.sum("total_orders")).first()[0] == fact
+    for name in VIEWS:
+        now = table_rows(spark.table(name))
+        assert now != views[name] and len(now) == read_table(spark, VIEWS[name].__name__, root=root).count()
+    draft = new_draft(spark, root)  # a load without results: no view answers from the load before
+    draft.write(read_star(spark, root, load=1).fact, "fact_orders")
+    publish(draft)
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        spark.table("v_otif_by_route").collect()
+    assert spark.table("mine").first().n == before
 
 
-@pytest.mark.parametrize("first_load", [True, False])
-def test_a_failed_result_step_publishes_nothing(spark, files, tmp_path, monkeypatch, first_load):
+def test_a_failed_result_step_publishes_nothing(spark, files, tmp_path, monkeypatch):
     root = str(tmp_path)
-    if not first_load:
-        load_star(raw(spark, files[1]), root)
 
     def broken(*_):
         raise RuntimeError("lost")
@@ -97,7 +110,7 @@ def test_a_failed_result_step_publishes_nothing(spark, files, tmp_path, monkeypa
     monkeypatch.setattr(batch.report, "kpi_cards", broken)
     with pytest.raises(RuntimeError, match="lost"):
         run(spark, files[1], root)
-    assert loads.load_numbers(spark, root) == ([] if first_load else [1])
+    assert loads.load_numbers(spark, root) == []
 
 
 def test_the_later_of_two_rival_loads_fails(spark, tmp_path):
@@ -153,61 +166,45 @@ def test_old_loads_go(spark, tmp_path):
         loads.remove_loads(spark, root, keep=0)
 
 
-def test_views_follow_a_reload(spark, files, tmp_path):
-    root = str(tmp_path)
-    run(spark, files[1], root)
-    own = f"{catalog.database_of(root)}.fact_orders"
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW mine AS SELECT count(*) AS n FROM {own}")
-    held = {name: spark.sql(f"SELECT * FROM {name}") for name in register_stored_views(spark, root)}
-    before = {name: table_rows(df) for name, df in held.items()}
-    run(spark, files[0], root)
-    fact = read_star(spark, root).fact
-    assert spark.table("mine").first().n == fact.count() == spark.table(own).count()
-    assert spark.table("v_otif_by_route").agg(F.sum("total_orders")).first()[0] == fact.count()
-    for name in VIEWS:
-        now = table_rows(spark.table(name))
-        assert now != before[name]
-        stored = read_table(spark, VIEWS[name].__name__, root=root)
-        assert len(now) == stored.count()
-    load_star(raw(spark, files[1]), root)  # without results: no view answers from the load before
-    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
-        spark.table("v_otif_by_route").collect()
-    assert spark.table("mine").first().n == read_star(spark, root).fact.count()
+@pytest.fixture(scope="module")
+def appended(spark, files, first):
+    """A draft that adds the second folder to the first load, and the stored tables that it read as lines."""
+    read, scan, draft = [], Tables.read, new_draft(spark, first, keep=True)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Tables, "read", lambda self, name: read.append(name) or scan(self, name))
+        append_star(raw(spark, files[1]), draft)
+    stage_results(spark, draft)
+    return draft, read
 
 
-def _appended(spark, files, tmp_path):
-    root, whole = str(tmp_path / "appended"), str(tmp_path / "whole")
-    run(spark, files[0], root)
-    run(spark, files[1], root, append=True)
+@pytest.fixture(scope="module")
+def whole(spark, files, tmp_path_factory):
     # the stored lines come first: the second folder sorts after the first one
-    run(spark, os.path.dirname(files[0]) + "/{a,b}", whole)
-    return root, whole
+    root = str(tmp_path_factory.mktemp("whole"))
+    run(spark, os.path.dirname(files[0]) + "/{a,b}", root)
+    return published(spark, root)
 
 
-def test_appending_gives_what_a_whole_load_gives(spark, files, tmp_path):
-    root, whole = _appended(spark, files, tmp_path)
-    one, other = read_star(spark, root, rollups=True), read_star(spark, whole, rollups=True)
+def test_appending_gives_what_a_whole_load_gives(spark, appended, whole):
+    draft, _ = appended
+    one, other = read_star(spark, draft, rollups=True), read_star(spark, whole, rollups=True)
     for a, b in ((one.fact, other.fact), (one.products, other.products), (one.customers, other.customers)):
         assert table_rows(a) == table_rows(b)
     for name in ROLLUPS:
-        assert table_rows(store.read_rollup(spark, root, name)) == table_rows(store.read_rollup(spark, whole, name))
-    assert table_rows(read_keys(spark, root)) == table_rows(read_keys(spark, whole))
+        assert table_rows(store.read_rollup(spark, draft, name)) == table_rows(store.read_rollup(spark, whole, name))
+    assert table_rows(read_keys(spark, draft)) == table_rows(read_keys(spark, whole))
     own = {"typed_lines", "staged_lines", "rejected_lines", "fact_orders", "line_keys", "rollups", "dim_products", "dim_customers", "dq_raw_counts"}
-    names = set(published(spark, whole).tables)
-    assert names == set(published(spark, root).tables)
+    names = set(whole.tables)
+    assert names == set(draft.tables)
     for name in names - own:
-        assert table_rows(read_table(spark, name, root=root)) == table_rows(read_table(spark, name, root=whole)), name
+        assert table_rows(draft.read(name)) == table_rows(whole.read(name)), name
     for name in ("staged_lines", "rejected_lines"):
-        a, b = (read_table(spark, name, root=r).drop("_source_position") for r in (root, whole))
+        a, b = (t.read(name).drop("_source_position") for t in (draft, whole))
         assert table_rows(a) == table_rows(b)
 
 
-def test_appending_reads_keys_only_and_filters_them(spark, first, files, capsys, monkeypatch):
-    read = []
-    scan = Tables.read
-    monkeypatch.setattr(Tables, "read", lambda self, name: read.append(name) or scan(self, name))
-    draft = new_draft(spark, first, keep=True)
-    append_star(raw(spark, files[1]), draft)
+def test_appending_reads_keys_only_and_filters_them(spark, first, appended, capsys):
+    draft, read = appended
     assert not {"fact_orders", "typed_lines", "staged_lines"} & set(read)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for keys beyond the threshold
