@@ -97,9 +97,8 @@ def test_clustered_vectors_are_pruned_and_the_rows_made_grow_with_the_queries(sp
         vectors = clustered(n)
         table = spark.createDataFrame(list(zip(range(n), vectors.tolist())), "vec_id long, embedding array<double>")
         codes = ann.learn(vectors[:4000], ann.Settings())
-        width = ann.substring_width(n, codes.bits, ann.Settings())
-        probing = [int(codes.radius * s) for s in ann.Settings().steps]
-        used = [r for r in probing if ann.probe_share(r, codes.bits, width) <= ann.Settings().share]
+        used = ann.probing_radii(codes.radius, n, codes.bits, ann.Settings())
+        assert used
         entries = coded(spark, vectors, codes)
         queries = entries.filter("entry % 50 = 0").select(F.col("entry").alias("query_id"), "vector", "code")
         met = ann.candidates(entries, queries, used[-1], n, codes, ann.Settings()).count()

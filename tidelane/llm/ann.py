@@ -11,8 +11,8 @@ The radius is raised step by step. A query is done when all of its nearest found
 than the radius; there are some million such pairs. The last radius is the distance within which the
 sample's own true neighbours lie, by the quantile ``Settings.inside``; neighbours in
 the whole table are nearer than those in a sample, so it errs to the safe side. A step whose probes
-would meet more than ``Settings.share`` of the vectors prunes nothing; one scan of all codes takes its place (isotropic vectors come to
-that). A query with too few found is scanned for within all bits.
+would meet more than ``Settings.share`` of the vectors, or be more than ``Settings.probes``, costs what it saves; one scan of all codes takes
+the place of the last one then (isotropic vectors come to that). A query with too few found is scanned for within all bits.
 
 Layout: the index holds codes of eight bytes. Query probes and codes meet by substring and value, pairs
 found in several substrings are made one, and only then vectors are joined. In a scan, vectors are dealt in parts of bounded
@@ -52,8 +52,9 @@ class Settings:
     wide: int = 24
     #: share of the sample's true neighbours that must lie within the last radius
     inside: float = 0.98
-    #: most vectors that probing may meet
+    #: most vectors that probing may meet, and most values that a query may probe, so that the rows made grow with the queries
     share: float = 1 / 3
+    probes: int = 1024
     #: the radii as shares of the last one
     steps: tuple[float, ...] = (0.25, 0.5, 0.75, 1)
     rotations: int = 30
@@ -174,10 +175,19 @@ def substrings(bits: int, width: int) -> list[tuple[int, int]]:
     return [(bits - min(s + width, bits), min(s + width, bits) - s) for s in range(0, bits, width)]
 
 
-def probe_share(radius: int, bits: int, width: int) -> float:
-    """Share of all values that probing meets, summed over the substrings: that of evenly spread vectors met."""
+def probe_cost(radius: int, bits: int, width: int) -> tuple[float, int]:
+    """Share of all values that probing meets, summed over the substrings, which is that of evenly spread vectors met, and the number
+    of values probed."""
     parts = zip(substrings(bits, width), substring_radii(radius, bits, width), strict=True)
-    return sum(sum(comb(w, k) for k in range(r + 1)) / (1 << w) for (_, w), r in parts)
+    values = [(sum(comb(w, k) for k in range(r + 1)), w) for (_, w), r in parts]
+    return sum(v / (1 << w) for v, w in values), sum(v for v, _ in values)
+
+
+def probing_radii(radius: int, n: int, bits: int, settings: Settings) -> list[int]:
+    """The steps up to a radius at which probing is worth it among ``n`` codes."""
+    width = substring_width(n, bits, settings)
+    costs = {r: probe_cost(r, bits, width) for r in sorted({int(radius * step) for step in settings.steps})}
+    return [r for r, (share, probes) in costs.items() if share <= settings.share and probes <= settings.probes]
 
 
 def search_part(queries: pd.DataFrame, vectors: pd.DataFrame, codes: Codes, settings: Settings) -> pd.DataFrame:
@@ -309,17 +319,16 @@ def nearest_neighbours(
     asked = settle(asked.mapInPandas(coded, "query_id long, vector array<double>, code long"))
     n = entries.count()
     last = min(codes.radius, codes.bits)
-    width = substring_width(n, codes.bits, settings)
-    radii = sorted({int(last * step) for step in settings.steps})
+    radii = probing_radii(last, n, codes.bits, settings)
     done, left = [], asked
-    for radius in [r for r in radii if probe_share(r, codes.bits, width) <= settings.share]:
+    for radius in radii:
         top = settle(probed(entries, left, radius, n, codes, settings))
         near = top.filter((F.col("rank") == settings.nearest) & (F.col("score") >= codes.bounds[radius])).select("query_id")
         if radius == last:
             near = top.filter(F.col("rank") == settings.nearest).select("query_id")
         done.append(top.join(near, "query_id", "left_semi"))
         left = settle(left.join(near, "query_id", "left_anti"))
-    if probe_share(last, codes.bits, width) > settings.share:
+    if last not in radii:
         top = settle(scanned(entries, left, last, (n, left.count()), codes, settings))
         near = top.filter(F.col("rank") == settings.nearest).select("query_id")
         done.append(top.join(near, "query_id", "left_semi"))
