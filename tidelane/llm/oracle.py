@@ -64,11 +64,10 @@ def quality_rules_sql() -> str:
     bucket = "CASE WHEN v < 32 THEN v ELSE (length(bin(v)) - 6) * 32 + (v >> (length(bin(v)) - 6)::BIGINT) END"
     top = lambda q: f"CASE WHEN {q} < 64 THEN {q} ELSE (({q} - ({q} // 32 - 1) * 32 + 1) << ({q} // 32 - 1)::BIGINT) - 1 END"
     high = lambda r: f"max(q3 + 3 * greatest(q3 - q1, {r.floor})) FILTER (rate = '{r.name}') AS {r.name}_high"
-    low = lambda r: f"max(q1 - 3 * greatest(q3 - q1, {r.floor})) FILTER (rate = '{r.name}') AS {r.name}_low"
+    low = lambda r: f"max(greatest(q1 - 3 * greatest(q3 - q1, {r.floor}), 0)) FILTER (rate = '{r.name}') AS {r.name}_low"
     names = [f"{r.name}_high" for r in rates] + [f"{r.name}_low" for r in rates if r.both_sides]
-    pick = ", ".join(
-        f"CASE WHEN o.documents >= 200 THEN o.{n} WHEN u.documents >= 200 THEN u.{n} ELSE t.{n} END AS {n}" for n in names
-    )
+    drawn = lambda side, n, above: f"(({side}.documents::HUGEINT * {side}.{n} + 200 * ({above})) // ({side}.documents::HUGEINT + 200))"
+    pick = ", ".join(f"{drawn('o', n, drawn('u', n, f't.{n}'))}::BIGINT AS {n}" for n in names)
     inside = " AND ".join(
         f"({rate[r.name]}) <= {r.name}_high" + (f" AND ({rate[r.name]}) >= {r.name}_low" if r.both_sides else "") for r in rates
     )

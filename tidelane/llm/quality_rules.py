@@ -2,10 +2,11 @@
 
 Counts per text feed whole-number rates. A mergeable sketch per (lang, source) and rate counts the documents in
 buckets whose width is at most a 32nd of the value, so sketches merge by adding counts: those of all sources
-of a language, and of all documents, are sums of the small ones, and stand in for groups of fewer than
-``least_group`` documents. Quartiles from the sketch give fences, ``Q3 + reach * spread`` and, for
-word length, ``Q1 - reach * spread`` as well, with spread the distance of the quartiles or a floor. The fences are
-joined to the documents, and a document outside any of them, or failing the two base rules, is not kept.
+of a language, and of all documents, are sums of the small ones. Quartiles from the sketch give fences, ``Q3 + reach * spread`` and, for
+word length, ``Q1 - reach * spread`` as well, with spread the distance of the quartiles or a floor. A group's fences are
+drawn towards those of its language, and a language's towards those of all documents, as if ``weight`` documents more were
+there: the mean of both, weighted by the group's documents and ``weight``. So small groups lean on larger ones and no number of documents is a
+threshold. The fences are joined to the documents, and a document outside any of them, or failing the two base rules, is not kept.
 
 All of it is built-in functions and joins. Words are runs of other than the six ASCII white space characters. Null
 texts count as empty: no words, base rule failed. Null languages and sources form groups of
@@ -55,7 +56,8 @@ RATES = (
 @dataclass(frozen=True)
 class Settings:
     reach: int = 3
-    least_group: int = 200
+    #: documents that the fences of the level above count for
+    weight: int = 200
     rates: tuple[Rate, ...] = RATES
 
 
@@ -183,33 +185,28 @@ def quartiles(sketch: DataFrame) -> DataFrame:
 
 def fences(sketch: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per (lang, source) with ``<rate>_low`` and ``<rate>_high``, from the group's own sketch, its
-    language's or that of all documents, the first with enough documents."""
+    language's and that of all documents."""
     per_rate = []
     for r in settings.rates:
         mine = F.col("rate") == r.name
         spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(r.floor).cast("long")) * settings.reach
         per_rate.append(F.max(F.when(mine, F.col("q3") + spread)).alias(f"{r.name}_high"))
         if r.both_sides:
-            per_rate.append(F.max(F.when(mine, F.col("q1") - spread)).alias(f"{r.name}_low"))
+            per_rate.append(F.max(F.when(mine, F.greatest(F.col("q1") - spread, F.lit(0)))).alias(f"{r.name}_low"))
     names = [f"{r.name}_{side}" for r in settings.rates for side in ("high", "low") if side == "high" or r.both_sides]
     wide = quartiles(sketch).groupBy("level", "lang", "source").agg(F.max("documents").alias("documents"), *per_rate)
     of = lambda level: wide.filter(F.col("level") == level)
     own, languages, whole = of(0).withColumn("last", F.lit(2)).alias("own"), of(1).alias("up"), of(2).alias("top")
-    enough = lambda side: F.col(f"{side}.documents") >= settings.least_group
+    exact = lambda c: c.cast("decimal(18,0)")
+
+    def drawn(side: str, name: str, above: Column) -> Column:
+        n, weight = exact(F.col(f"{side}.documents")), F.lit(settings.weight)
+        return F.call_function("div", n * exact(F.col(f"{side}.{name}")) + exact(above) * weight, n + weight)
+
     return (
         own.join(languages, F.col("own.lang").eqNullSafe(F.col("up.lang")), "left")
         .join(F.broadcast(whole), F.col("own.last") == F.col("top.level"), "left")  # one row
-        .select(
-            "own.lang",
-            "own.source",
-            *[
-                F.when(enough("own"), F.col(f"own.{n}"))
-                .when(enough("up"), F.col(f"up.{n}"))
-                .otherwise(F.col(f"top.{n}"))
-                .alias(n)
-                for n in names
-            ],
-        )
+        .select("own.lang", "own.source", *[drawn("own", n, drawn("up", n, F.col(f"top.{n}"))).alias(n) for n in names])
     )
 
 
