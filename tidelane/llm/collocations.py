@@ -13,10 +13,10 @@ packed; a task that owns a range unites the transducers of all shards, weights o
 requests are dealt to the range of the part and composed with its transducer, which reads their weight.
 
 Counts are exact, made of words, not of hashes. Longer n-grams are counted only where the shorter ones in them are frequent, which loses nothing: words
-first, then pairs of frequent words, then longer ones of frequent pairs. What was frequent goes to
+first, then pairs of frequent words, then three words of two frequent pairs, and so on. What was frequent goes to
 the tasks as ``BITS`` bits of a hash table, 8 MB whatever the input; a wrong bit costs work, never a result.
 
-Layout: three passes over the texts, each with one shuffle of packed transducers. There are as many ranges as input partitions,
+Layout: a pass over the texts for each length, with one shuffle of packed transducers. There are as many ranges as input partitions,
 so a range grows with neither. A frequent word or pair is one path per shard, its followers are in many ranges; requests for a
 part are salted. Nothing is collected but the bits.
 
@@ -492,12 +492,10 @@ def collocations(
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     ranges = ranges or max(1, rows.rdd.getNumPartitions())
     bits, levels = None, []
-    for orders in (range(1, 2), range(2, 3), range(3, longest + 1)):
-        if not orders:
-            break
-        packed = shard_transducers(rows, orders, ranges, bits, shard)
+    for size in range(1, longest + 1):
+        packed = shard_transducers(rows, range(size, size + 1), ranges, bits, shard)
         levels.append(settle(united(packed, least)))
-        if orders[0] < 3 <= longest or orders[0] < 2:
+        if size < longest:
             bits = _bits(levels[-1].filter("bit is not null"))
     counted = levels[0]
     for level in levels[1:]:
