@@ -20,6 +20,9 @@ from tidelane.star import Star
 _MODES = {"1-URGENT": ("Same Day", 0), "2-HIGH": ("First Class", 1), "3-MEDIUM": ("Second Class", 2)}
 _OTHER_MODE = ("Standard Class", 4)
 
+# columns that order the copies of a line
+_POSITION = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
 
 def _by_priority(i: int) -> Column:
     out = None
@@ -36,23 +39,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def staged_lines(spark: SparkSession, folder: str, unique: bool = False) -> DataFrame:
     """Typed order lines as they come, copies of a line included, or unique lines.
 
-    Copies are removed from the narrow line table, before the joins and the derived amounts.
+    Copies are removed from the narrow line table, before the joins and the derived amounts. Orders meet their customers
+    before the lines, of which there are many more, so lines are shuffled for their order and their part only; the names of
+    nations and regions, two tables of fixed size, come last.
     Precisions are chosen so that every amount fits the 18 digits that Spark keeps in a long.
     """
-    line = table(spark, folder, "lineitem").withColumns(
-        {
-            "order_item_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-            SOURCE_POSITION: F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"),
-        }
-    )
+    line = table(spark, folder, "lineitem").withColumn("order_item_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     if unique:
-        line = dedupe_order_items(line)
+        line = dedupe_order_items(line, [F.col(c) for c in _POSITION])
+    placed = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     joined = (
-        line.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        line.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     rate = F.col("l_discount").cast("decimal(3,2)")
@@ -65,7 +65,7 @@ def staged_lines(spark: SparkSession, folder: str, unique: bool = False) -> Data
     )
     sales = (price * (F.lit(Decimal("1.00")) - rate).cast("decimal(5,2)")).cast(MONEY)
     return joined.select(
-        SOURCE_POSITION,
+        F.struct(*_POSITION).alias(SOURCE_POSITION),
         "order_item_id",
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("order_date"),
