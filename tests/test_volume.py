@@ -11,6 +11,7 @@ from checks import registry
 from tests.conftest import SMALL
 from tests.frames import line, rows, star
 from tests.test_plans import plan
+from tidelane.operators import classify, inventory, revenue
 from tidelane.sources.store import read_rollup, write_rollups, write_star
 from tidelane.sources.tpch import staged_lines
 from tidelane.star import Star, all_rollups, customer_rollup, daily_rollup, delivery_rollup, route_rollup
@@ -83,6 +84,20 @@ def test_each_rollup_shuffles_its_own_columns(spark, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(*got.columns).collect())), name
 
 
+@pytest.mark.parametrize(
+    "operator",
+    [classify.product_revenue, revenue.product_revenue_pareto, revenue.category_revenue_ranked, revenue.loss_making_products,
+     inventory.daily_demand_stats],
+)
+def test_the_product_table_does_not_pass_through_the_driver(spark, operator):
+    s = star(spark, [line(1), line(2, product_id=2)])
+    text = plan(operator(s))
+    joined = [d for d in text.split("\n\n") if d.strip().split("\n")[0].find("SortMergeJoin") > 0 and "product_id" in d]
+    assert joined
+    sent = [d for d in text.split("\n\n") if "BroadcastExchange" in d.split("\n")[0]]
+    assert not any("category_name" in d or "product_name" in d for d in sent if "_slice" not in d and "total_revenue" not in d)
+
+
 def test_lines_meet_their_customers_through_the_orders(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
     try:

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 
 from tidelane.functions.numeric import deviation, money, percent, ratio, rnd, square
 from tidelane.functions.running import ladder
-from tidelane.operators.revenue import PRODUCT_LABELS, average_discount_pct, product_sums, weekly_sums
+from tidelane.operators.revenue import PRODUCT_LABELS, average_discount_pct, labelled, product_sums, weekly_sums
 from tidelane.params import DEFAULTS, SEGMENT_STRATEGY, Params
 from tidelane.star import Star
 
 
 def product_revenue(star: Star) -> DataFrame:
     return (
-        product_sums(star)
-        .join(star.products.select(*PRODUCT_LABELS), "product_id")
+        labelled(product_sums(star), star, *PRODUCT_LABELS)
         .select(
             *PRODUCT_LABELS,
             F.col("lines").alias("total_orders"),

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelane.functions.numeric import deviation, money, ratio, rnd, rounded, square, variance, worth
-from tidelane.operators.revenue import PRODUCT_LABELS
+from tidelane.operators.revenue import PRODUCT_LABELS, labelled
 from tidelane.params import DEFAULTS, OPTIMAL, OVERSTOCKED, REORDER, Params
 from tidelane.star import Star
 
@@ -76,7 +76,7 @@ def daily_demand_stats(star: Star) -> DataFrame:
         F.sum(units).alias("total_units"), F.count(units).alias("active_days"), F.sum(square(units)).alias("_squares")
     )
     n, total = F.col("active_days"), F.col("total_units")
-    return sums.join(star.products.select(*PRODUCT_LABELS), "product_id").select(
+    return labelled(sums, star, *PRODUCT_LABELS).select(
         *PRODUCT_LABELS,
         "total_units",
         "active_days",
@@ -208,7 +208,7 @@ def inventory_master(
     valued = stockout_risk(excess_capital(inventory_valuation(stocked, params), params))
     if classified is not None:
         classes = ["abc_class", "xyz_class", "abc_xyz_segment", "operational_priority", "risk_level"]
-        valued = valued.join(classified.select("product_id", *classes), "product_id", "left")
+        valued = valued.join(classified.select("product_id", *classes).hint("merge"), "product_id", "left")
     shown = ("mean_daily_demand", "std_daily_demand", "avg_lead_time_days", "std_lead_time_days")
     return valued.withColumns({c: rnd(F.col(c), 2) for c in shown})
 
