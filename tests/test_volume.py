@@ -14,7 +14,7 @@ from tests.test_plans import plan
 from tidelane.operators import classify, inventory, revenue
 from tidelane.sources.store import read_rollup, write_rollups, write_star
 from tidelane.sources.tpch import staged_lines
-from tidelane.star import Star, all_rollups, customer_rollup, daily_rollup, delivery_rollup, route_rollup
+from tidelane.star import Star, customer_rollup, daily_rollup, delivery_rollup, route_rollup, separate_rollups
 
 
 @pytest.fixture
@@ -68,16 +68,16 @@ def _faulty(spark):
 
 def test_each_rollup_shuffles_its_own_columns(spark, tmp_path):
     fact = _faulty(spark)
-    text = plan(all_rollups(fact))
+    text = plan(separate_rollups(fact))
     assert "Expand" not in text
     daily = next(d for d in text.split("\n\n") if "Exchange" in d.split("\n")[0] and "hashpartitioning(product_id" in d and "order_day" in d)
     assert "squared" not in daily and "on_time" not in daily
     made = {"product_daily": daily_rollup, "product_routes": route_rollup, "delivery_months": delivery_rollup, "customer_orders": customer_rollup}
-    assert rows(all_rollups(fact).groupBy("rollup").count().orderBy("rollup")) == [
+    assert rows(separate_rollups(fact).groupBy("rollup").count().orderBy("rollup")) == [
         {"rollup": name, "count": make(fact).count()} for name, make in sorted(made.items())
     ]
     write_star(Star(fact, fact.select("product_id"), fact.select("customer_id")), str(tmp_path), months=False)
-    write_rollups(spark, str(tmp_path))
+    write_rollups(spark, str(tmp_path), apart=True)
     for name, make in made.items():
         got, wanted = read_rollup(spark, str(tmp_path), name), make(fact)
         assert got.dtypes == wanted.select(*got.columns).dtypes, name

@@ -167,8 +167,33 @@ EXTREMES = {"min_days": F.min, "max_days": F.max}
 
 
 def all_rollups(fact: DataFrame) -> DataFrame:
-    """All four rollups in one table: ``rollup`` names each, keys and measures of the others are null. Each is an aggregate of its
-    own that reads and shuffles its own columns; grouping sets would carry every measure of every rollup with each line, four times."""
+    """All four rollups from one scan, as grouping sets: ``rollup`` names the set, keys of other sets are null. Each line is
+    summed once per set before the shuffle."""
+    sums, _ = _delivery_lines(fact)
+    keys = list(dict.fromkeys(k for names, _ in ROLLUPS.values() for k in names))
+    made = {"order_day": F.to_date("order_date"), "month": month_start(F.col("order_date"))}
+    measures = sums | {
+        "units": F.col("quantity_ordered").cast("long"),
+        "discount": F.col("discount_rate"),
+        "loss_lines": F.when(F.col("profit_per_order") < 0, 1).otherwise(0).cast("long"),
+    }
+    lines = fact.select(
+        *[made.get(k, F.col(k)).alias(k) for k in keys],
+        *[c.alias(f"_{n}") for n, c in measures.items()],
+        F.col("days_real").alias("_days"),
+    )
+    names = {sum((k not in wanted) << (len(keys) - 1 - i) for i, k in enumerate(keys)): name for name, (wanted, _) in ROLLUPS.items()}
+    which = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.grouping_id().cast("int"))
+    counts = ("lines", "on_time", "late")
+    summed = [F.coalesce(F.sum(f"_{n}"), F.lit(0).cast("long")).alias(n) if n in counts else F.sum(f"_{n}").alias(n) for n in measures]
+    return lines.groupingSets([[F.col(k) for k in wanted] for wanted, _ in ROLLUPS.values()], *keys).agg(
+        which.alias("rollup"), *summed, *[how("_days").alias(n) for n, how in EXTREMES.items()]
+    )
+
+
+def separate_rollups(fact: DataFrame) -> DataFrame:
+    """The table of ``all_rollups`` from a scan for each: every rollup reads and shuffles its own columns, the measures that only others hold
+    are null. Grouping sets read the fact once, but carry all measures with each line, four times."""
     sums, _ = _delivery_lines(fact)
     keys = list(dict.fromkeys(k for names, _ in ROLLUPS.values() for k in names))
     made = {"order_day": F.to_date("order_date"), "month": month_start(F.col("order_date"))}
