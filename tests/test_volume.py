@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 import pytest
@@ -11,9 +12,11 @@ from checks import registry
 from tests.conftest import SMALL
 from tests.frames import line, rows, star
 from tests.test_plans import plan
+from tidelane.functions.lineage import _RELEASE
 from tidelane.operators import classify, inventory, revenue
+from tidelane.schema import SOURCE_POSITION
 from tidelane.sources.store import read_rollup, write_rollups, write_star
-from tidelane.sources.tpch import staged_lines
+from tidelane.sources.tpch import raw_lines, staged_lines
 from tidelane.star import Star, customer_rollup, daily_rollup, delivery_rollup, route_rollup, separate_rollups
 
 
@@ -58,6 +61,46 @@ def test_raw_files_are_packed(spark, folders):
     assert files and all(f.name.endswith(".csv.gz") for f in files)
 
 
+def _dealt(spark, lines) -> list[str]:
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        return [d for d in plan(lines()).split("\n\n") if "Exchange" in d.split("\n")[0] and "hashpartitioning" in d]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_raw_lines_are_shuffled_without_their_orders(spark):
+    dealt = _dealt(spark, lambda: raw_lines(spark, SMALL).drop(SOURCE_POSITION))
+    parts = [d for d in dealt if "hashpartitioning(l_partkey" in d]
+    orders = [d for d in dealt if "hashpartitioning(l_orderkey" in d]
+    assert len(parts) == len(orders) == 1
+    assert "c_name" not in parts[0] and "p_name" not in parts[0]
+    assert "c_name" not in orders[0] and "p_name" in orders[0]
+    assert not any("order_item_id" in d for d in dealt)
+
+
+def test_unique_lines_end_up_by_product(spark):
+    dealt = _dealt(spark, lambda: staged_lines(spark, SMALL, unique=True).select("order_item_id", "market", "product_price"))
+    assert ["c_nationkey" in d for d in dealt if "hashpartitioning(l_partkey" in d] == [True]
+
+
+def test_raw_files_are_written_without_leaving_shuffle_files(spark, folders):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    kept = lambda: {f for d in env.blockManager().diskBlockManager().localDirsString() for f in Path(d).glob("*/shuffle_*")}
+    settings, before = {s: spark.conf.get(s, None) for s in (_RELEASE, "spark.sql.autoBroadcastJoinThreshold")}, kept()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        n = registry.queries()["read_raw_orders"](spark, SMALL)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert settings == {s: spark.conf.get(s, None) for s in settings}
+    until = time.monotonic() + 20
+    while kept() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not kept() - before
+    assert n.count() == staged_lines(spark, SMALL).count()
+
+
 def _faulty(spark):
     return star(spark, [
         line(1, quantity_ordered=2), line(2, product_id=None, days_real=None), line(3, profit_per_order="-3.5", days_real=5),
