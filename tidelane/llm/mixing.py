@@ -236,9 +236,9 @@ def mixed_documents(docs: DataFrame, settings: Settings = Settings(), id: str =
     named, whole = F.col(quoted(id)), F.col(quoted(text))
     key = F.xxhash64(named, F.col("source"), whole)
     mixed = mix(docs.select(named.alias("id"), "source", whole.alias("text"), key.alias("at")), settings, "id", "text")
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    slots = F.slice("lap_slots", F.lit(1), copies)
-    counts = mixed.filter("taken > 0").groupBy("at", "id").agg(F.flatten(F.collect_list(slots)).alias("slots"))
+    taken = mixed.filter("taken > 0").withColumn("copies", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
+    slots = F.slice("lap_slots", F.lit(1), F.col("copies"))
+    counts = taken.groupBy("at", "id").agg(F.flatten(F.collect_list(slots)).alias("slots"))
     keyed = packed(docs, at=key, id=named).alias("d")
     wanted = counts.filter(F.size("slots") > 0).hint("merge").alias("c")
     same = (F.col("d.at") == F.col("c.at")) & F.col("d.id").eqNullSafe(F.col("c.id"))
